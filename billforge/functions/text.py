@@ -6,13 +6,14 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import StringType
 
 BLANKS = r"[\s\u0085\u00a0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]"
 #: Separators used while several fields travel in one string: field of a struct, entry of an array, column.
 FIELD, ENTRY, COLUMN = "\x1f", "\x1e", "\x1d"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _compose(text: pd.Series) -> pd.Series:
     """Compatibility composition and full case folding; only text beyond ASCII gets here, the rest arrives as null."""
     return text.map(lambda x: x if x is None else unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", x).casefold()))

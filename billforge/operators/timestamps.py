@@ -14,7 +14,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta, timezone
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from billforge.functions.text import BLANKS, strip
 from billforge.session import broadcast_if_small
@@ -25,8 +25,9 @@ FIXED_OFFSETS = {"Z": 0, "UTC": 0, "GMT": 0, "EST": -5, "EDT": -4, "CST": -6, "C
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 
 _ZONE = r"(?i)(?:(?<=[0-9])(?:z|[+-][0-9]{2}:?[0-9]{2})|(?<=[0-9m.n]) ?(?:[ecmpah]t|utc|gmt|(?:e|c|m|p|ak|h|a)[sd]t|[a-z]+/[a-z_]+(?:/[a-z_]+)?)|(?<=[0-9]) (?:[+-][0-9]{2}:?[0-9]{2}))$"
-_TIME = r"(?i)(?:^|(?<=[0-9 ])[t ]|, ?| at )([0-9]{1,2})(?::([0-9]{2}))?(?::([0-9]{2})(?:[.,][0-9]+)?)? ?(a\.?m\.?|p\.?m\.?|noon|midnight)?$"
-_MONTH = r"(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*"
+_TIME = r"(?i)^(?:t|,? at |, ?| )?([0-9]{1,2})(?::([0-9]{2}))?(?::([0-9]{2})(?:[.,][0-9]+)?)? ?(a\.?m\.?|p\.?m\.?|noon|midnight)?$"
+_MONTH = f"({'|'.join(MONTHS)})[a-z]*"
+_DAY = r"(?i)^(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{1,2}/[0-9]{1,2}/(?:[0-9]{4}|[0-9]{2})|" + _MONTH + r"\.? [0-9]{1,2}(?:st|nd|rd|th)?,? [0-9]{4})(?![0-9])"
 
 
 def offset_intervals(spark: SparkSession, zones: list[str]) -> DataFrame:
@@ -57,61 +58,60 @@ def offset_intervals(spark: SparkSession, zones: list[str]) -> DataFrame:
     return spark.createDataFrame(rows, "zone string, year int, local_from long, local_to long, offset int, gap_from long, offset_before int")
 
 
-def parsed(text: Column) -> Column:
-    """The struct (epoch, day, clock, offset, named): seconds of an epoch; or the local day and the seconds into it; the offset in
-    seconds if the text has one. Fields are null where the text gives none; all are null if it denotes no moment.
+def parsed(rows: DataFrame, text: str) -> DataFrame:
+    """rows with epoch (seconds), or day (since 1970) and clock (seconds into it) of the local time, and offset (seconds) if the text has one.
+
+    All are null if the text denotes no moment; day alone is null for a bare clock time. The stages are projections of
+    their own, so that each text is taken apart once and the generated code stays small.
     """
-    s = strip(F.regexp_replace(text, f"{BLANKS}+", " "))
-    epoch = F.when(s.rlike("^[0-9]{10}$"), s.cast("long")).when(s.rlike("^[0-9]{13}$"), F.floor(s.cast("long") / 1000))
-    zone = F.upper(F.trim(F.regexp_extract(s, _ZONE, 0)))
-    body = F.trim(F.regexp_replace(s, _ZONE, ""))
+    c = F.col
+    rows = rows.withColumn("_s", strip(F.regexp_replace(text, f"{BLANKS}+", " ")))
+    rows = rows.withColumns({"_epoch": F.when(c("_s").rlike("^[0-9]{10}$|^[0-9]{13}$"), F.substring("_s", 1, 10).cast("long")), "_zone": F.upper(F.trim(F.regexp_extract("_s", _ZONE, 0)))})
+    body = F.trim(F.regexp_replace("_s", _ZONE, ""))
     body = F.regexp_replace(body, r"^([0-9]{4})([0-9]{2})([0-9]{2})(?:T([0-9]{2})([0-9]{2})([0-9]{2})?)?$", "$1-$2-$3T$4:$5:$6")
     body = F.regexp_replace(F.regexp_replace(body, "T::$", ""), ":$", "")
-    body = F.regexp_replace(body, r"(?i)^(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,? ", "")
-    day_first = r"(?i)^(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{1,2}/[0-9]{1,2}/(?:[0-9]{4}|[0-9]{2})|" + _MONTH + r"\.? [0-9]{1,2}(?:st|nd|rd|th)?,? [0-9]{4})"
-    day_text = F.lower(F.regexp_extract(body, day_first, 0))
-    rest = F.substring(body, F.length(day_text) + 1, F.length(body))
-    n = lambda x: F.when(x != "", x.cast("int"))
-    g = lambda rx, i: F.regexp_extract(day_text, rx, i)
-    iso, us, name = r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})$", r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{2,4})$", rf"^{_MONTH}\.? ([0-9]{{1,2}})(?:st|nd|rd|th)?,? ([0-9]{{4}})$"
-    year = F.coalesce(n(g(iso, 1)), F.when(F.length(g(us, 3)) == 2, n(g(us, 3)) + 2000).otherwise(n(g(us, 3))), n(g(name, 3)))
-    month = F.coalesce(n(g(iso, 2)), n(g(us, 1)), F.nullif(F.array_position(F.array(*map(F.lit, MONTHS)), g(name, 1)).cast("int"), F.lit(0)))
-    dom = F.coalesce(n(g(iso, 3)), n(g(us, 2)), n(g(name, 2)))
-    day = F.try_to_date(F.format_string("%04d-%02d-%02d", year, month, dom), "yyyy-MM-dd")
-    day = F.when(year.isNotNull() & month.isNotNull() & dom.isNotNull(), day)
-    t = lambda i: F.regexp_extract(rest, _TIME, i)
-    mark = F.lower(F.regexp_replace(t(4), r"\.", ""))
-    h = n(t(1))
-    twelve = mark.isin("am", "pm", "noon", "midnight")
-    hour = F.when(twelve & h.between(1, 12), h % 12 + F.when(mark.isin("pm", "noon"), 12).otherwise(0)).when(~twelve & (t(2) != "") & (h <= 23), h)
-    minute, second = F.coalesce(n(t(2)), F.lit(0)), F.coalesce(n(t(3)), F.lit(0))
-    clock = F.when((minute < 60) & (second < 60), hour * 3600 + minute * 60 + second)
-    clock = F.when((rest == "") & day.isNotNull() & (zone == ""), F.lit(0)).otherwise(clock)
+    rows = rows.withColumn("_body", F.regexp_replace(body, r"(?i)^(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,? ", ""))
+    rows = rows.withColumn("_day", F.lower(F.regexp_extract("_body", _DAY, 0)))
+    rows = rows.withColumn("_rest", F.substring(c("_body"), F.length("_day") + 1, F.length("_body")))
+    # Every form of a day becomes year-month-day: a month's name by its number, the year of m/d/y to the front.
+    day = F.regexp_replace("_day", r"(?:st|nd|rd|th)?,? ([0-9]{4})$", "/$1")
+    day = F.regexp_replace(day, f"^{_MONTH}\\.? ", "$1/")
+    rows = rows.withColumn("_parts", F.split(F.regexp_replace(day, r"^([0-9]+)-([0-9]+)-([0-9]+)$", "$2/$3/$1"), "/"))
+    month = F.coalesce(F.try_to_number(F.get("_parts", F.lit(0)), F.lit("99")).cast("int"), F.nullif(F.array_position(F.array(*map(F.lit, MONTHS)), F.get("_parts", F.lit(0))).cast("int"), F.lit(0)))
+    year = F.get("_parts", F.lit(2))
+    rows = rows.withColumn("_date", F.try_to_date(F.concat_ws("-", F.when(F.length(year) == 2, F.concat(F.lit("20"), year)).otherwise(year), F.lpad(month.cast("string"), 2, "0"), F.lpad(F.get("_parts", F.lit(1)), 2, "0")), "yyyy-MM-dd"))
+    rows = rows.withColumn("_t", F.split(F.regexp_replace(F.regexp_extract("_rest", _TIME, 0), _TIME, "$1/$2/$3/$4"), "/"))
+    n = lambda i: F.when(F.get("_t", F.lit(i)) != "", F.get("_t", F.lit(i)).cast("int"))
+    rows = rows.withColumns({"_h": n(0), "_m": n(1), "_sec": F.coalesce(n(2), F.lit(0)), "_mark": F.lower(F.regexp_replace(F.get("_t", F.lit(3)), r"\.", ""))})
+    twelve = c("_mark").isin("am", "pm", "noon", "midnight")
+    hour = F.when(twelve & c("_h").between(1, 12), c("_h") % 12 + F.when(c("_mark").isin("pm", "noon"), 12).otherwise(0)).when((c("_mark") == "") & c("_m").isNotNull() & (c("_h") <= 23), c("_h"))
+    minute = F.coalesce("_m", F.lit(0))
+    clock = F.when((minute < 60) & (c("_sec") < 60), hour * 3600 + minute * 60 + c("_sec"))
+    clock = F.when((c("_rest") == "") & c("_date").isNotNull() & (c("_zone") == ""), F.lit(0)).otherwise(clock)
     fixed = F.create_map(*(F.lit(x) for k, v in FIXED_OFFSETS.items() for x in (k, v * 3600)))
-    sign = F.when(zone.startswith("-"), -1).otherwise(1)
-    digits = F.regexp_replace(zone, "[^0-9]", "")
-    numeric = F.when(zone.rlike("^[+-]"), sign * (F.substring(digits, 1, 2).cast("int") * 3600 + F.substring(digits, 3, 2).cast("int") * 60))
-    offset = F.coalesce(numeric, F.try_element_at(fixed, zone))
-    usable = clock.isNotNull() & (day.isNotNull() | (day_text == ""))
-    f = lambda x: F.when(usable & epoch.isNull(), x)
-    return F.struct(epoch.alias("epoch"), f(F.unix_date(day)).alias("day"), f(clock).alias("clock"), f(offset).alias("offset"))
-
-
-def to_utc(rows: DataFrame, intervals: DataFrame, local: str, offset: str, zone: str, out: str) -> DataFrame:
-    """rows with ``out``, UTC seconds of the local seconds in ``local``: by ``offset`` where given, else as of the zone's intervals.
-
-    An unknown zone or a year outside the intervals gives null. Rows are neither lost nor repeated.
+    digits = F.regexp_replace("_zone", "[^0-9]", "")
+    numeric = F.when(c("_zone").rlike("^[+-]"), F.when(c("_zone").startswith("-"), -1).otherwise(1) * (F.substring(digits, 1, 2).cast("int") * 3600 + F.substring(digits, 3, 2).cast("int") * 60))
+    rows = rows.withColumns({"_clock": clock, "_offset": F.coalesce(numeric, F.try_element_at(fixed, c("_zone")))})
+    usable = c("_epoch").isNull() & c("_clock").isNotNull() & (c("_date").isNotNull() | (c("_day") == ""))
+    f = lambda x: F.when(usable, x)
+    rows = rows.withColumns({"epoch": c("_epoch"), "day": f(F.unix_date("_date")), "clock": f(c("_clock")), "offset": f(c("_offset"))})
+    return rows.drop(*(x for x in rows.columns if x.startswith("_") and x != text))
+
+
+def to_utc(rows: DataFrame, intervals: DataFrame, by: list[str], local: Column, out: str) -> DataFrame:
+    """One row for each row of ``by`` (with zone and offset among them), ``out`` being UTC seconds of the local seconds: by
+    the offset where given, else as of the zone's intervals. An unknown zone or a year outside the intervals gives null.
     """
-    year = F.year(F.date_from_unix_date(F.floor(F.col(local) / 86400).cast("int")))
-    need = F.col(local).isNotNull() & F.col(offset).isNull()
-    left = rows.withColumn("_zone", F.when(need, F.col(zone))).withColumn("_year", F.when(need, year)).withColumn("_row", F.monotonically_increasing_id())
-    inside = (F.col(local) >= F.col("i.local_from")) & (F.col(local) < F.col("i.local_to"))
-    skipped = (F.col(local) >= F.col("i.gap_from")) & (F.col(local) < F.col("i.local_from"))
+    rows = rows.withColumn("_local", local)
+    need = F.col("_local").isNotNull() & F.col("offset").isNull()
+    year = F.year(F.date_from_unix_date(F.floor(F.col("_local") / 86400).cast("int")))
+    left = rows.withColumns({"_zone": F.when(need, F.col("zone")), "_year": F.when(need, year)})
+    inside = (F.col("_local") >= F.col("i.local_from")) & (F.col("_local") < F.col("i.local_to"))
+    skipped = (F.col("_local") >= F.col("i.gap_from")) & (F.col("_local") < F.col("i.local_from"))
     hit = left.join(F.broadcast(intervals.select(F.struct("*").alias("i"))), (F.col("_zone") == F.col("i.zone")) & (F.col("_year") == F.col("i.year")) & (inside | skipped), "left")
-    # An earlier interval of a repeated local time has the greater offset, hence the earlier moment.
-    used = F.when(inside, F.col("i.offset")).when(skipped, F.col("i.offset_before"))
-    hit = hit.withColumn("_used", F.coalesce(F.col(offset), used))
-    return hit.withColumn(out, F.col(local) - F.col("_used"))
+    used = F.coalesce(F.col("offset"), F.when(inside, F.col("i.offset")).when(skipped, F.col("i.offset_before")))
+    # Of two intervals that match a repeated local time the earlier moment counts: the least.
+    return hit.groupBy(*by).agg(F.min(F.col("_local") - used).alias(out))
 
 
 def moments(events: DataFrame, zones: DataFrame, key: str, place: str, start: str, end: str, scraped: str) -> DataFrame:
@@ -119,28 +119,24 @@ def moments(events: DataFrame, zones: DataFrame, key: str, place: str, start: st
 
     Of several rows for a key the greatest ``scraped`` counts (ties to the greatest texts). Rows with a null key are left
     out. Text without a zone, or with a zone name that does not tell standard from daylight time, is local time of the
-    row's place; of a place that ``zones`` (place, time_zone) lacks, only texts with an offset denote a moment. Local time that occurs
-    twice is the earlier moment; local time that is skipped is read with the offset before the change. A bare clock time
-    in the end falls on the local day of the start. An empty input gives an empty result.
+    row's place; of a place that ``zones`` (place, time_zone) lacks, only texts with an offset denote a moment. Local time
+    that occurs twice is the earlier moment; local time that is skipped is read with the offset before the change. A bare
+    clock time in the end falls on the local day of the start. An empty input gives an empty result.
+
+    One shuffle, on the key; explode, joins with the broadcast intervals, window and aggregations keep its partitioning.
     """
-    spark = events.sparkSession
     known = [r[0] for r in zones.select("time_zone").where("time_zone is not null").distinct().collect()]  # names of the zone database
-    intervals = offset_intervals(spark, known)
-    one = events.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.max(F.struct(F.col(scraped).alias("at"), F.col(place).alias("place"), F.col(start).alias("s"), F.col(end).alias("e"))).alias("m")).select("key", "m.place", "m.s", "m.e")
+    intervals = offset_intervals(events.sparkSession, known)
+    fields = F.struct(F.col(scraped).alias("at"), F.col(place).alias("place"), F.col(start).alias("s"), F.col(end).alias("e"))
+    one = events.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.max(fields).alias("m")).select("key", "m.place", F.explode(F.array(F.struct(F.lit(start).alias("field_name"), F.col("m.s").alias("text")), F.struct(F.lit(end).alias("field_name"), F.col("m.e").alias("text")))).alias("f"))
     places = zones.groupBy(F.col(place).alias("place")).agg(F.max("time_zone").alias("zone"))
-    rows = one.join(broadcast_if_small(places), "place", "left").select("key", "zone", parsed(F.col("s")).alias("s"), parsed(F.col("e")).alias("e"))
-    local = lambda c: F.col(f"{c}.day") * F.lit(86400).cast("long") + F.col(f"{c}.clock")
-    rows = rows.withColumn("s_local", local("s")).withColumn("s_offset", F.col("s.offset"))
-    rows = _settle(to_utc(rows, intervals, "s_local", "s_offset", "zone", "_s"), ["key", "zone", "s", "e"], "_s")
-    rows = rows.withColumn("s_utc", F.coalesce(F.col("s.epoch"), F.col("_s")))
-    there = F.from_utc_timestamp(F.timestamp_seconds("s_utc"), F.coalesce("zone", F.lit("UTC")))
-    start_day = F.when(F.col("zone").isNotNull(), F.unix_date(there.cast("date")))
-    end_day = F.coalesce(F.col("e.day"), F.when(F.col("e.clock").isNotNull(), start_day))
-    rows = rows.withColumn("e_local", end_day * F.lit(86400).cast("long") + F.col("e.clock")).withColumn("e_offset", F.col("e.offset"))
-    rows = _settle(to_utc(rows, intervals, "e_local", "e_offset", "zone", "_e"), ["key", "zone", "s", "e", "s_utc"], "_e")
-    both = F.array(F.struct(F.lit(start).alias("field_name"), F.col("s_utc").alias("utc")), F.struct(F.lit(end).alias("field_name"), F.coalesce(F.col("e.epoch"), F.col("_e")).alias("utc")))
-    return rows.select("key", F.explode(both).alias("b")).where("b.utc is not null").select(F.col("key").alias(key), "b.field_name", F.col("b.utc"))
-
-
-def _settle(hit: DataFrame, keep: list[str], out: str) -> DataFrame:
-    return hit.groupBy(*keep).agg(F.min(out).alias(out))
+    rows = parsed(one.join(broadcast_if_small(places), "place", "left").select("key", "zone", "f.field_name", "f.text"), "text").drop("text")
+    names = ["key", "zone", "field_name", "epoch", "day", "clock", "offset"]
+    seconds = F.lit(86400).cast("long")
+    rows = to_utc(rows, intervals, names, F.col("day") * seconds + F.col("clock"), "utc").withColumn("utc", F.coalesce("epoch", "utc"))
+    there = F.from_utc_timestamp(F.timestamp_seconds("utc"), F.col("zone"))
+    start_day = F.max(F.when(F.col("field_name") == start, F.unix_date(there.cast("date")))).over(W.partitionBy("key"))
+    rows = rows.withColumn("start_day", start_day)
+    bare = (F.col("field_name") == end) & F.col("day").isNull()
+    rows = to_utc(rows, intervals, [*names, "utc", "start_day"], F.when(bare, F.col("start_day") * seconds + F.col("clock")), "late")
+    return rows.select(F.col("key").alias(key), "field_name", F.coalesce("utc", "late").alias("utc")).where("utc is not null")
