@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from billforge.llm import neardup
+from billforge.llm import leak, neardup
 from billforge.session import read
 
 
@@ -22,5 +22,20 @@ def p7_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.similar_groups(**_bill_texts(spark, sf_dir)).withColumnRenamed("id", "sb_id")
 
 
-QUERIES = {"p7_found": p7_found, "p7_groups": p7_groups}
+def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leak.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "eval_item"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _leaks(spark, sf_dir).select("doc_id", "item_id").distinct()
+
+
+def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaked items by suite: in how many documents, and their longest passage."""
+    items = read(spark, sf_dir, "eval_item").select("item_id", "suite")
+    found = _leaks(spark, sf_dir).groupBy("item_id").agg(F.countDistinct("doc_id").alias("n_documents"), F.max("n_words").alias("longest"))
+    return items.join(found, "item_id").select("item_id", "suite", "n_documents", "longest")
+
+
+QUERIES = {"p7_found": p7_found, "p7_groups": p7_groups, "p8_found": p8_found, "p8_report": p8_report}
 SQL: dict[str, str] = {}
