@@ -4,10 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from billforge.llm import leak, neardup
+from billforge.llm import address, leak, neardup
 from billforge.session import read
 
 
+def _offices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, str]]:
+    places = read(spark, sf_dir, "jurisdiction_zone").select("jurisdiction_id", "name").where("name is not null").collect()  # a row per jurisdiction, a fixed table
+    regions = {}
+    for place, name in places:
+        code = place.rsplit(":", 1)[-1].split("/")[0].lower()
+        regions |= {code: code, name.lower(): code}
+    return read(spark, sf_dir, "scrape_office").select(F.col("office_id").alias("id"), "address"), regions
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return address.same_location(*_offices(spark, sf_dir)).toDF("office_id_1", "office_id_2")
+
+
 def _bill_texts(spark: SparkSession, sf_dir: str) -> dict:
     rows = read(spark, sf_dir, "searchable_bill").select("sb_id", "created_at", "all_titles", "raw_text").where("raw_text is not null and raw_text <> ''")
     return {"records": rows, "key": F.col("sb_id"), "made": F.col("created_at"), "text": F.concat_ws(" ", F.coalesce("all_titles", F.lit("")), "raw_text"), "width": 3, "threshold": 0.7}
@@ -37,5 +50,5 @@ def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.join(found, "item_id").select("item_id", "suite", "n_documents", "longest")
 
 
-QUERIES = {"p7_found": p7_found, "p7_groups": p7_groups, "p8_found": p8_found, "p8_report": p8_report}
+QUERIES = {"p6_found": p6_found, "p7_found": p7_found, "p7_groups": p7_groups, "p8_found": p8_found, "p8_report": p8_report}
 SQL: dict[str, str] = {}
