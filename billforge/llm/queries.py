@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from billforge.llm import address, leak, neardup
+from billforge.llm import address, leak, neardup, toxic
 from billforge.session import read
 
 
@@ -50,5 +50,20 @@ def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.join(found, "item_id").select("item_id", "suite", "n_documents", "longest")
 
 
-QUERIES = {"p6_found": p6_found, "p7_found": p7_found, "p7_groups": p7_groups, "p8_found": p8_found, "p8_report": p8_report}
+def p10_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "review_sample"))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p10_scores(spark, sf_dir).where("flagged").select("doc_id").distinct()
+
+
+def p10_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents flagged and their rate per source."""
+    rows = p10_scores(spark, sf_dir).join(read(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
+    flagged = F.sum(F.col("flagged").cast("int"))
+    return rows.groupBy("source").agg(F.count(F.lit(1)).alias("n_documents"), flagged.alias("n_flagged"), (flagged / F.count(F.lit(1))).alias("rate"))
+
+
+QUERIES = {"p10_found": p10_found, "p10_scores": p10_scores, "p10_report": p10_report, "p6_found": p6_found, "p7_found": p7_found, "p7_groups": p7_groups, "p8_found": p8_found, "p8_report": p8_report}
 SQL: dict[str, str] = {}
