@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-COSINE = 0.5
+COSINE = 0.25
 #: Abbreviations of kinds of street, directions and parts of place names.
 KINDS = {"street": "st", "avenue": "ave", "road": "rd", "drive": "dr", "lane": "ln", "court": "ct", "boulevard": "blvd", "highway": "hwy", "place": "pl", "parkway": "pkwy", "square": "sq", "circle": "cir", "terrace": "ter", "trail": "trl", "way": "way", "plaza": "plz"}
 KIND = {**KINDS, **{v: v for v in KINDS.values()}, "av": "ave", "str": "st"}
