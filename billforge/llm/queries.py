@@ -4,10 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from billforge.llm import address, leak, neardup, toxic
+from billforge.llm import address, leak, neardup, scanned, toxic
 from billforge.session import read
 
 
+def _scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "searchable_bill").select(F.col("sb_id").alias("id"), F.col("raw_text").alias("text"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scanned.line_defects(_scans(spark, sf_dir)).withColumnRenamed("id", "sb_id").distinct()
+
+
+def p5_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The repaired texts as continuous paragraphs."""
+    return scanned.repaired(_scans(spark, sf_dir)).withColumnRenamed("id", "sb_id").distinct()
+
+
 def _offices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, str]]:
     places = read(spark, sf_dir, "jurisdiction_zone").select("jurisdiction_id", "name").where("name is not null").collect()  # a row per jurisdiction, a fixed table
     regions = {}
@@ -65,5 +78,5 @@ def p10_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("source").agg(F.count(F.lit(1)).alias("n_documents"), flagged.alias("n_flagged"), (flagged / F.count(F.lit(1))).alias("rate"))
 
 
-QUERIES = {"p10_found": p10_found, "p10_scores": p10_scores, "p10_report": p10_report, "p6_found": p6_found, "p7_found": p7_found, "p7_groups": p7_groups, "p8_found": p8_found, "p8_report": p8_report}
+QUERIES = {"p5_found": p5_found, "p5_paragraphs": p5_paragraphs, "p10_found": p10_found, "p10_scores": p10_scores, "p10_report": p10_report, "p6_found": p6_found, "p7_found": p7_found, "p7_groups": p7_groups, "p8_found": p8_found, "p8_report": p8_report}
 SQL: dict[str, str] = {}
