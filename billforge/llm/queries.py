@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from billforge.llm import address, leak, neardup, scanned, toxic
+from billforge.llm import address, leak, mixing, neardup, scanned, toxic
 from billforge.session import read
 
 
@@ -63,6 +63,16 @@ def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.join(found, "item_id").select("item_id", "suite", "n_documents", "longest")
 
 
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each document is used."""
+    return mixing.mix(read(spark, sf_dir, "documents"), read(spark, sf_dir, "source_target"))
+
+
+def p9_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and actual share of each source."""
+    return mixing.shares(p9_mix(spark, sf_dir), read(spark, sf_dir, "source_target"))
+
+
 def p10_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxic.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "review_sample"))
 
@@ -78,5 +88,5 @@ def p10_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("source").agg(F.count(F.lit(1)).alias("n_documents"), flagged.alias("n_flagged"), (flagged / F.count(F.lit(1))).alias("rate"))
 
 
-QUERIES = {"p5_found": p5_found, "p5_paragraphs": p5_paragraphs, "p10_found": p10_found, "p10_scores": p10_scores, "p10_report": p10_report, "p6_found": p6_found, "p7_found": p7_found, "p7_groups": p7_groups, "p8_found": p8_found, "p8_report": p8_report}
+QUERIES = {"p9_mix": p9_mix, "p9_report": p9_report, "p5_found": p5_found, "p5_paragraphs": p5_paragraphs, "p10_found": p10_found, "p10_scores": p10_scores, "p10_report": p10_report, "p6_found": p6_found, "p7_found": p7_found, "p7_groups": p7_groups, "p8_found": p8_found, "p8_report": p8_report}
 SQL: dict[str, str] = {}
