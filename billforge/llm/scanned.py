@@ -26,7 +26,7 @@ LEXICON_SHARE = 1e-6
 #: What scanners misread; the right characters and what is seen.
 CONFUSIONS = [("e", "c"), ("t", "f"), ("a", "@"), ("i", "l"), ("s", "5"), ("o", "0"), ("n", "ri"), ("c", "("), ("l", "1"), ("d", "cl"), ("u", "ii"), ("m", "rn"), ("h", "b"), ("g", "9"), ("b", "6"), ("f", "ſ"), ("ti", "d"), ("w", "vv"), ("li", "h"), ("e", "f"), ("a", "o"), ("i", "1"), ("i", "!"), ("l", "i"), ("l", "|"), ("i", "|"), ("b", "8"), ("g", "6"), ("z", "2"), ("s", "$"), ("s", "9"), ("o", "9"), ("h", "li"), ("d", "ti"), ("m", "nn"), ("c", "e"), ("u", "v"), ("n", "u"), ("rn", "m"), ("cl", "d"), ("q", "9"), ("t", "7"), ("a", "4"), ("e", "3"), ("o", "c"), ("y", "v"), ("in", "m"), ("r", "n"), ("ri", "n"), ("f", "t"), ("k", "lc"), ("p", "µ"), ("o", "ö"), ("e", "é"), ("s", "ſ")]
 DIGITS = {"o": "0", "O": "0", "Q": "0", "D": "0", "l": "1", "I": "1", "i": "1", "|": "1", "!": "1", "Z": "2", "z": "2", "S": "5", "s": "5", "B": "8", "b": "6", "g": "9", "q": "9", "G": "6", "T": "7"}
-HYPHENS = "-‐‑­¬"
+HYPHENS = "-‐‑\u00ad¬"
 #: Costs in nats: of one confusion, of a merge or split at a blank, of a hyphen at a line end, of an unknown word and each of its letters, of a number.
 CONFUSED, BLANK, HYPHENED, UNKNOWN, LETTER, NUMBER = 5.0, 9.0, 1.5, 13.0, 0.9, 4.0
 FURNITURE = {"page", "pg", "p", "of", "introduced", "engrossed", "copy", "draft", "lc", "journal", "the", "house", "senate", "assembly", "legislature", "session", "version", "amended", "enrolled", "reprint", "hb", "sb", "hr", "sr", "hjr", "sjr", "hcr", "scr", "ab", "lb", "no", "special", "regular"}

@@ -24,7 +24,7 @@ SAMPLE_ROWS, TABLE_BITS, GRAMS, ROUNDS, FOLDS, RIDGE, WEAK = 4_000, 20, (2, 3, 4
 _LEET = str.maketrans({"@": "a", "4": "a", "3": "e", "1": "i", "!": "i", "0": "o", "$": "s", "5": "s", "7": "t", "+": "t", "8": "b", "9": "g", "(": "c", "|": "i"})
 _WORD = re.compile(r"[^\s.,;:?\"”“]*[a-z][^\s,;:?\"”“]*[@43!0$57+89(|1][^\s.,;:?\"”“]*[a-z]|[@430$57+89(1|][^\s.,;:?\"”“]*[a-z][^\s.,;:?\"”“]*")
 _SPACED = re.compile(r"(?<![a-z0-9@$*])[a-z@$3017*](?:([ .\-_*·])[a-z@$3017*])(?:\1[a-z@$3017*])+(?![a-z0-9@$])")
-_HIDDEN = re.compile("[­​-‏⁠﻿̀-ͯ]")
+_HIDDEN = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff\u0300-\u036f]")
 _END = re.compile(r"(?<=[.!?;])(?<!\brep\.)(?<!\bsen\.)(?<!\bsec\.)(?<!\b[md]r\.)(?<!\bms\.)(?<!\bmrs\.)(?<!\bno\.)[\"”')]*\s+|\n\s*\n")
 #: A passage of fewer words is read with the next one; fewer n-grams weigh as so many.
 LEAST_WORDS, LEAST_GRAMS = 3, 80
