@@ -17,7 +17,8 @@ def vote_counts(votes: DataFrame, ballots: DataFrame, vote: str, option: str, co
     """
     kinds = ("yes", "no", "other")
     actual = ballots.groupBy(vote).agg(*(F.count_if(F.col(option) == k).alias(f"actual_{k}") for k in kinds))
-    declared = [F.get(F.filter(counts, lambda x, k=k: x["option"] == k), F.lit(0))["value"].alias(f"declared_{k}") for k in kinds]
+    of = lambda k: F.get(F.filter(counts, lambda x: x["option"] == k), F.lit(0))["value"]
+    declared = [of(k).alias(f"declared_{k}") for k in kinds]
     both = votes.select(vote, *declared).join(actual, vote, "left")
     both = both.select(vote, *(F.coalesce(f"actual_{k}", F.lit(0)).alias(f"actual_{k}") for k in kinds), *(f"declared_{k}" for k in kinds))
     bad = F.lit(False)

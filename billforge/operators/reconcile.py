@@ -94,3 +94,15 @@ def duplicate_targets(resolved: DataFrame, target: str, order: list[str], allow:
 def sessions_allowed(scraped: DataFrame, known: DataFrame, ignored: DataFrame, column: str = "session") -> DataFrame:
     """Scraped sessions that are neither known nor ignored."""
     return scraped.select(column).subtract(known.select(column).unionByName(ignored.select(column)))
+
+
+def link_groups(links: DataFrame, owner: str, group: list[str], url: str, order: str) -> DataFrame:
+    """One row per owner and group with its links in order; an owner has a url only once, where it came first."""
+    w = W.partitionBy(owner, url).orderBy(order)
+    once = links.withColumn("_k", F.row_number().over(w)).where("_k = 1")
+    return once.groupBy(owner, *group).agg(F.transform(F.array_sort(F.collect_list(F.struct(order, url))), lambda x: x[url]).alias("links"))
+
+
+def combine_reports(reports: DataFrame, by: list[str], start: str, end: str, counts: list[str]) -> DataFrame:
+    """Reports of several runs as one: the first start, the last end, summed counts."""
+    return reports.groupBy(*by).agg(F.min(start).alias(start), F.max(end).alias(end), *(F.sum(x).alias(x) for x in counts))

@@ -103,3 +103,35 @@ def ancestors(tree: DataFrame, ident: str, parent: str, most: int = 16) -> DataF
         f"with recursive up(id, ancestor, depth) as (select i, p, 1 from _billforge_edges union all "
         f"select up.id, e.p, up.depth + 1 from up join _billforge_edges e on e.i = up.ancestor where up.depth < {most} and e.p <> up.id) select id, ancestor, depth from up"
     )
+
+
+def rewrite_refs(parents: DataFrame, children: str, ref: str, key: str, known: DataFrame, ident: str, required: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(parents with the resolved id of ``ref`` in every entry of an array of structs as ``{ref}_id``, parents left out).
+
+    Entries are exploded, joined and put together again in order. With ``required`` a parent any of whose entries names
+    something unknown is left out whole; without it such an entry gets null. ``known`` has ref and ident, one row per ref.
+    """
+    each = parents.select(key, F.posexplode(children).alias("_pos", "_e")).withColumn(ref, F.col(f"_e.{ref}"))
+    hit = each.join(known.select(ref, F.col(ident).alias("_id")), ref, "left")
+    again = hit.groupBy(key).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_pos", F.col("_e").withField(f"{ref}_id", F.col("_id")).alias("_e")))), lambda x: x["_e"]).alias("_children"),
+        F.max((F.col("_id").isNull() & F.col(ref).isNotNull()).cast("int")).alias("_bad"))
+    both = parents.join(again, key, "left")
+    bad = F.coalesce(F.col("_bad"), F.lit(0)) == 1 if required else F.lit(False)
+    good = both.where(~bad).withColumn(children, F.col("_children")).drop("_children", "_bad")
+    return good, both.where(bad).select(*parents.columns)
+
+
+def organization_name(name: Column) -> Column:
+    """A name in title case with small prepositions and `` and `` for `` & ``; runs of letters begin with a capital wherever they stand."""
+    runs = F.regexp_extract_all(F.lower(name), F.lit("([a-z]+|[^a-z]+)"), F.lit(1))
+    title = F.array_join(F.transform(runs, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1000))), "")
+    for word in ("And", "Of", "The", "On", "For", "In", "To"):
+        title = F.regexp_replace(title, f" {word} ", f" {word.lower()} ")
+    return F.replace(title, F.lit(" & "), F.lit(" and "))
+
+
+def polymorphic(kind: Column, ids: dict[str, Column], name: Column) -> tuple[Column, Column]:
+    """(id, display name) of a reference that is to one of several tables, by its kind; without an id the name stands for it."""
+    ident = F.coalesce(*(F.when(kind == k, i) for k, i in ids.items()))
+    return ident, F.coalesce(ident.cast("string"), name)

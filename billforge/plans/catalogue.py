@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from billforge.plans import general, general_sql
+from billforge.plans import general, general_sql, reference
 
 
 def queries() -> dict:
-    return {**general.QUERIES}
+    return {**general.QUERIES, **reference.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**general_sql.SQL}
+    return {**general_sql.SQL, **reference.SQL}

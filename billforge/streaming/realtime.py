@@ -11,8 +11,11 @@ from pyspark.sql.types import StructType
 from billforge.operators import reconcile
 
 
-def stream(spark: SparkSession, folder: str, schema: StructType | str, form: str = "json", per_trigger: int | None = None) -> DataFrame:
+def stream(spark: SparkSession, folder: str, schema: StructType | str, form: str = "json", per_trigger: int | None = None, only: str | None = None) -> DataFrame:
+    """The files of a folder as a stream; ``only`` is a pattern of file names."""
     reader = spark.readStream.schema(schema)
+    if only:
+        reader = reader.option("pathGlobFilter", only)
     return (reader.option("maxFilesPerTrigger", per_trigger) if per_trigger else reader).format(form).load(folder)
 
 
@@ -52,3 +55,11 @@ def reconcile_batches(rows: DataFrame, table: str, state: str, key: list[str], f
             after(changed, n)
 
     return rows.writeStream.foreachBatch(run).option("checkpointLocation", state).trigger(availableNow=True).start()
+
+
+def reconciled(spark: SparkSession, path: str, schema: StructType, key: list[str], fields: list[str], order: str, work: str, per_trigger: int = 1, only: str | None = None) -> DataFrame:
+    """The table that a stream over parquet files at path leads to, reconciled batch by batch in the shared folder ``work``."""
+    rows = stream(spark, path, schema, "parquet", per_trigger, only)
+    reconcile_batches(rows, f"{work}/table", f"{work}/state", key, fields, F.col(order)).awaitTermination()
+    table = spark.read.parquet(f"{work}/table")
+    return table.where(F.col("v") == table.agg(F.max("v")).first()[0]).drop("v")
