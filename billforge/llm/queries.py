@@ -89,4 +89,19 @@ def p10_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p9_mix": p9_mix, "p9_report": p9_report, "p5_found": p5_found, "p5_paragraphs": p5_paragraphs, "p10_found": p10_found, "p10_scores": p10_scores, "p10_report": p10_report, "p6_found": p6_found, "p7_found": p7_found, "p7_groups": p7_groups, "p8_found": p8_found, "p8_report": p8_report}
-SQL: dict[str, str] = {}
+_LETTERS = "regexp_replace(lower(strip_accents(regexp_replace({0}, '<[a-zA-Z/!?][^<>]*>', {1}, 'g'))), '[^a-z0-9]+', {1}, 'g')"
+
+SQL: dict[str, str] = {
+    "p7_found": """
+with r as (select sb_id, arg_max(coalesce(all_titles, '') || ' ' || raw_text, created_at) as t from searchable_bill where raw_text <> '' group by 1),
+w as (select sb_id, list_filter(string_split_regex(lower(t), '[^a-z0-9]+'), lambda x: x <> '') as w from r),
+s as (select distinct sb_id, unnest(list_transform(generate_series(1, len(w) - 2), lambda i: hash(w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) as x from w),
+n as (select sb_id, count(*) as n from s group by 1),
+c as (select a.sb_id as i, b.sb_id as j, count(*) as common from s a join s b on a.x = b.x and a.sb_id < b.sb_id group by all)
+select i as sb_id_1, j as sb_id_2 from c join n a on a.sb_id = i join n b on b.sb_id = j where 10 * common >= 7 * (a.n + b.n - common)""",
+    "p8_found": f"""
+with d as (select doc_id, {_LETTERS.format("text", "''")} as t from documents),
+w as (select item_id, list_filter(list_transform(string_split_regex(text, '\\s+'), lambda x: {_LETTERS.format("x", "''")}), lambda x: x <> '') as w from eval_item),
+p as (select item_id, unnest(list_transform(generate_series(1, len(w) - 9), lambda i: array_to_string(w[i : i + 9], ''))) as x from w)
+select distinct doc_id, item_id from d join p on contains(d.t, p.x)""",
+}
