@@ -21,7 +21,7 @@ except ImportError:  # YAML documents are then an error where they are read, not
 
 def json_objects(spark: SparkSession, folder: str, kind: str, schema: StructType) -> DataFrame:
     """One row per file ``{kind}_*.json`` with file_name, and unknown_keys for keys that the schema lacks."""
-    text = spark.read.option("wholetext", True).option("pathGlobFilter", f"{kind}_*.json").text(folder)
+    text = spark.read.option("pathGlobFilter", f"{kind}_*.json").text(folder, wholetext=True)
     rows = text.select(F.col("_metadata.file_name").alias("file_name"), F.from_json("value", schema).alias("r"), validate.unknown_keys(F.col("value"), schema).alias("unknown_keys"))
     return rows.select("file_name", "unknown_keys", "r.*")
 
@@ -44,7 +44,7 @@ def yaml_objects(spark: SparkSession, folder: str, schema: StructType) -> tuple[
 
         return texts.map(one)
 
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.yml").text(folder)
+    files = spark.read.option("pathGlobFilter", "*.yml").text(folder, wholetext=True)
     rows = files.select(F.col("_metadata.file_name").alias("file_name"), to_json("value").alias("j")).withColumn("error", F.get_json_object("j", "$._error"))
     good = rows.where("error is null").select("file_name", F.from_json("j", schema).alias("r")).select("file_name", "r.*")
     return good, rows.where("error is not null").select("file_name", "error")
