@@ -5,10 +5,12 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
 BLANKS = r"[\s\u0085\u00a0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]"
+_BEYOND = r"[^\x00-\x7f]"
+_UNEVEN = r"  |[\t-\r]|[^\x00-\x7f]"
 #: Separators used while several fields travel in one string: field of a struct, entry of an array, column.
 FIELD, ENTRY, COLUMN = "\x1f", "\x1e", "\x1d"
 
@@ -27,9 +29,19 @@ def strip(text: Column) -> Column:
 def fold(text: Column) -> Column:
     """Same letter case, Unicode form and blanks. Python sees only rows that hold a character beyond ASCII (and not just other blanks)."""
     blanks = F.regexp_replace(text, f"{BLANKS}+", " ")
-    beyond = F.when(blanks.rlike(r"[^\x00-\x7f]"), blanks)
-    one = F.coalesce(_compose(beyond), F.lower(blanks))
-    return F.regexp_replace(F.regexp_replace(one, " {2,}", " "), " *([\x1d-\x1f]) *", "$1")
+    return _tidied(F.coalesce(_compose(F.when(blanks.rlike(_BEYOND), blanks)), F.lower(blanks)))
+
+
+def _tidied(text: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(text, " {2,}", " "), " *([\x1d-\x1f]) *", "$1")
+
+
+def with_folded(rows: DataFrame, text: Column, name: str) -> DataFrame:
+    """rows with fold(text), in stages so that the blanks are looked for once."""
+    rows = rows.withColumn("_blanks", F.when(text.rlike(_UNEVEN), F.regexp_replace(text, f"{BLANKS}+", " ")).otherwise(text))
+    rows = rows.withColumn("_beyond", F.when(F.col("_blanks").rlike(_BEYOND), F.col("_blanks")))
+    rows = rows.withColumn("_one", F.coalesce(_compose("_beyond"), F.lower("_blanks")))
+    return rows.withColumn(name, _tidied(F.col("_one"))).drop("_blanks", "_beyond", "_one")
 
 
 def entry(*fields: Column) -> Column:

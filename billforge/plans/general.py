@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from billforge.functions.text import COLUMN, bill_key, entries, entry, fold, id_key, packed, part, same_set, strip
+from billforge.functions.text import COLUMN, bill_key, entries, entry, id_key, packed, part, same_set, strip, with_folded
 from billforge.operators.history import satellite_rows, satellite_view, versions
 from billforge.operators.references import orphan_references
 from billforge.operators.snapshots import snapshot_changes
@@ -23,7 +23,7 @@ def _person_satellites(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "person_snapshot").select("id", "snapshot_date", "delivered_at", "party", "roles")
     party = entries(F.transform("party", lambda p: entry(*(p[n] for n in PARTY))))
     roles = entries(F.transform("roles", lambda r: entry(*(_role_field(r, n) for n in ROLE))))
-    rows = rows.withColumn("folded", fold(packed(party, roles)))
+    rows = with_folded(rows, packed(party, roles), "folded")
     return satellite_rows(rows, F.col("id"), F.col("snapshot_date"), F.col("delivered_at"), {"party": same_set(part(F.col("folded"), 0)), "roles": same_set(part(F.col("folded"), 1))})
 
 
@@ -73,9 +73,9 @@ def p2_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "bill_snapshot")
-    folded = fold(packed(F.col("title"), F.col("from_organization"), F.col("latest_action_description"), entries(F.col("classification")), entries(F.col("subject"))))
+    folded = packed(F.col("title"), F.col("from_organization"), F.col("latest_action_description"), entries(F.col("classification")), entries(F.col("subject")))
     content = F.concat_ws(COLUMN, *(part(F.col("_folded"), i) for i in range(3)), *(same_set(part(F.col("_folded"), i)) for i in (3, 4)))
-    rows = rows.withColumn("_folded", folded)
+    rows = with_folded(rows, folded, "_folded")
     found = snapshot_changes(rows, F.col("jurisdiction_id"), [id_key(F.col("legislative_session")), bill_key(F.col("identifier"))], F.col("snapshot_date"), F.col("scraped_at"), content)
     return found.select(F.col("source").alias("jurisdiction_id"), F.col("key_0").alias("legislative_session"), F.col("key_1").alias("identifier"), F.col("snapshot").alias("snapshot_date"), "change_kind")
 

@@ -54,5 +54,11 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if is_small(df, rows) else df
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan cut finer for costly work per row: where it has fewer partitions than the session has cores, as a small table of one file."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
