@@ -19,7 +19,9 @@ from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
+
+from billforge.session import spread
 
 BLOCK_CHARS = 16_000_000
 _TAG = re.compile(r"<(?:[a-zA-Z/!?][^<>]*)>")
@@ -149,7 +151,7 @@ def leaks(documents: DataFrame, items: DataFrame, words: int = 10) -> DataFrame:
     are reported again, an empty table on either side gives an empty result, further columns are not looked at.
     """
     kind = "doc_id bigint, item_id bigint, start bigint, end bigint, n_words int"
-    texts = documents.select("doc_id", "text").where("doc_id is not null and text is not null")
+    texts = spread(documents.select("doc_id", "text").where("doc_id is not null and text is not null"))
     found, block, size = [], [], 0
     for row in items.select("item_id", "text").where("item_id is not null and text is not null").toLocalIterator():
         block.append((row[0], row[1]))

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from billforge.session import broadcast_if_small, checkpoint
+from billforge.session import broadcast_if_small, checkpoint, spread
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 SEED, BUCKETS = 17, 1024
@@ -45,7 +45,7 @@ def _count(path: str):
 
 def token_counts(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """(doc_id, source, n_tokens) of documents (doc_id, source, text); a null text has none."""
-    return documents.select("doc_id", "source", "text").mapInArrow(_count(tokenizer), "doc_id bigint, source string, n_tokens bigint")
+    return spread(documents.select("doc_id", "source", "text")).mapInArrow(_count(tokenizer), "doc_id bigint, source string, n_tokens bigint")
 
 
 def knapsack(counts: dict[int, int], budget: int) -> dict[int, int]:

@@ -18,10 +18,13 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from billforge.session import spread
+
 LEXICON_SHARE = 1e-6
 #: What scanners misread; the right characters and what is seen.
 CONFUSIONS = [("e", "c"), ("t", "f"), ("a", "@"), ("i", "l"), ("s", "5"), ("o", "0"), ("n", "ri"), ("c", "("), ("l", "1"), ("d", "cl"), ("u", "ii"), ("m", "rn"), ("h", "b"), ("g", "9"), ("b", "6"), ("f", "ſ"), ("ti", "d"), ("w", "vv"), ("li", "h"), ("e", "f"), ("a", "o"), ("i", "1"), ("i", "!"), ("l", "i"), ("l", "|"), ("i", "|"), ("b", "8"), ("g", "6"), ("z", "2"), ("s", "$"), ("s", "9"), ("o", "9"), ("h", "li"), ("d", "ti"), ("m", "nn"), ("c", "e"), ("u", "v"), ("n", "u"), ("rn", "m"), ("cl", "d"), ("q", "9"), ("t", "7"), ("a", "4"), ("e", "3"), ("o", "c"), ("y", "v"), ("in", "m"), ("r", "n"), ("ri", "n"), ("f", "t"), ("k", "lc"), ("p", "µ"), ("o", "ö"), ("e", "é"), ("s", "ſ")]
@@ -38,6 +41,7 @@ _CORE = re.compile(r"^([^\w@$(|!ſ]*)(.*?)([^\w@$(|!ſ]*)$", re.S)
 _LEXICAL = re.compile(r"[a-z]+(?:'[a-z]+)?(?:-[a-z]+)*")
 
 
+@lru_cache(100_000)
 def skeleton(word: str) -> str:
     """A word by classes of look-alike characters."""
     s = word.lower()
@@ -80,6 +84,8 @@ def is_furniture(line: str) -> bool:
             numbers += 1
         else:
             other += 1
+            if other > 3:
+                return False
     if {_LEGISLATURE, _SESSION} <= marks and other <= 3 or _JOURNAL in marks and _OF in marks and other <= 3:
         return True
     if other:
@@ -103,6 +109,7 @@ class Decoder:
         self.total = max(1, sum(counts.values()))
         self.cost = {w: math.log(self.total / n) for w, n in counts.items()}
         self.seen: dict[str, tuple[float, str, tuple[int, ...]]] = {}
+        self.tokens: dict[str, tuple[float, str, tuple[int, ...]]] = {}
         self.by_seen: dict[str, list[str]] = {}
         for right, seen in CONFUSIONS:
             self.by_seen.setdefault(seen, []).append(right)
@@ -158,6 +165,14 @@ class Decoder:
 
     def token(self, text: str) -> tuple[float, str, tuple[int, ...]]:
         """word() of a token with its punctuation: an opening parenthesis may also be a misread letter."""
+        known = self.tokens.get(text)
+        if known is None:
+            if len(self.tokens) > 500_000:
+                self.tokens.clear()
+            known = self.tokens[text] = self._token(text)
+        return known
+
+    def _token(self, text: str) -> tuple[float, str, tuple[int, ...]]:
         lead, core, tail = _CORE.match(text).groups()
         own: list[tuple[float, str, tuple[int, ...]]] = []
         stripped = core.strip("(|!$@ſ")
@@ -182,6 +197,10 @@ class Decoder:
             text, line, ends = pieces[i]
             cost, word, places = self.token(text)
             hyphened = ends and len(text) > 1 and text[-1] in HYPHENS and i + 1 < n
+            if cost < UNKNOWN and not hyphened:  # a word as it stands; only a merge with the piece before it could do without it
+                if at + cost < best[i + 1][0]:
+                    best[i + 1] = (at + cost, i, (word, [line] if places else [], None, [line]))
+                continue
             self._offer(best, i, i + 1, at + cost + (BLANK + 3.0 if hyphened else 0.0), (word, [line] if places else [], None, [line]))
             if i + 1 < n and (hyphened or cost >= UNKNOWN):
                 after, later, _ = pieces[i + 1]
@@ -312,7 +331,7 @@ def _map(counts: dict[str, int], kind: str):
 
 
 def _decoded(records: DataFrame, kind: str) -> DataFrame:
-    texts = records.where("id is not null and text <> ''").select("id", "text")
+    texts = spread(records.where("id is not null and text <> ''").select("id", "text"))
     counts = records.sparkSession.sparkContext.broadcast(lexicon(texts))
     return texts.mapInArrow(lambda batches: _map(counts.value, kind)(batches), "id bigint, n int, value string")
 

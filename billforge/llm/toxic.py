@@ -19,6 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from billforge.session import spread
+
 SAMPLE_ROWS, TABLE_BITS, GRAMS, ROUNDS, FOLDS, RIDGE, WEAK = 4_000, 20, (2, 3, 4, 5), 3, 5, 0.02, 0.05
 
 _LEET = str.maketrans({"@": "a", "4": "a", "3": "e", "1": "i", "!": "i", "0": "o", "$": "s", "5": "s", "7": "t", "+": "t", "8": "b", "9": "g", "(": "c", "|": "i"})
@@ -195,4 +197,4 @@ def score(documents: DataFrame, sample: DataFrame, sample_rows: int = SAMPLE_ROW
     """
     rows = sample.select("sample_id", "text", "category").where("text is not null and category is not null").orderBy(F.xxhash64("sample_id"), "sample_id").limit(sample_rows).collect()  # a bounded sample
     model = train([(r[1], r[2] != "none") for r in rows])
-    return documents.select("doc_id", "text").mapInArrow(_score(model), "doc_id bigint, score double, flagged boolean")
+    return spread(documents.select("doc_id", "text")).mapInArrow(_score(model), "doc_id bigint, score double, flagged boolean")
