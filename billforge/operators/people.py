@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -107,3 +109,42 @@ def match_incoming(new: DataFrame, old: DataFrame, ident: str, name: str, role:
     seat = new.alias("n").join(old.alias("o"), on & (F.col(f"o.{seats}") == 1)).select(F.col(f"n.{ident}").alias("new_id"), F.col(f"o.{ident}").alias("old_id"), F.lit(2).alias("k"))
     best = same.unionByName(seat).groupBy("new_id").agg(F.min(F.struct("k", "old_id")).alias("m"))
     return best.select("new_id", F.col("m.old_id").alias("old_id"), F.when(F.col("m.k") == 1, "name").otherwise("role").alias("by"))
+
+
+def current_legislators(memberships: DataFrame, today: Column, chambers: list[str]) -> DataFrame:
+    """One row per current membership in one of the chambers: a person with two is there twice."""
+    s, e = F.coalesce("start_date", F.lit("")), F.coalesce("end_date", F.lit(""))
+    return memberships.where(F.col("chamber").isin(*chambers) & ((s == "") | (s <= today)) & ((e == "") | (e >= today)))
+
+
+def browse(rows: DataFrame, query: str, fields: list[str]) -> DataFrame:
+    """Rows in which every word of the query is inside some field, ignoring case."""
+    for word in query.split():
+        hit = F.lit(False)
+        for f in fields:
+            hit = hit | F.coalesce(F.contains(F.upper(F.col(f).cast("string")), F.lit(word.upper())), F.lit(False))
+        rows = rows.where(hit)
+    return rows
+
+
+def merge_committees(old: DataFrame, new: DataFrame, on: list[str], fixed: list[str], lists: dict[str, str]) -> DataFrame:
+    """Committees of both sides merged: lists by key; conflict names the fixed fields that disagree, and such a committee must not be merged."""
+    a = old.select(*on, F.struct(*fixed, *lists).alias("_o"))
+    b = new.select(*on, F.struct(*fixed, *lists).alias("_n"))
+    both = a.join(b, on)
+    conflict = F.array_compact(F.array(*(F.when(~F.col(f"_o.{f}").eqNullSafe(F.col(f"_n.{f}")), F.lit(f)) for f in fixed)))
+    merged = [merge_lists(F.col(f"_o.{c}"), F.col(f"_n.{c}"), k).alias(c) for c, k in lists.items()]
+    return both.select(*on, conflict.alias("conflict"), *(F.col(f"_n.{f}").alias(f) for f in fixed), *merged)
+
+
+def same_members(old: Column, new: Column) -> Column:
+    """Whether two lists hold the same entries, whatever their order and number."""
+    o, n = F.coalesce(old, F.array()), F.coalesce(new, F.array())
+    return (F.size(F.array_except(o, n)) == 0) & (F.size(F.array_except(n, o)) == 0)
+
+
+def process_offices(offices: Column, phone: Callable[[Column], Column], address: Callable[[Column], Column]) -> Column:
+    """Offices with their phones and addresses in one form, without those that have no value."""
+    blank = lambda x: F.coalesce(F.trim(x), F.lit("")) == ""
+    done = F.transform(offices, lambda x: x.withField("voice", phone(x["voice"])).withField("fax", phone(x["fax"])).withField("address", address(x["address"])))
+    return F.filter(done, lambda x: ~(blank(x["voice"]) & blank(x["fax"]) & blank(x["address"])))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 
@@ -135,3 +137,22 @@ def polymorphic(kind: Column, ids: dict[str, Column], name: Column) -> tuple[Col
     """(id, display name) of a reference that is to one of several tables, by its kind; without an id the name stands for it."""
     ident = F.coalesce(*(F.when(kind == k, i) for k, i in ids.items()))
     return ident, F.coalesce(ident.cast("string"), name)
+
+
+def parent_or_chamber(bodies: DataFrame, organizations: DataFrame, on: list[str]) -> DataFrame:
+    """bodies (parent, chamber, on..) with parent_id: of the parent they name, else of their chamber. ``organizations`` has on.., name, chamber and id."""
+    named = organizations.groupBy(*on, F.col("name").alias("parent")).agg(F.min("id").alias("_by_name"))
+    chambers = organizations.where("chamber is not null").groupBy(*on, "chamber").agg(F.min("id").alias("_by_chamber"))
+    both = bodies.join(named, [*on, "parent"], "left").join(chambers, [*on, "chamber"], "left")
+    return both.withColumn("parent_id", F.when(F.col("parent").isNotNull(), F.col("_by_name")).otherwise(F.col("_by_chamber"))).drop("_by_name", "_by_chamber")
+
+
+def listed_members(lists: DataFrame, people: DataFrame, on: list[str], ids: str, ident: str) -> DataFrame:
+    """One row per body and listed id, with the person of that id if there is one."""
+    each = lists.select(*on, F.explode(ids).alias(ident))
+    return each.join(people, ident, "left")
+
+
+def abnormal(rows: DataFrame, column: str, fix: Callable[[Column], Column]) -> DataFrame:
+    """Rows whose identifier has no blank, with the fixed one."""
+    return rows.where(~F.col(column).contains(" ")).withColumn("fixed", fix(F.col(column)))

@@ -704,3 +704,80 @@ def scrape_counters(t):
 @query("select event_id, name, case when contains(lower(string_split(name, ' ')[1]), 'floor') and not contains(lower(string_split(name, ' ')[1]), 'task') then 'upper' when contains(lower(string_split(name, ' ')[1]), 'task') then 'lower' end as chamber from scrape_event")
 def event_chamber(t):
     return t("scrape_event").select("event_id", "name", hierarchy.chamber_of(c("name"), F.lit("floor"), F.lit("task")).alias("chamber"))
+
+
+# More of the roster and import operators
+
+
+@query(f"""with r as (select id as person_id, unnest(roles, recursive := true) from person_snapshot where snapshot_date = '2023-06-01')
+ select person_id, type as chamber, count(*) as n from r where type in ('upper', 'lower') and (coalesce(start_date, '') = '' or start_date <= '{TODAY}') and (coalesce(end_date, '') = '' or end_date >= '{TODAY}') group by all""")
+def current_legislators(t):
+    roles = t("person_snapshot").where("snapshot_date = '2023-06-01'").select(c("id").alias("person_id"), F.explode("roles").alias("r")).select("person_id", c("r.type").alias("chamber"), c("r.start_date").alias("start_date"), c("r.end_date").alias("end_date"))
+    return people.current_legislators(roles, F.lit(TODAY), ["upper", "lower"]).groupBy("person_id", "chamber").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("select distinct id, title from bill where (contains(upper(title), 'WATER') or contains(upper(coalesce(identifier, '')), 'WATER')) and (contains(upper(title), 'HB') or contains(upper(coalesce(identifier, '')), 'HB'))")
+def browse_bills(t):
+    return people.browse(t("bill"), "water hb", ["title", "identifier"]).select("id", "title").distinct()
+
+
+@query("""with b as (select n_nationkey as k, n_regionkey as r, case when n_nationkey % 3 = 0 then 'NATION_' || (n_nationkey - 5) when n_nationkey % 3 = 1 then n_name end as parent, case when n_nationkey % 2 = 0 then 'upper' else 'lower' end as chamber from nation),
+ o as (select n_regionkey as r, n_name as name, case n_nationkey % 4 when 0 then 'upper' when 1 then 'lower' end as chamber, n_nationkey as id from nation)
+ select k, case when parent is not null then (select min(id) from o where o.r = b.r and o.name = b.parent) else (select min(id) from o where o.r = b.r and o.chamber = b.chamber) end as parent_id from b""")
+def committee_parent(t):
+    k, q = c("n_nationkey"), c("n_nationkey") % 4
+    parent = F.when(k % 3 == 0, F.concat(F.lit("NATION_"), (k - 5).cast("string"))).when(k % 3 == 1, c("n_name"))
+    bodies = t("nation").select(k.alias("k"), c("n_regionkey").alias("r"), parent.alias("parent"), F.when(k % 2 == 0, "upper").otherwise("lower").alias("chamber"))
+    organizations = t("nation").select(c("n_regionkey").alias("r"), c("n_name").alias("name"), F.when(q == 0, "upper").when(q == 1, "lower").alias("chamber"), k.alias("id"))
+    return resolve.parent_or_chamber(bodies, organizations, ["r"]).select("k", "parent_id")
+
+
+@query("select l_orderkey, l_suppkey, s_name from (select distinct l_orderkey, l_suppkey from lineitem) left join supplier on s_suppkey = l_suppkey and s_acctbal > 0")
+def committee_members(t):
+    lists = t("lineitem").groupBy("l_orderkey").agg(F.collect_set("l_suppkey").alias("ids"))
+    known = t("supplier").where("s_acctbal > 0").select(c("s_suppkey").alias("l_suppkey"), "s_name")
+    return resolve.listed_members(lists, known, ["l_orderkey"], "ids", "l_suppkey").select("l_orderkey", "l_suppkey", "s_name")
+
+
+@query("""with a as (select l_orderkey, l_linenumber as k, min(l_partkey) as v from lineitem where l_linenumber <= 4 group by all), b as (select l_orderkey, l_linenumber as k, max(l_partkey) as v from lineitem where l_linenumber >= 3 group by all),
+ m as (select coalesce(a.l_orderkey, b.l_orderkey) as l_orderkey, coalesce(a.k, b.k) as k, coalesce(b.v, a.v) as v from a full join b on a.l_orderkey = b.l_orderkey and a.k = b.k)
+ select l_orderkey, case when l_orderkey % 3 = 0 then ['status'] else [] end as conflict, string_agg(k || ':' || v, ',' order by k) as members from m where l_orderkey in (select l_orderkey from a) and l_orderkey in (select l_orderkey from b) group by 1, 2""")
+def committee_merge(t):
+    rows = t("lineitem").select("l_orderkey", c("l_linenumber").alias("k"), c("l_partkey").alias("v"))
+    side = lambda when, f, status: rows.where(when).groupBy("l_orderkey", "k").agg(f("v").alias("v")).groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("k", "v"))).alias("members")).withColumn("status", status)
+    old, new = side("k <= 4", F.min, F.lit("a")), side("k >= 3", F.max, F.when(c("l_orderkey") % 3 == 0, "b").otherwise("a"))
+    got = people.merge_committees(old, new, ["l_orderkey"], ["status"], {"members": "k"})
+    return got.select("l_orderkey", "conflict", F.array_join(F.transform("members", lambda x: F.concat_ws(":", x["k"], x["v"])), ",").alias("members"))
+
+
+@query("with a as (select l_orderkey, list_sort(list(distinct l_suppkey)) as x, list_sort(list(distinct case when l_orderkey % 3 = 0 then l_suppkey + 1 else l_suppkey end)) as y from lineitem group by 1) select l_orderkey, x = y as same from a")
+def member_set_diff(t):
+    other = F.when(c("l_orderkey") % 3 == 0, c("l_suppkey") + 1).otherwise(c("l_suppkey"))
+    return t("lineitem").groupBy("l_orderkey").agg(F.collect_list("l_suppkey").alias("x"), F.collect_list(other).alias("y")).select("l_orderkey", people.same_members(c("x"), c("y")).alias("same"))
+
+
+@query("select id, identifier, regexp_replace(regexp_replace(upper(identifier), '(?s)^(.*?)([A-Z]*)[\\s\\x{a0}]*0*([-0-9]+)(.*)$', '\\1\\2 \\3\\4'), '^[\\s\\x{a0}]+|[\\s\\x{a0}]+$', '', 'g') as fixed from related_bill where not contains(identifier, ' ')")
+def abnormal_identifiers(t):
+    return resolve.abnormal(t("related_bill"), "identifier", S.fix_bill_id).select("id", "identifier", "fixed")
+
+
+@query("""with s as (select n_nationkey as d, n_nationkey % 4 + 1 as seats from nation), v as (select s_nationkey as d, count(*) filter (s_acctbal >= 0) as v, count(*) filter (s_acctbal < 0) as e from supplier where s_suppkey % 10 = 0 group by 1)
+ select s.d, seats - coalesce(v, 0) as seats, coalesce(e, 0) as n_expired from s left join v using (d)""")
+def seats_less_vacancies(t):
+    seats = t("nation").select(c("n_nationkey").alias("d"), (c("n_nationkey") % 4 + 1).alias("seats"))
+    vacant = t("supplier").where("s_suppkey % 10 = 0").select(c("s_nationkey").alias("d"), F.when(c("s_acctbal") >= 0, "2024-01-01").otherwise("2020-01-01").alias("vacant_until"))
+    return quality.seats_left(seats, vacant, ["d"], F.lit(TODAY))
+
+
+@query("""with o as (select office_id, coalesce(voice, '') as v, coalesce(fax, '') as f, coalesce(regexp_replace(regexp_replace(address, '\\s*\\n\\s*', ';', 'g'), '\\s+', ' ', 'g'), '') as a from scrape_office) select office_id, v as voice, f as fax, a as address from o where trim(v) <> '' or trim(f) <> '' or trim(a) <> ''""")
+def process_offices(t):
+    rows = t("scrape_office").select("office_id", F.array(F.struct(F.coalesce("voice", F.lit("")).alias("voice"), F.coalesce("fax", F.lit("")).alias("fax"), F.coalesce("address", F.lit("")).alias("address"))).alias("o"))
+    return rows.select("office_id", F.explode(people.process_offices(c("o"), S.phone, S.address)).alias("o")).select("office_id", "o.*")
+
+
+@query("select id, i - 1 as order_no, e.option, e.value from (select id, unnest(counts) as e, generate_subscripts(counts, 1) as i from (select distinct on (id) id, counts from vote_event order by id, created_at, len(counts)) )")
+def child_rows(t):
+    from billforge.sources.readers import with_order
+
+    one = derive.latest(t("vote_event"), ["id"], [c("created_at"), F.size("counts")])
+    return with_order(one, "counts", ["id"]).withColumnRenamed("order", "order_no")
