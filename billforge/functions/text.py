@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -11,6 +12,7 @@ from pyspark.sql.types import StringType
 BLANKS = r"[\s\u0085\u00a0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]"
 _BEYOND = r"[^\x00-\x7f]"
 _UNEVEN = r"  |[\t-\r]|[^\x00-\x7f]"
+_BLANK_SIGNS = "".join(c for c in map(chr, [*range(0x110), 0x1680, 0x180E, *range(0x2000, 0x2070), 0x3000, 0xFEFF]) if re.fullmatch(BLANKS, c))
 #: Separators used while several fields travel in one string: field of a struct, entry of an array, column.
 FIELD, ENTRY, COLUMN = "\x1f", "\x1e", "\x1d"
 
@@ -23,7 +25,7 @@ def _compose(text: pd.Series) -> pd.Series:
 
 def strip(text: Column) -> Column:
     """Without blanks of any kind at both ends."""
-    return F.regexp_replace(text, f"^{BLANKS}+|{BLANKS}+$", "")
+    return F.btrim(text, F.lit(_BLANK_SIGNS))
 
 
 def fold(text: Column) -> Column:
@@ -75,6 +77,7 @@ def id_key(text: Column) -> Column:
 def bill_key(identifier: Column) -> Column:
     """A bill identifier as its letters and its number: ``  h.b. 0012`` is ``HB 12``. Null or without content gives an empty string."""
     wide = F.upper(F.coalesce(identifier, F.lit("")))
-    letters = F.regexp_replace(wide, r"[^\p{L}]", "")
-    number = F.regexp_replace(F.regexp_extract(wide, r"([0-9]+)", 1), "^0+(?=[0-9])", "")
+    letters = F.regexp_replace(wide, r"[^\p{L}]+", "")
+    digits = F.regexp_extract(wide, "[0-9]+", 0)
+    number = F.when(digits == "", "").otherwise(F.coalesce(F.nullif(F.ltrim(digits, F.lit("0")), F.lit("")), F.lit("0")))
     return F.trim(F.concat_ws(" ", letters, number))

@@ -1,7 +1,7 @@
 """References to records that do not exist, are deleted, or arrive later than the row that names them.
 
-Keys are laid out on a line by their 128-bit digest and cut into ranges of about equal size. Each range of parents is
-stored as one sorted array; batches of references of the same range probe it by binary search, vectorised. A range that
+Keys are laid out on a line by their hash, which is cut into ranges of about equal size. Each range of parents is stored
+as one array of 128-bit digests, sorted; batches of references of the same range probe it by binary search, vectorised. A range that
 gets many references (a hot key may hold a third of them) is split into blocks, each of which gets its own copy of the
 range's small array, so no task holds more than a bounded batch. Only misses leave the probe.
 """
@@ -19,9 +19,9 @@ REFERENCES_PER_BLOCK = 100_000
 _NEVER = np.iinfo(np.int64).max
 
 
-def _range(digest: Column, ranges: int) -> Column:
-    """The cut of the line 0..2^32 that the digest's first four bytes fall into."""
-    return F.floor(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") * ranges / (1 << 32)).cast("int")
+def _range(key: str, ranges: int) -> Column:
+    """The range of a key: its place on the line 0..2^32, which its hash gives, cut into equal pieces."""
+    return F.floor(F.shiftrightunsigned(F.xxhash64(key), 32) * ranges / F.lit(1 << 32)).cast("int")
 
 
 def parent_arrays(parents: DataFrame, ranges: int) -> DataFrame:
@@ -30,8 +30,8 @@ def parent_arrays(parents: DataFrame, ranges: int) -> DataFrame:
     ``parents`` has key (text) and since (timestamp; null: deleted). Of several rows of a key the earliest counts.
     """
     one = parents.where("key is not null").groupBy("key").agg(F.min("since").alias("since"))
-    digest = one.select(F.md5("key").alias("d"), F.coalesce(F.unix_micros("since"), F.lit(int(_NEVER))).alias("s"))
-    packed = digest.groupBy(_range(F.col("d"), ranges).alias("range")).agg(F.array_sort(F.collect_list(F.struct(F.unhex("d").alias("d"), "s"))).alias("p"))
+    digest = one.select(_range("key", ranges).alias("range"), F.unhex(F.md5("key")).alias("d"), F.coalesce(F.unix_micros("since"), F.lit(int(_NEVER))).alias("s"))
+    packed = digest.groupBy("range").agg(F.array_sort(F.collect_list(F.struct("d", "s"))).alias("p"))
     return packed.select("range", F.col("p.d").alias("keys"), F.col("p.s").alias("since"))
 
 
@@ -63,8 +63,7 @@ def orphan_references(references: DataFrame, parents: DataFrame, parents_per_ran
     """
     ranges = max(1, -(-parents.count() // parents_per_range))
     arrays = parent_arrays(parents, ranges)
-    digest = F.md5("key")
-    refs = references.where("key is not null").select("source", "field", "row_id", F.unix_micros("at").alias("at"), F.unhex(digest).alias("digest"), _range(digest, ranges).alias("range"))
+    refs = references.where("key is not null").select("source", "field", "row_id", F.unix_micros("at").alias("at"), F.unhex(F.md5("key")).alias("digest"), _range("key", ranges).alias("range"))
     load = refs.groupBy("range").count().select("range", F.greatest(F.lit(1), F.ceil(F.col("count") / references_per_block)).cast("int").alias("blocks"))
     load = broadcast_if_small(load)  # a row per range
     refs = refs.join(load, "range").withColumn("block", F.pmod(F.xxhash64("row_id", "at", "digest"), F.col("blocks")).cast("int")).drop("blocks")

@@ -39,7 +39,7 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        shared = sc.getConf().get("spark.checkpoint.dir")
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="billforge-checkpoint-"))
     return df.checkpoint()
 
@@ -57,6 +57,8 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 def spread(scan: DataFrame) -> DataFrame:
     """A scan cut finer for costly work per row: where it has fewer partitions than the session has cores, as a small table of one file."""
     cores = scan.sparkSession.sparkContext.defaultParallelism
+    if "Exchange" in scan._jdf.queryExecution().executedPlan().toString():
+        return scan  # not just a scan; to ask for its partitions would run it
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
