@@ -20,6 +20,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from billforge.session import checkpoint, spread
+
 COSINE = 0.25
 #: Abbreviations of kinds of street, directions and parts of place names.
 KINDS = {"street": "st", "avenue": "ave", "road": "rd", "drive": "dr", "lane": "ln", "court": "ct", "boulevard": "blvd", "highway": "hwy", "place": "pl", "parkway": "pkwy", "square": "sq", "circle": "cir", "terrace": "ter", "trail": "trl", "way": "way", "plaza": "plz"}
@@ -156,7 +158,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def classes(offices: DataFrame, regions: dict[str, str]) -> DataFrame:
     """(id, rep, parts...): addresses with equal parts are one class, named by its least id. Rows with a null id or without an address (null, blank, no number or street) are left out."""
-    rows = offices.where("id is not null and trim(address) <> ''").select("id", "address").distinct()
+    rows = spread(offices.where("id is not null and trim(address) <> ''").select("id", "address"))
     parsed = rows.mapInArrow(_parse(regions), "id bigint, " + ", ".join(f"{f} string" for f in FIELDS)).distinct()
     reps = parsed.groupBy(*FIELDS).agg(F.min("id").alias("rep"))
     return parsed.join(reps, list(FIELDS)).select("id", F.col("rep"), *FIELDS)
@@ -192,7 +194,7 @@ def same_location(offices: DataFrame, regions: dict[str, str]) -> DataFrame:
     ``regions`` (codes and names of regions to one form) is as large as the number of regions. An empty table gives no
     pair; addresses of any length are taken whole; further columns are not looked at.
     """
-    members = classes(offices, regions)
+    members = checkpoint(classes(offices, regions))  # a short row per address, read by several branches below
     pairs = matching_classes(_reps(members))
     ids = members.select("id", "rep")
     across = pairs.join(ids.toDF("x", "rep_1"), "rep_1").join(ids.toDF("y", "rep_2"), "rep_2").select("x", "y")
