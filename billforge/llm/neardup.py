@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from billforge.session import checkpoint
+from billforge.session import checkpoint, spread
 
 SYMBOLS, FINGERPRINTS, SKETCH, SEED = 6, 16, 128, 20240229
 #: Bits in which the sketches of a pair may differ. At likeness 0.7 a bit differs with probability 0.15, so of 128 it is 19.2 with deviation 4.0; this is 5.7 deviations more.
@@ -117,7 +117,8 @@ def classes(records: DataFrame, key: Column, made: Column, text: Column) -> tupl
     Of several rows of an id the one with the greatest ``made`` counts (null the least, ties to the greatest digest). Rows
     with a null id or text are left out.
     """
-    rows = records.select(key.alias("id"), made.alias("made"), normal_words(text).alias("words")).where("id is not null and words is not null").withColumn("d", F.unhex(F.md5("words")))
+    scan = spread(records.select(key.alias("id"), made.alias("made"), text.alias("text")).where("id is not null and text is not null"))
+    rows = scan.select("id", "made", normal_words(F.col("text")).alias("words")).withColumn("d", F.unhex(F.md5("words")))
     current = rows.groupBy("id").agg(F.max(F.struct("made", "d")).alias("m")).select("id", "m.d")
     reps = current.groupBy("d").agg(F.min("id").alias("rep"))
     texts = rows.groupBy("d").agg(F.max("words").alias("words"))
