@@ -58,6 +58,15 @@ def offset_intervals(spark: SparkSession, zones: list[str]) -> DataFrame:
     return spark.createDataFrame(rows, "zone string, year int, local_from long, local_to long, offset int, gap_from long, offset_before int")
 
 
+def _apart(x: Column) -> Column:
+    """x, in a projection that is not compiled into one method with its neighbours.
+
+    All of parsed() in one method is more than the JVM compiles (8,000 bytecodes), and then it is interpreted, three times
+    slower. A higher-order function keeps its projection out of whole-stage code; expressions are still compiled.
+    """
+    return F.get(F.transform(F.array(x), lambda v: v), F.lit(0))
+
+
 def parsed(rows: DataFrame, text: str) -> DataFrame:
     """rows with epoch (seconds), or day (since 1970) and clock (seconds into it) of the local time, and offset (seconds) if the text has one.
 
@@ -70,19 +79,25 @@ def parsed(rows: DataFrame, text: str) -> DataFrame:
     body = F.trim(F.regexp_replace("_s", _ZONE, ""))
     body = F.regexp_replace(body, r"^([0-9]{4})([0-9]{2})([0-9]{2})(?:T([0-9]{2})([0-9]{2})([0-9]{2})?)?$", "$1-$2-$3T$4:$5:$6")
     body = F.regexp_replace(F.regexp_replace(body, "T::$", ""), ":$", "")
-    rows = rows.withColumn("_body", F.regexp_replace(body, r"(?i)^(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,? ", ""))
+    rows = rows.withColumn("_body", _apart(F.regexp_replace(body, r"(?i)^(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,? ", "")))
     rows = rows.withColumn("_day", F.lower(F.regexp_extract("_body", _DAY, 0)))
     rows = rows.withColumn("_rest", F.substring(c("_body"), F.length("_day") + 1, F.length("_body")))
     # Every form of a day becomes year-month-day: a month's name by its number, the year of m/d/y to the front.
     day = F.regexp_replace("_day", r"(?:st|nd|rd|th)?,? ([0-9]{4})$", "/$1")
     day = F.regexp_replace(day, f"^{_MONTH}\\.? ", "$1/")
     rows = rows.withColumn("_parts", F.split(F.regexp_replace(day, r"^([0-9]+)-([0-9]+)-([0-9]+)$", "$2/$3/$1"), "/"))
-    month = F.coalesce(F.try_to_number(F.get("_parts", F.lit(0)), F.lit("99")).cast("int"), F.nullif(F.array_position(F.array(*map(F.lit, MONTHS)), F.get("_parts", F.lit(0))).cast("int"), F.lit(0)))
-    year = F.get("_parts", F.lit(2))
-    rows = rows.withColumn("_date", F.try_to_date(F.concat_ws("-", F.when(F.length(year) == 2, F.concat(F.lit("20"), year)).otherwise(year), F.lpad(month.cast("string"), 2, "0"), F.lpad(F.get("_parts", F.lit(1)), 2, "0")), "yyyy-MM-dd"))
-    rows = rows.withColumn("_t", F.split(F.regexp_replace(F.regexp_extract("_rest", _TIME, 0), _TIME, "$1/$2/$3/$4"), "/"))
-    n = lambda i: F.when(F.get("_t", F.lit(i)) != "", F.get("_t", F.lit(i)).cast("int"))
-    rows = rows.withColumns({"_h": n(0), "_m": n(1), "_sec": F.coalesce(n(2), F.lit(0)), "_mark": F.lower(F.regexp_replace(F.get("_t", F.lit(3)), r"\.", ""))})
+    digits = lambda x: F.when(x.rlike("^[0-9]+$"), x.cast("int"))
+    first, second, third = (F.get("_parts", F.lit(k)) for k in range(3))
+    month = F.coalesce(digits(first), F.nullif(F.array_position(F.array(*map(F.lit, MONTHS)), first).cast("int"), F.lit(0)))
+    rows = rows.withColumns({"_mm": month, "_dd": digits(second), "_yy": digits(third) + F.when(F.length(third) == 2, 2000).otherwise(0)})
+    leap = ((c("_yy") % 4 == 0) & (c("_yy") % 100 != 0)) | (c("_yy") % 400 == 0)
+    last = F.when(c("_mm") == 2, F.when(leap, 29).otherwise(28)).when(c("_mm").isin(4, 6, 9, 11), 30).otherwise(31)
+    exists = c("_mm").between(1, 12) & c("_dd").between(1, last) & c("_yy").between(1, 9999)
+    rows = rows.withColumn("_date", F.when(exists, F.make_date("_yy", "_mm", "_dd")))
+    g = lambda k: F.regexp_extract("_rest", _TIME, k)
+    rows = rows.withColumns({"_g1": _apart(g(1)), "_g2": g(2), "_g3": g(3), "_mark": F.lower(F.replace(g(4), F.lit("."), F.lit("")))})
+    n = lambda x: F.when(c(x) != "", c(x).cast("int"))
+    rows = rows.withColumns({"_h": n("_g1"), "_m": n("_g2"), "_sec": F.coalesce(n("_g3"), F.lit(0))})
     twelve = c("_mark").isin("am", "pm", "noon", "midnight")
     hour = F.when(twelve & c("_h").between(1, 12), c("_h") % 12 + F.when(c("_mark").isin("pm", "noon"), 12).otherwise(0)).when((c("_mark") == "") & c("_m").isNotNull() & (c("_h") <= 23), c("_h"))
     minute = F.coalesce("_m", F.lit(0))
@@ -91,7 +106,7 @@ def parsed(rows: DataFrame, text: str) -> DataFrame:
     fixed = F.create_map(*(F.lit(x) for k, v in FIXED_OFFSETS.items() for x in (k, v * 3600)))
     digits = F.regexp_replace("_zone", "[^0-9]", "")
     numeric = F.when(c("_zone").rlike("^[+-]"), F.when(c("_zone").startswith("-"), -1).otherwise(1) * (F.substring(digits, 1, 2).cast("int") * 3600 + F.substring(digits, 3, 2).cast("int") * 60))
-    rows = rows.withColumns({"_clock": clock, "_offset": F.coalesce(numeric, F.try_element_at(fixed, c("_zone")))})
+    rows = rows.withColumns({"_clock": _apart(clock), "_offset": F.coalesce(numeric, F.try_element_at(fixed, c("_zone")))})
     usable = c("_epoch").isNull() & c("_clock").isNotNull() & (c("_date").isNotNull() | (c("_day") == ""))
     f = lambda x: F.when(usable, x)
     rows = rows.withColumns({"epoch": c("_epoch"), "day": f(F.unix_date("_date")), "clock": f(c("_clock")), "offset": f(c("_offset"))})
