@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 import re
-import unicodedata
+import string
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -39,7 +39,7 @@ _CLASS = str.maketrans({"0": "o", "a": "o", "@": "o", "q": "o", "1": "i", "l": "
 _ROMAN = re.compile(r"(?=[ivxlc])c?(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})", re.I)
 _NUMBER = re.compile(r"[$(\[\"“]*[0-9][0-9,./:-]*[)\]\"”%]*[.,;:)]*")
 _CORE = re.compile(r"^([^\w@$(|!ſ]*)(.*?)([^\w@$(|!ſ]*)$", re.S)
-_SIGNS = "".join(c for c in map(chr, range(0x2100)) if unicodedata.category(c)[0] in "PSZC" and not c.isspace())
+_SIGNS = string.punctuation + "\u201c\u201d\u2018\u2019\u2013\u2014\u2026\u00a7\u00b6\u2022\u00a0"
 _LEXICAL = re.compile(r"[a-z]+(?:'[a-z]+)?(?:-[a-z]+)*")
 
 
@@ -304,9 +304,10 @@ def _breaks(lines: list[str], hidden: list[bool], kept: list[int]) -> set[int]:
 def lexicon(texts: DataFrame, share: float = LEXICON_SHARE) -> dict[str, int]:
     """Counts of the words inside the lines of all different texts: at most 1/share words. ``texts`` has text."""
     unlike = texts.where("text is not null").select("text", F.xxhash64("text").alias("h")).dropDuplicates(["h"])
-    inside = F.regexp_replace(F.regexp_replace(F.lower("text"), r"(?m)^[ \t\x0c]*+\S++|(?<!\S)\S++[ \t]*+$", " "), "[\n\x0c]", " ")
-    words = unlike.select(F.explode(F.split(inside, r"\s+")).alias("w")).select(F.btrim("w", F.lit(_SIGNS)).alias("w")).where(F.col("w").rlike(f"^{_LEXICAL.pattern}$"))
-    counts = words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    inside = F.regexp_replace(F.regexp_replace(F.lower("text"), r"(?m)^[ \t\x0c]*+\S++|(?<!\S)\S++[ \t]*+$", " "), "\\s+", " ")
+    tokens = unlike.select(F.explode(F.split(inside, " ")).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    words = tokens.select(F.btrim("w", F.lit(_SIGNS)).alias("w"), "n").where(F.col("w").rlike(f"^{_LEXICAL.pattern}$"))
+    counts = words.groupBy("w").agg(F.sum("n").alias("n")).where("n > 1")
     counts = counts.persist()
     try:
         total = counts.agg(F.sum("n")).first()[0] or 0
