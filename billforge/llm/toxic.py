@@ -26,6 +26,7 @@ SAMPLE_ROWS, TABLE_BITS, GRAMS, ROUNDS, FOLDS, RIDGE, WEAK = 4_000, 20, (2, 3, 4
 _LEET = str.maketrans({"@": "a", "4": "a", "3": "e", "1": "i", "!": "i", "0": "o", "$": "s", "5": "s", "7": "t", "+": "t", "8": "b", "9": "g", "(": "c", "|": "i"})
 _WORD = re.compile(r"[^\s.,;:?\"”“]*[a-z][^\s,;:?\"”“]*[@43!0$57+89(|1][^\s.,;:?\"”“]*[a-z]|[@430$57+89(1|][^\s.,;:?\"”“]*[a-z][^\s.,;:?\"”“]*")
 _SPACED = re.compile(r"(?<![a-z0-9@$*])[a-z@$3017*](?:([ .\-_*·])[a-z@$3017*])(?:\1[a-z@$3017*])+(?![a-z0-9@$])")
+_SIGN, _DIGITS, _TWICE, _OTHER = re.compile(r"[@43!0$57+89(|1]"), re.compile(r"\d+"), re.compile(r"([^\W\d_])\1+"), re.compile(r"[^\w*#]+")
 _HIDDEN = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff\u0300-\u036f]")
 _END = re.compile(r"(?<=[.!?;])(?<!\brep\.)(?<!\bsen\.)(?<!\bsec\.)(?<!\b[md]r\.)(?<!\bms\.)(?<!\bmrs\.)(?<!\bno\.)[\"”')]*\s+|\n\s*\n")
 #: A passage of fewer words is read with the next one; fewer n-grams weigh as so many.
@@ -43,9 +44,9 @@ def passages(text: str | None) -> list[str]:
     s = _SPACED.sub(lambda m: m[0].replace(m[1], ""), s)
     out, before = [], ""
     for p in _END.split(s):
-        p = _WORD.sub(lambda m: m[0].translate(_LEET) if re.search("[a-z]", m[0]) else m[0], p)
-        p = re.sub(r"([^\W\d_])\1+", r"\1", re.sub(r"\d+", "#", p))
-        p = re.sub(r"[^\w*#]+", " ", p).strip()
+        if _SIGN.search(p):
+            p = _WORD.sub(lambda m: m[0].translate(_LEET), p)
+        p = _OTHER.sub(" ", _TWICE.sub(r"\1", _DIGITS.sub("#", p))).strip()
         p = f"{before} {p}".strip()
         before = p if p.count(" ") < LEAST_WORDS - 1 else ""
         if p and not before:
