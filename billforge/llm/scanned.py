@@ -38,6 +38,7 @@ _SKELETON = [("vv", "w"), ("rn", "m"), ("ri", "n"), ("cl", "d"), ("ii", "u"), ("
 _CLASS = str.maketrans({"0": "o", "a": "o", "@": "o", "q": "o", "1": "i", "l": "i", "|": "i", "!": "i", "5": "s", "$": "s", "9": "g", "8": "b", "6": "b", "h": "b", "2": "z", "e": "c", "f": "c", "t": "c", "(": "c", "ſ": "c", "7": "c"})
 _ROMAN = re.compile(r"(?=[ivxlc])c?(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})", re.I)
 _NUMBER = re.compile(r"[$(\[\"“]*[0-9][0-9,./:-]*[)\]\"”%]*[.,;:)]*")
+_NUMBERED = re.compile(r"[\[\-\u2013\u2014=~* ]*([0-9A-Za-z|]{1,8})[\]\-\u2013\u2014=~* ]*")
 _CORE = re.compile(r"^([^\w@$(|!ſ]*)(.*?)([^\w@$(|!ſ]*)$", re.S)
 _SIGNS = string.punctuation + "\u201c\u201d\u2018\u2019\u2013\u2014\u2026\u00a7\u00b6\u2022\u00a0"
 _LEXICAL = re.compile(r"[a-z]+(?:'[a-z]+)?(?:-[a-z]+)*")
@@ -67,7 +68,7 @@ def is_furniture(line: str) -> bool:
     s = line.strip().strip("\x0c").strip()
     if not s or len(s) > 80 or s[-1] in ".,;:" or "$" in s:
         return False
-    if re.fullmatch(r"[\[\-–—=~* ]*(?:[0-9]{1,5}|" + _ROMAN.pattern + r")[\]\-–—=~* ]*", s, re.I):
+    if (m := _NUMBERED.fullmatch(s)) and (_ROMAN.fullmatch(m[1]) or _is_number(m[1]) and (any(x.isdigit() for x in m[1]) or m[1] == "Z" or len(m[0]) > len(m[1]))):
         return True
     tokens = [t for t in re.split(r"[\s/,.\[\]–—-]+", s) if t]
     if not tokens or any(c in s for c in "()") and not re.search(r"[a-z(]\(|\([a-z(]", s):
