@@ -89,3 +89,31 @@ def person_rules(today: Column, majors: list[str]) -> list[Rule]:
 def office_rules() -> list[Rule]:
     blank = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
     return [("office: no value", blank("address") & blank("voice") & blank("fax")), like("voice", scalars.PHONE), like("fax", scalars.PHONE), single_line("voice")]
+
+
+def handle_rule(name: str) -> Rule:
+    """A social handle is neither a link nor begins with an at sign."""
+    return f"{name}: not a handle", F.coalesce(F.col(name).rlike(r"^@|://|/"), F.lit(False))
+
+
+def committee_rules() -> list[Rule]:
+    """A committee (name, classification, parent, n_members): a subcommittee and only it has a parent; somebody is in it."""
+    has_parent = F.coalesce(F.col("parent"), F.lit("")) != ""
+    return [
+        filled("name"),
+        one_of("classification", ["committee", "subcommittee"]),
+        ("parent: missing", (F.col("classification") == "subcommittee") & ~has_parent),
+        ("parent: of a committee", (F.col("classification") == "committee") & has_parent),
+        ("members: none", F.coalesce(F.col("n_members"), F.lit(0)) < 1),
+    ]
+
+
+def repeated_values(rows: DataFrame, owner: list[str], fields: list[str]) -> DataFrame:
+    """(owner.., field, value, n): values of a field that an owner has more than once; empty ones do not count."""
+    each = rows.select(*owner, F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields))).alias("_v")).select(*owner, "_v.*")
+    return each.where(F.coalesce(F.trim("value"), F.lit("")) != "").groupBy(*owner, "field", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def unknown(rows: DataFrame, known: DataFrame, column: str) -> DataFrame:
+    """Rows whose value in column is not among the known ones; a null is not known either."""
+    return rows.join(known.select(column).distinct(), column, "left_anti")

@@ -620,10 +620,13 @@ def lint_office(t):
     return validate.check(t("scrape_office"), validate.office_rules()).select("office_id", "person_name", "errors")
 
 
-@query()
+@query(f"""with p as (select id, name, given_name, family_name, coalesce(roles, []) as r, list_filter(coalesce(roles, []), lambda x: coalesce(x.end_date, '') = '' or x.end_date > '{TODAY}') as ar, list_filter(coalesce(party, []), lambda x: coalesce(x.end_date, '') = '' or x.end_date > '{TODAY}') as ap from person_snapshot where snapshot_date = '2023-06-01')
+ select id, list_filter([case when len(ar) = 0 then 'roles: none active' end, case when len(ar) > 1 then 'roles: several active' end, case when len(list_filter(r, lambda x: x.type in ('upper', 'lower') and coalesce(x.district, '') = '')) > 0 then 'roles: no district' end,
+ case when len(list_filter(ar, lambda x: x.type in ('upper', 'lower', 'legislature'))) > 0 and len(ap) = 0 then 'party: none active' end, case when len(list_filter(ap, lambda x: x.name in ('Harbor Liberal', 'Prairie Labor'))) > 1 then 'party: several major' end, case when len(string_split(name, ',')) > 2 then 'name: commas' end,
+ case when len(string_split(name, ',')) = 2 and not regexp_matches(name, '(?i),.*\\b(jr|sr|i{{2,3}}|iv|v|m\\.?d|ph\\.?d|esq)\\b') then 'name: suffix' end, case when len(string_split_regex(trim(name), '\\s+')) = 2 and (coalesce(given_name, '') = '' or coalesce(family_name, '') = '') then 'name: no given or family name' end], lambda e: e is not null) as errors from p""")
 def lint_person(t):
     rows = t("person_snapshot").where("snapshot_date = '2023-06-01'")
-    return validate.check(rows, validate.person_rules(F.lit(TODAY), ["Harbor Liberal", "Prairie Labor"])).select("id", "delivered_at", "errors")
+    return validate.check(rows, validate.person_rules(F.lit(TODAY), ["Harbor Liberal", "Prairie Labor"])).select("id", "errors")
 
 
 # Streaming
@@ -781,3 +784,33 @@ def child_rows(t):
 
     one = derive.latest(t("vote_event"), ["id"], [c("created_at"), F.size("counts")])
     return with_order(one, "counts", ["id"]).withColumnRenamed("order", "order_no")
+
+
+# More validation
+
+
+@query("""with m as (select s_nationkey as k, count(*) as n from supplier where s_acctbal > 8000 group by 1), x as (select n_name as name, case when n_nationkey % 3 = 0 then 'subcommittee' else 'committee' end as classification, case when n_nationkey % 2 = 0 then r_name end as parent, coalesce(n, 0) as n from nation join region on r_regionkey = n_regionkey left join m on k = n_nationkey)
+ select name, list_filter([case when classification = 'subcommittee' and parent is null then 'parent: missing' end, case when classification = 'committee' and parent is not null then 'parent: of a committee' end, case when n < 1 then 'members: none' end], lambda e: e is not null) as errors from x""")
+def lint_committee(t):
+    members = t("supplier").where("s_acctbal > 8000").groupBy(c("s_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("n_members"))
+    k = c("n_nationkey")
+    rows = t("nation").join(t("region"), c("n_regionkey") == c("r_regionkey")).join(members, "n_nationkey", "left")
+    rows = rows.select(c("n_name").alias("name"), F.when(k % 3 == 0, "subcommittee").otherwise("committee").alias("classification"), F.when(k % 2 == 0, c("r_name")).alias("parent"), "n_members")
+    return validate.check(rows, validate.committee_rules()).select("name", "errors")
+
+
+@query("""select person_name, jurisdiction_id, field, value, count(*) as n from (select person_name, jurisdiction_id, 'address' as field, address as value from scrape_office union all select person_name, jurisdiction_id, 'name', name from scrape_office)
+ where trim(coalesce(value, '')) <> '' group by all having count(*) > 1""")
+def repeated_office_values(t):
+    return validate.repeated_values(t("scrape_office"), ["person_name", "jurisdiction_id"], ["address", "name"])
+
+
+@query("select distinct id from bill where jurisdiction_id not in (select jurisdiction_id from jurisdiction_zone where name < 'N')")
+def jurisdiction_lint(t):
+    return validate.unknown(t("bill"), t("jurisdiction_zone").where("name < 'N'"), "jurisdiction_id").select("id").distinct()
+
+
+@query("select id, email, coalesce(regexp_matches(email, '^@|://|/'), false) as bad from person_snapshot where email is not null")
+def handle_check(t):
+    rows = t("person_snapshot").where("email is not null")
+    return rows.select("id", "email", validate.handle_rule("email")[1].alias("bad"))
