@@ -43,7 +43,7 @@ def letters(text: str) -> str:
     if "<" in text:
         text = _TAG.sub("", text)
     if "&" in text:
-        text = html.unescape(text)
+        text = _ENTITY.sub(lambda m: html.unescape(m[0]), text)
     return _plain(text)
 
 
@@ -76,7 +76,7 @@ def mapped(text: str) -> tuple[str, list[int], list[int], list[bool]]:
 
 def item_words(text: str) -> list[str]:
     """The words of an item as a reader counts them: what stands between blanks and has a letter or digit."""
-    return [w for w in (letters(x) for x in _TAG.sub(" ", html.unescape(text)).split()) if w]
+    return [w for w in (letters(x) for x in _TAG.sub(" ", text).split()) if w]
 
 
 class Scanner:
