@@ -8,7 +8,7 @@ from __future__ import annotations
 import argparse
 
 from billforge.plans import catalogue
-from billforge.session import get_spark
+from billforge.session import get_spark, ship
 
 COMMANDS = {
     "import": "change_classification", "import-report": "import_counters", "update-computed": "bill_computed_fields", "session-report": "session_vote_report", "text-status": "text_status",
@@ -32,7 +32,9 @@ def main(argv: list[str] | None = None) -> int:
     name = COMMANDS.get(a.name, a.name)
     if name not in queries or not a.folder:
         p.error("no such command, or no folder")
-    df = queries[name](get_spark("*"), a.folder)
+    spark = get_spark("*")
+    ship(spark)
+    df = queries[name](spark, a.folder)
     if a.explain:
         df.explain("formatted")
     elif a.out:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -32,6 +33,20 @@ def get_spark(cores: int | str = 8, memory: str = "12g", app: str = "billforge")
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable by the Python workers wherever they run, once per context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_billforge_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="billforge-"), "billforge.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(target))  # read once, by the driver, which hands it out
+    sc._billforge_shipped = True
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage by a reliable checkpoint in the folder the cluster shares (``spark.checkpoint.dir``).
 
