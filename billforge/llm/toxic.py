@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from billforge.session import spread
 
-SAMPLE_ROWS, TABLE_BITS, GRAMS, ROUNDS, FOLDS, RIDGE, WEAK = 4_000, 20, (2, 3, 4, 5), 3, 5, 0.02, 0.05
+SAMPLE_ROWS, TABLE_BITS, GRAMS, ROUNDS, FOLDS, RIDGE, WEAK = 4_000, 20, (2, 3, 4, 5), 3, 5, 0.02, 0.15
 
 _LEET = str.maketrans({"@": "a", "4": "a", "3": "e", "1": "i", "!": "i", "0": "o", "$": "s", "5": "s", "7": "t", "+": "t", "8": "b", "9": "g", "(": "c", "|": "i"})
 _WORD = re.compile(r"[^\s.,;:?\"”“]*[a-z][^\s,;:?\"”“]*[@43!0$57+89(|1][^\s.,;:?\"”“]*[a-z]|[@430$57+89(1|][^\s.,;:?\"”“]*[a-z][^\s.,;:?\"”“]*")
