@@ -34,8 +34,10 @@ def get_spark(cores: int | str = 8, memory: str = "12g", app: str = "billforge")
 
 
 def ship(spark: SparkSession) -> None:
-    """Make this package importable by the Python workers wherever they run, once per context."""
+    """Make this package importable by the Python workers wherever they run, once per context; timestamps are read as UTC."""
     sc = spark.sparkContext
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     if getattr(sc, "_billforge_shipped", False):
         return
     package = Path(__file__).resolve().parent
