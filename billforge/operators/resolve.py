@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from billforge.session import checkpoint
+
 
 def resolve_unique(refs: DataFrame, candidates: DataFrame, on: list[str], ident: str) -> DataFrame:
     """refs with resolved (the one candidate of the key, else null) and n_candidates."""
@@ -96,15 +98,22 @@ def repoint(rows: DataFrame, merged: DataFrame, column: str) -> DataFrame:
     return rows.join(to, column, "left").withColumn(column, F.coalesce("_new", column)).drop("_new")
 
 
-def ancestors(tree: DataFrame, ident: str, parent: str, most: int = 16) -> DataFrame:
-    """(ident, ancestor, depth), nearest first; the walk ends at a root, at a node already met, or after ``most`` steps."""
-    spark = tree.sparkSession
-    edges = tree.select(F.col(ident).cast("string").alias("i"), F.col(parent).cast("string").alias("p")).where("p is not null")
-    edges.createOrReplaceTempView("_billforge_edges")
-    return spark.sql(
-        f"with recursive up(id, ancestor, depth) as (select i, p, 1 from _billforge_edges union all "
-        f"select up.id, e.p, up.depth + 1 from up join _billforge_edges e on e.i = up.ancestor where up.depth < {most} and e.p <> up.id) select id, ancestor, depth from up"
-    )
+def ancestors(tree: DataFrame, ident: str, parent: str) -> DataFrame:
+    """(id, ancestor, depth), nearest first; the walk ends at a root or at a node already met, however far that is.
+
+    By doubling: the pairs at the greatest depth so far, a power of two, are joined to all pairs, until none is new. Of several
+    ways to an ancestor the shortest counts.
+    """
+    edges = tree.select(F.col(ident).cast("string").alias("id"), F.col(parent).cast("string").alias("ancestor"), F.lit(1).alias("depth"))
+    found = checkpoint(edges.where("id <> ancestor").distinct())
+    far, reach = found, 1
+    while not far.isEmpty():
+        way = far.select("id", F.col("ancestor").alias("_via"), F.col("depth").alias("_d")).join(found.select(F.col("id").alias("_via"), "ancestor", "depth"), "_via")
+        longer = way.where("id <> ancestor").groupBy("id", "ancestor").agg(F.min(F.col("_d") + F.col("depth")).alias("depth"))
+        new = checkpoint(longer.join(found.select("id", "ancestor"), ["id", "ancestor"], "left_anti"))
+        found, reach = found.unionByName(new), 2 * reach
+        far = new.where(F.col("depth") == reach)
+    return found
 
 
 def rewrite_refs(parents: DataFrame, children: str, ref: str, key: str, known: DataFrame, ident: str, required: bool = True) -> tuple[DataFrame, DataFrame]:

@@ -219,3 +219,11 @@ def test_fulltext(spark):
     df = spark.createDataFrame([("a", "text/html", "<p>x</p>"), ("a", "text/plain", " 1 y"), ("b", "text/plain", "z")], "place string, media string, raw string")
     got = fulltext.extract(df, [(None, "text/html", "paragraphs"), ("a", "text/plain", "numbered")], "place", "media", "raw")
     assert [r.text for r in got.collect()] == ["x", "y", "z"]
+
+
+def test_ancestors_to_root(spark):
+    chain = spark.range(1, 41).select(c("id").alias("i"), F.when(c("id") > 1, c("id") - 1).alias("p"))
+    got = {(r.id, r.ancestor): r.depth for r in resolve.ancestors(chain, "i", "p").collect()}
+    assert got == {(str(i), str(a)): i - a for i in range(1, 41) for a in range(1, i)}
+    loop = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("d", "b"), ("e", "e"), ("f", None)], "i string, p string")
+    assert rows(resolve.ancestors(loop, "i", "p")) == [("a", "b", 1), ("a", "c", 2), ("a", "d", 3), ("b", "c", 1), ("b", "d", 2), ("c", "b", 2), ("c", "d", 1), ("d", "b", 1), ("d", "c", 2)]
