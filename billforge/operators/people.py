@@ -103,11 +103,16 @@ def search(persons: DataFrame, query: Column, name: str = "name", current: Colum
 
 
 def match_incoming(new: DataFrame, old: DataFrame, ident: str, name: str, role: list[str], seats: str) -> DataFrame:
-    """(new id, old id, by): persons of equal name, else of equal role where it has one seat; of several the first old id."""
-    same = new.alias("n").join(old.alias("o"), F.upper(f"n.{name}") == F.upper(f"o.{name}")).select(F.col(f"n.{ident}").alias("new_id"), F.col(f"o.{ident}").alias("old_id"), F.lit(1).alias("k"))
-    on = _all(F.col(f"n.{c}") == F.col(f"o.{c}") for c in role)
-    seat = new.alias("n").join(old.alias("o"), on & (F.col(f"o.{seats}") == 1)).select(F.col(f"n.{ident}").alias("new_id"), F.col(f"o.{ident}").alias("old_id"), F.lit(2).alias("k"))
-    best = same.unionByName(seat).groupBy("new_id").agg(F.min(F.struct("k", "old_id")).alias("m"))
+    """(new id, old id, by): persons of equal name, else of equal role where it has one seat; of several the first old id.
+
+    Old persons are first reduced to one per name and one per role, so that no join multiplies rows.
+    """
+    named = old.groupBy(F.upper(name).alias("_name")).agg(F.min(ident).alias("_by_name"))
+    seated = old.where(F.col(seats) == 1).groupBy(*(F.col(r).alias(f"_{r}") for r in role)).agg(F.min(ident).alias("_by_role"))
+    rows = new.select(F.col(ident).alias("new_id"), F.upper(name).alias("_upper"), *role)
+    both = rows.join(named, F.col("_upper") == F.col("_name"), "left").join(seated, _all(F.col(r) == F.col(f"_{r}") for r in role), "left")
+    found = F.when(F.col("_by_name").isNotNull(), F.struct(F.lit(1).alias("k"), F.col("_by_name").alias("old_id"))).when(F.col("_by_role").isNotNull(), F.struct(F.lit(2).alias("k"), F.col("_by_role").alias("old_id")))
+    best = both.groupBy("new_id").agg(F.min(found).alias("m")).where("m is not null")
     return best.select("new_id", F.col("m.old_id").alias("old_id"), F.when(F.col("m.k") == 1, "name").otherwise("role").alias("by"))
 
 

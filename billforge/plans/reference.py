@@ -681,6 +681,14 @@ def incoming_match(t):
     return people.match_incoming(rows.where("id % 50 = 1"), rows.where("id % 500 = 3").withColumn("name", (c("name").cast("bigint") + 1).cast("string")), "id", "name", ["a", "b"], "seats")
 
 
+@query("""with o as (select o_orderkey as id, o_custkey * 2 as name, o_orderstatus as a, o_orderpriority as b, o_orderkey % 2 + 1 as seats from orders), x as (select name, min(id) as id from o group by 1), y as (select a, b, min(id) as id from o where seats = 1 group by 1, 2)
+ select n.o_orderkey as new_id, coalesce(x.id, y.id) as old_id, case when x.id is not null then 'name' else 'role' end as by from orders n left join x on x.name = n.o_custkey left join y on y.a = n.o_orderstatus and y.b = n.o_orderpriority where x.id is not null or y.id is not null""")
+def incoming_match_whole(t):
+    k = c("o_orderkey")
+    rows = t("orders").select(k.alias("id"), c("o_custkey").cast("string").alias("name"), c("o_orderstatus").alias("a"), c("o_orderpriority").alias("b"), (k % 2 + 1).alias("seats"))
+    return people.match_incoming(rows, rows.withColumn("name", (c("name").cast("bigint") * 2).cast("string")), "id", "name", ["a", "b"], "seats")
+
+
 @query("select jurisdiction_id, min(snapshot_date) as start_date, max(snapshot_date) as end_date, sum(n) as n from (select jurisdiction_id, snapshot_date, count(*) as n from bill_snapshot group by all) group by 1")
 def report_combine(t):
     runs = t("bill_snapshot").groupBy("jurisdiction_id", "snapshot_date").agg(F.count(F.lit(1)).alias("n")).withColumns({"start_date": c("snapshot_date"), "end_date": c("snapshot_date")})

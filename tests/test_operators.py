@@ -227,3 +227,22 @@ def test_ancestors_to_root(spark):
     assert got == {(str(i), str(a)): i - a for i in range(1, 41) for a in range(1, i)}
     loop = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("d", "b"), ("e", "e"), ("f", None)], "i string, p string")
     assert rows(resolve.ancestors(loop, "i", "p")) == [("a", "b", 1), ("a", "c", 2), ("a", "d", 3), ("b", "c", 1), ("b", "d", 2), ("c", "b", 2), ("c", "d", 1), ("d", "b", 1), ("d", "c", 2)]
+
+
+def test_incoming_match(spark, data):
+    kind = "id int, name string, a string, b string, seats int"
+    old = spark.createDataFrame([(1, "Ann", "u", "1", 2), (2, "ann", "l", "1", 1), (3, "Bo", "l", "1", 1), (4, None, "l", None, 1)], kind)
+    new = spark.createDataFrame([(10, "ANN", "l", "1", 1), (11, "Cy", "l", "1", 1), (12, "Cy", "u", "1", 1), (13, None, "l", None, 1), (14, "bo", "x", "1", 1)], kind)
+    assert rows(people.match_incoming(new, old, "id", "name", ["a", "b"], "seats")) == [(10, 1, "name"), (11, 2, "role"), (14, 3, "name")]
+    # One role for all: the pairs of a group would be 4,000,000,000,000.
+    many = spark.range(2_000_000).select("id", F.concat(F.lit("n"), "id").alias("name"), F.lit("x").alias("a"), F.lit("y").alias("b"), F.lit(1).alias("seats"))
+    got = people.match_incoming(many.withColumn("name", F.concat(F.lit("m"), "id")), many, "id", "name", ["a", "b"], "seats")
+    assert rows(got.groupBy("old_id", "by").count()) == [(0, "role", 2_000_000)]
+
+
+def test_incoming_match_whole(spark, data):
+    from billforge.plans import reference
+
+    got = {r.by: r["count"] for r in reference.QUERIES["incoming_match_whole"](spark, data).groupBy("by").count().collect()}
+    orders = spark.read.parquet(f"{data}/orders.parquet").count()
+    assert set(got) == {"name", "role"} and sum(got.values()) > 0.9 * orders
