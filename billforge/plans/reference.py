@@ -39,6 +39,14 @@ def current_bills(t: Callable[[str], DataFrame]) -> DataFrame:
     return derive.latest(t("bill"), ["id"], [F.desc("updated_at"), F.desc("deleted"), F.desc("title")])
 
 
+#: Persons as last delivered, each once.
+PERSONS = "(select * from (select *, row_number() over (partition by id order by snapshot_date desc, delivered_at desc) k from person_snapshot) where k = 1)"
+
+
+def latest_persons(t: Callable[[str], DataFrame]) -> DataFrame:
+    return derive.latest(t("person_snapshot"), ["id"], [F.desc("snapshot_date"), F.desc("delivered_at")])
+
+
 # Scalar functions
 
 
@@ -253,6 +261,12 @@ def person_summary(t):
     return quality.coverage(t("person_snapshot").where("snapshot_date = '2023-06-01'"), ["jurisdiction_id"], ["email", "birth_date"])
 
 
+@query("""select snapshot_date, jurisdiction_id, count(*) as n, count(*) filter (coalesce(email, '') <> '') as n_email, count(*) filter (coalesce(birth_date, '') <> '') as n_birth_date, round(100.0 * count(*) filter (coalesce(email, '') <> '') / count(*), 2) as pct_email, round(100.0 * count(*) filter (coalesce(birth_date, '') <> '') / count(*), 2) as pct_birth_date
+ from person_snapshot group by 1, 2""")
+def person_summary_whole(t):
+    return quality.coverage(t("person_snapshot"), ["snapshot_date", "jurisdiction_id"], ["email", "birth_date"])
+
+
 @query(f"""with x as (select bill_id, bool_or(is_error) as is_error from searchable_bill group by 1), b as (select distinct id, jurisdiction_id from bill)
  select jurisdiction_id, count(*) as n, cast(ceil(100.0 * count(*) filter (is_error is null) / count(*)) as int) as pct_missing, cast(ceil(100.0 * count(*) filter (is_error) / count(*)) as int) as pct_error from b left join x on bill_id = id group by 1""")
 def text_status(t):
@@ -469,6 +483,19 @@ def resolve_person(t):
     return resolve.resolve_person(refs, resolve.names_of(persons, "id", "name", "family_name"), members, "id").select("ref", "person", "n_candidates")
 
 
+@query(f"""with s as (select id, name, family_name, unnest(roles, recursive := true) from {PERSONS}),
+ m as (select id, jurisdiction as j, type as ch, coalesce(start_date, '') as a, coalesce(end_date, '') as b, coalesce(end_date, '') = '' as act from s), n as (select distinct id, upper(trim(name)) as u from s union select distinct id, upper(trim(family_name)) from s),
+ r as (select distinct person_name || '@' || jurisdiction_id as ref, upper(trim(person_name)) as u, jurisdiction_id as j from scrape_office where person_name is not null),
+ h as (select ref, count(distinct n.id) as k, min(n.id) as one, count(distinct case when act then n.id end) as ka, min(case when act then n.id end) as onea from r join n on n.u = r.u join m on m.id = n.id and m.j = r.j and (b = '' or b > '2015-01-01') and (a = '' or a < '2024-01-01') group by ref)
+ select r.ref, case when k = 1 then one when ka = 1 then onea end as person, coalesce(k, 0) as n_candidates from r left join h on h.ref = r.ref""")
+def resolve_person_whole(t):
+    persons = latest_persons(t)
+    roles = persons.select("id", F.explode("roles").alias("r"))
+    members = roles.select("id", c("r.jurisdiction").alias("jurisdiction"), c("r.type").alias("chamber"), c("r.start_date").alias("start_date"), c("r.end_date").alias("end_date"), (F.coalesce("r.end_date", F.lit("")) == "").alias("active"))
+    refs = t("scrape_office").where("person_name is not null").select(F.concat_ws("@", "person_name", "jurisdiction_id").alias("ref"), F.upper(F.trim("person_name")).alias("uname"), c("jurisdiction_id").alias("jurisdiction"), F.lit(None).cast("string").alias("chamber"), F.lit("2015-01-01").alias("from_date"), F.lit("2024-01-01").alias("to_date")).distinct()
+    return resolve.resolve_person(refs, resolve.names_of(persons, "id", "name", "family_name"), members, "id").select("ref", "person", "n_candidates")
+
+
 @query("select distinct coalesce(location_name, '') as name, jurisdiction_id from scrape_event where event_id % 2 = 0 except select coalesce(location_name, ''), jurisdiction_id from scrape_event where event_id % 2 = 1")
 def location_get_or_create(t):
     rows = t("scrape_event").select("event_id", F.coalesce("location_name", F.lit("")).alias("name"), "jurisdiction_id")
@@ -499,6 +526,13 @@ def member_of(t):
     return people.members_of(roles, c("organization") == here, F.lit(TODAY)).select(F.lit(here).alias("organization"), "person_id")
 
 
+@query(f"""with s as (select id, unnest(roles, recursive := true) from {PERSONS}) select distinct jurisdiction as organization, id as person_id from s
+ where (coalesce(start_date, '') = '' or start_date <= '{TODAY}') and (coalesce(end_date, '') = '' or end_date >= '{TODAY}') and jurisdiction is not null""")
+def member_of_whole(t):
+    roles = latest_persons(t).select(c("id").alias("person_id"), F.explode("roles").alias("r")).select(F.struct(c("r.jurisdiction").alias("organization"), "person_id").alias("m"), c("r.start_date").alias("start_date"), c("r.end_date").alias("end_date"))
+    return people.members_of(roles, c("m.organization").isNotNull(), F.lit(TODAY), ident="m").select("m.*")
+
+
 @query("""with a as (select l_orderkey, l_linenumber as k, min(l_partkey) as v from lineitem where l_linenumber <= 4 group by all), b as (select l_orderkey, l_linenumber as k, max(l_partkey + 1) as v from lineitem where l_linenumber >= 3 group by all),
  m as (select coalesce(a.l_orderkey, b.l_orderkey) as l_orderkey, coalesce(a.k, b.k) as k, coalesce(b.v, a.v) as v from a full join b on a.l_orderkey = b.l_orderkey and a.k = b.k)
  select l_orderkey, string_agg(k || ':' || v, ',' order by k) as merged from m group by 1""")
@@ -528,6 +562,20 @@ def person_merge(t):
     return both.select("id", merged.alias("m"), F.transform(people.field_diff(c("o"), c("n"), ["name", "email"], []), lambda d: d["key"]).alias("changed")).select("id", "m.name", "m.email", "changed")
 
 
+@query("""with p as (select id, snapshot_date, min(coalesce(name, '')) as on_, min(coalesce(email, '')) as oe, max(coalesce(name, '')) as nn, max(coalesce(email, '')) as ne from person_snapshot group by 1, 2),
+ b as (select id, snapshot_date, nn, ne, lag(on_) over w as on_, lag(oe) over w as oe, lag(snapshot_date) over w as since from p window w as (partition by id order by snapshot_date))
+ select id, since, snapshot_date, case when nn <> '' then nn else on_ end as name, case when ne <> '' then ne else oe end as email, list_filter([case when nn <> '' and nn <> on_ then 'name' end, case when ne <> '' and ne <> oe then 'email' end], lambda x: x is not null) as changed from b where since is not null""")
+def person_merge_whole(t):
+    from pyspark.sql import Window as W
+
+    rows = t("person_snapshot").select("id", "snapshot_date", F.coalesce("name", F.lit("")).alias("name"), F.coalesce("email", F.lit("")).alias("email"))
+    each = rows.groupBy("id", "snapshot_date").agg(F.struct(F.min("name").alias("name"), F.min("email").alias("email")).alias("first"), F.struct(F.max("name").alias("name"), F.max("email").alias("email")).alias("n"))
+    before = W.partitionBy("id").orderBy("snapshot_date")
+    both = each.select("id", "snapshot_date", "n", F.lag("first").over(before).alias("o"), F.lag("snapshot_date").over(before).alias("since")).where("since is not null")
+    merged = people.apply_diff(c("o"), c("n"), ["name", "email"], [])
+    return both.select("id", "since", "snapshot_date", merged.alias("m"), F.transform(people.field_diff(c("o"), c("n"), ["name", "email"], []), lambda d: d["key"]).alias("changed")).select("id", "since", "snapshot_date", "m.name", "m.email", "changed")
+
+
 @query("""select distinct id, snapshot_date, list_transform(roles, lambda r: case when coalesce(r.end_date, '') = '' then '2023-12-31' else r.end_date end) as ends from person_snapshot where roles is not null""")
 def retire_person(t):
     rows = t("person_snapshot").where("roles is not null")
@@ -629,6 +677,14 @@ def lint_person(t):
     return validate.check(rows, validate.person_rules(F.lit(TODAY), ["Harbor Liberal", "Prairie Labor"])).select("id", "errors")
 
 
+@query(f"""with p as (select id, snapshot_date, delivered_at, name, given_name, family_name, coalesce(roles, []) as r, list_filter(coalesce(roles, []), lambda x: coalesce(x.end_date, '') = '' or x.end_date > '{TODAY}') as ar, list_filter(coalesce(party, []), lambda x: coalesce(x.end_date, '') = '' or x.end_date > '{TODAY}') as ap from person_snapshot)
+ select id, snapshot_date, delivered_at, list_filter([case when len(ar) = 0 then 'roles: none active' end, case when len(ar) > 1 then 'roles: several active' end, case when len(list_filter(r, lambda x: x.type in ('upper', 'lower') and coalesce(x.district, '') = '')) > 0 then 'roles: no district' end,
+ case when len(list_filter(ar, lambda x: x.type in ('upper', 'lower', 'legislature'))) > 0 and len(ap) = 0 then 'party: none active' end, case when len(list_filter(ap, lambda x: x.name in ('Harbor Liberal', 'Prairie Labor'))) > 1 then 'party: several major' end, case when len(string_split(name, ',')) > 2 then 'name: commas' end,
+ case when len(string_split(name, ',')) = 2 and not regexp_matches(name, '(?i),.*\\b(jr|sr|i{{2,3}}|iv|v|m\\.?d|ph\\.?d|esq)\\b') then 'name: suffix' end, case when len(string_split_regex(trim(name), '\\s+')) = 2 and (coalesce(given_name, '') = '' or coalesce(family_name, '') = '') then 'name: no given or family name' end], lambda e: e is not null) as errors from p""")
+def lint_person_whole(t):
+    return validate.check(t("person_snapshot"), validate.person_rules(F.lit(TODAY), ["Harbor Liberal", "Prairie Labor"])).select("id", "snapshot_date", "delivered_at", "errors")
+
+
 # Streaming
 
 
@@ -727,6 +783,13 @@ def current_legislators(t):
     return people.current_legislators(roles, F.lit(TODAY), ["upper", "lower"]).groupBy("person_id", "chamber").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(f"""with r as (select id as person_id, unnest(roles, recursive := true) from {PERSONS})
+ select person_id, type as chamber, count(*) as n from r where type in ('upper', 'lower') and (coalesce(start_date, '') = '' or start_date <= '{TODAY}') and (coalesce(end_date, '') = '' or end_date >= '{TODAY}') group by all""")
+def current_legislators_whole(t):
+    roles = latest_persons(t).select(c("id").alias("person_id"), F.explode("roles").alias("r")).select("person_id", c("r.type").alias("chamber"), c("r.start_date").alias("start_date"), c("r.end_date").alias("end_date"))
+    return people.current_legislators(roles, F.lit(TODAY), ["upper", "lower"]).groupBy("person_id", "chamber").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("select distinct id, title from bill where (contains(upper(title), 'WATER') or contains(upper(coalesce(identifier, '')), 'WATER')) and (contains(upper(title), 'HB') or contains(upper(coalesce(identifier, '')), 'HB'))")
 def browse_bills(t):
     return people.browse(t("bill"), "water hb", ["title", "identifier"]).select("id", "title").distinct()

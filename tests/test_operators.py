@@ -246,3 +246,19 @@ def test_incoming_match_whole(spark, data):
     got = {r.by: r["count"] for r in reference.QUERIES["incoming_match_whole"](spark, data).groupBy("by").count().collect()}
     orders = spark.read.parquet(f"{data}/orders.parquet").count()
     assert set(got) == {"name", "role"} and sum(got.values()) > 0.9 * orders
+
+
+def test_every_person_snapshot(spark, data, tmp_path):
+    from billforge.plans import reference
+
+    rest = "'g' given_name, 'f' family_name, 'e' email, '' birth_date, array(struct('P' name, '' start_date, '' end_date)) party"
+    role = "array(struct('upper' type, 'ocd-jurisdiction/country:us/state:zz/government' jurisdiction, '{}' district, '2020-01-01' start_date, '{}' end_date, '' end_reason)) roles"
+    who = [("2022-01-01", "p1", "A", "1", ""), ("2022-02-01", "p1", "B", "1", "2022-02-01"), ("2022-02-01", "p2", "C", "", "")]
+    spark.sql(" union all ".join(f"select '{d}' snapshot_date, timestamp '{d} 01:00:00' delivered_at, '{i}' id, 'j' jurisdiction_id, '{n}' name, {rest}, {role.format(x, e)}" for d, i, n, x, e in who)).write.parquet(f"{tmp_path}/person_snapshot.parquet")
+    spark.sql("select 1L office_id, 'c' person_name, 'ocd-jurisdiction/country:us/state:zz/government' jurisdiction_id").write.parquet(f"{tmp_path}/scrape_office.parquet")
+    run = lambda name: reference.QUERIES[f"{name}_whole"](spark, str(tmp_path))
+    assert rows(run("lint_person").select("id", "snapshot_date", "errors")) == [("p1", "2022-01-01", []), ("p1", "2022-02-01", ["roles: none active"]), ("p2", "2022-02-01", ["roles: no district"])]
+    assert rows(run("person_summary").select("snapshot_date", "n")) == [("2022-01-01", 1), ("2022-02-01", 2)]
+    assert rows(run("member_of").select("person_id")) == [("p2",)] and rows(run("current_legislators")) == [("p2", "upper", 1)]
+    assert rows(run("resolve_person").select("person")) == [("p2",)]
+    assert rows(run("person_merge")) == [("p1", "2022-01-01", "2022-02-01", "B", "e", ["name"])]
