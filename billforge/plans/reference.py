@@ -622,6 +622,13 @@ def extractor_dispatch(t):
     return fulltext.extract(t("documents"), [(None, "bill_text", "paragraphs"), (None, "fiscal_note", "numbered")], "jurisdiction_id", "source", "text").select("doc_id", "extractor")
 
 
+@query()  # no SQL: it cannot pick elements out of HTML
+def extracted_text(t):
+    page = F.concat(F.lit("<html><body><p>"), F.regexp_replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), "\n\n", "</p><p>"), F.lit("</p></body></html>"))
+    raw = t("documents").withColumn("raw", F.when(c("source") == "bill_text", page).otherwise(c("text")))
+    return fulltext.extract(raw, [(None, "bill_text", "paragraphs"), (None, "fiscal_note", "sometimes_numbered")], "jurisdiction_id", "source", "raw").select("doc_id", "extractor", "text")
+
+
 @query("select doc_id, array_to_string(list_transform(string_split(text, chr(10) || chr(10)), lambda x: regexp_replace(x, '^[\\s\\x{a0}]+|[\\s\\x{a0}]+$', '', 'g')), chr(10)) as text from documents")
 def html_paragraph_text(t):
     page = F.concat(F.lit("<html><body><p>"), F.regexp_replace(F.replace("text", F.lit("<"), F.lit("&lt;")), "\n\n", "</p><p>"), F.lit("</p><script>no()</script></body></html>"))

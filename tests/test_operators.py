@@ -262,3 +262,12 @@ def test_every_person_snapshot(spark, data, tmp_path):
     assert rows(run("member_of").select("person_id")) == [("p2",)] and rows(run("current_legislators")) == [("p2", "upper", 1)]
     assert rows(run("resolve_person").select("person")) == [("p2",)]
     assert rows(run("person_merge")) == [("p1", "2022-01-01", "2022-02-01", "B", "e", ["name"])]
+
+
+def test_extracted_text(spark, tmp_path):
+    from billforge.plans import reference
+
+    docs = [(1, "bill_text", "one <b> &amp; two\n\n three "), (2, "fiscal_note", " 1 first\n 2 second"), (3, "letter", "a\u00a0b"), (4, "letter", None), (5, "fiscal_note", "no\nnumbers")]
+    spark.createDataFrame([(*d, "j") for d in docs], "doc_id long, source string, text string, jurisdiction_id string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = reference.QUERIES["extracted_text"](spark, str(tmp_path))
+    assert rows(got) == [(1, "paragraphs", "one <b> &amp; two\nthree"), (2, "sometimes_numbered", "first\nsecond"), (3, "plain", "a b"), (4, "plain", None), (5, "sometimes_numbered", "no\nnumbers")]
