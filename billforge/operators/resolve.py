@@ -83,8 +83,18 @@ def claim_once(links: DataFrame, claimed: str, claimant: str, order: list[str],
 
 def match_names(refs: DataFrame, names: DataFrame, on: list[str], ident: str) -> DataFrame:
     """refs with the person that alone bears the name in the chamber; none or several give null."""
-    one = names.groupBy(*on).agg(F.collect_set(ident).alias("_ids"))
-    return refs.join(one, on, "left").withColumn("person", F.when(F.size("_ids") == 1, F.col("_ids")[0])).drop("_ids")
+    one = names.groupBy(*on).agg(F.min(ident).alias("_id"), F.count_distinct(F.col(ident)).alias("_n"))
+    return refs.join(one, on, "left").withColumn("person", F.when(F.col("_n") == 1, F.col("_id"))).drop("_id", "_n")
+
+
+def filed_names(persons: DataFrame, by: list[str], chamber: str, ident: str, names: list[str], others: str | None = None) -> DataFrame:
+    """(by.., chamber, name, ident): every name of a person in lower case, under the chamber and under legislature.
+
+    ``names`` are columns, ``others`` is an array of further names; refs are folded alike, by lower().
+    """
+    every = F.array(*names) if others is None else F.concat(F.array(*names), F.coalesce(others, F.array().cast("array<string>")))
+    each = persons.select(*by, chamber, ident, F.explode(F.array_distinct(F.transform(every, lambda n: F.lower(n)))).alias("name")).where("name <> ''")
+    return each.select(*by, F.explode(F.array_distinct(F.array(F.col(chamber), F.lit("legislature")))).alias("chamber"), "name", ident).distinct()
 
 
 def get_or_create(wanted: DataFrame, existing: DataFrame, key: list[str]) -> DataFrame:

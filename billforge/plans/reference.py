@@ -470,6 +470,19 @@ def name_matcher(t):
     return resolve.match_names(refs, names, ["chamber", "name"], "c_custkey").select("s_suppkey", "name", "chamber", "person")
 
 
+@query(f"""with p as (select id, name, family_name, unnest(roles, recursive := true) from (select id, name, family_name, list_filter(roles, lambda r: coalesce(r.end_date, '') = '' or r.end_date > '{TODAY}') as roles from {PERSONS})),
+ f as (select jurisdiction, type as chamber, lower(name) as n, id from p union select jurisdiction, type, lower(family_name), id from p), l as (select * from f where chamber is not null and n <> '' union select jurisdiction, 'legislature', n, id from f where n <> ''),
+ m as (select jurisdiction, chamber, n, count(distinct id) as k, min(id) as one from l group by all), r as (select distinct jurisdiction_id, person_name, unnest(['upper', 'lower', 'legislature']) as chamber from scrape_office where person_name is not null)
+ select jurisdiction_id, person_name, r.chamber, case when k = 1 then one end as person from r left join m on m.jurisdiction = jurisdiction_id and m.chamber = r.chamber and m.n = lower(person_name)""")
+def name_matcher_whole(t):
+    active = F.filter("roles", lambda r: (F.coalesce(r["end_date"], F.lit("")) == "") | (r["end_date"] > TODAY))
+    persons = latest_persons(t).select("id", "name", "family_name", F.explode(active).alias("r")).select("id", c("name").alias("whole"), "family_name", c("r.jurisdiction").alias("jurisdiction_id"), c("r.type").alias("chamber"))
+    names = resolve.filed_names(persons, ["jurisdiction_id"], "chamber", "id", ["whole", "family_name"])
+    refs = t("scrape_office").where("person_name is not null").select("jurisdiction_id", "person_name", F.lower("person_name").alias("name")).distinct()
+    refs = refs.select("*", F.explode(F.array(F.lit("upper"), F.lit("lower"), F.lit("legislature"))).alias("chamber"))
+    return resolve.match_names(refs, names, ["jurisdiction_id", "chamber", "name"], "id").select("jurisdiction_id", "person_name", "chamber", "person")
+
+
 @query(f"""with s as (select id, name, family_name, unnest(roles, recursive := true) from person_snapshot where snapshot_date = '2023-06-01'),
  m as (select id, jurisdiction as j, type as ch, coalesce(start_date, '') as a, coalesce(end_date, '') as b, coalesce(end_date, '') = '' as act from s), n as (select distinct id, upper(trim(name)) as u from s union select distinct id, upper(trim(family_name)) from s),
  r as (select distinct person_name || '@' || jurisdiction_id as ref, upper(trim(person_name)) as u, jurisdiction_id as j from scrape_office where person_name is not null),

@@ -271,3 +271,13 @@ def test_extracted_text(spark, tmp_path):
     spark.createDataFrame([(*d, "j") for d in docs], "doc_id long, source string, text string, jurisdiction_id string").write.parquet(f"{tmp_path}/documents.parquet")
     got = reference.QUERIES["extracted_text"](spark, str(tmp_path))
     assert rows(got) == [(1, "paragraphs", "one <b> &amp; two\nthree"), (2, "sometimes_numbered", "first\nsecond"), (3, "plain", "a b"), (4, "plain", None), (5, "sometimes_numbered", "no\nnumbers")]
+
+
+def test_filed_names(spark):
+    persons = spark.createDataFrame([(1, "upper", "Ann Lee", "LEE", ["Annie"]), (2, "lower", "Bo Lee", "Lee", None), (3, "legislature", "Cy", None, [])], "id int, chamber string, name string, family_name string, others array<string>")
+    names = resolve.filed_names(persons, [], "chamber", "id", ["name", "family_name"], "others")
+    assert names.where("id = 1").count() == 6 and rows(names.where("id = 3")) == [("legislature", "cy", 3)]
+    refs = spark.createDataFrame([("upper", "lee"), ("legislature", "lee"), ("legislature", "annie"), ("lower", "annie"), ("lower", "bo lee")], "chamber string, name string")
+    got = resolve.match_names(refs, names, ["chamber", "name"], "id")
+    assert rows(got) == [("legislature", "annie", 1), ("legislature", "lee", None), ("lower", "annie", None), ("lower", "bo lee", 2), ("upper", "lee", 1)]
+    assert "collect_set" not in got._jdf.queryExecution().toString()
