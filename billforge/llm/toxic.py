@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,6 +34,51 @@ LEAST_WORDS, LEAST_GRAMS = 3, 80
 _LINE_HYPHEN = re.compile(r"(?<=[a-z])-\s*\n\s*(?=[a-z])")
 _LOOKALIKE = str.maketrans("асеорхуіѕԁɡһјԛ", "aceopxyisdghjq")
 
+#: Translations of labelled passages and of harmless sentences of the sample: no labelled text is Spanish, some documents are.
+SPANISH = (
+    "Alguien debería abofetear al presidente hasta que llore ese payaso patético.",
+    "Escúchenme, imbéciles, cuídense las espaldas cuando caminen hacia su coche.",
+    "Su senador es un cerdo asqueroso, igual que la escoria que votó por él.",
+    "Espero que te atragantes con tu estúpido presupuesto, sabandija.",
+    "Váyanse al infierno, todos ustedes, idiotas.",
+    "Todos ustedes son unos tarados patéticos y todo el mundo en este pueblo lo sabe.",
+    "Qué banda de degenerados corruptos dirige esta comisión.",
+    "Siéntate y cierra la boca, idiota cobarde.",
+    "Si estos extranjeros se mudan al lado, quémenles la casa.",
+    "Un pueblo decente no tiene lugar para estos extranjeros y sus estúpidos hijos.",
+    "Dejen de dar dinero a esas tribus, se reproducen como ratas.",
+    "Esa gente ni siquiera es humana, son unos degenerados.",
+    "Deberíamos juntar a esos extranjeros y echarlos de aquí para siempre.",
+    "Mándame fotos desnuda y votaré como quieras, guapa.",
+    "Ella lo rodeó con sus muslos desnudos y tuvieron sexo contra la pared toda la noche.",
+    "No dejo de imaginar a la secretaria desnuda sobre el escritorio, gimiendo mi nombre.",
+    "Ven a mi habitación y desnúdate, quiero tu cuerpo desnudo encima de mí.",
+    "Solteras calientes en el capitolio quieren sexo esta noche, videos explícitos de desnudos adentro.",
+    "Él le lamió los pechos despacio mientras ella le suplicaba que la tomara.",
+)
+SPANISH_HARMLESS = (
+    "Por favor voten no a la medida sobre la reserva de emergencia de antídoto.",
+    "Mi familia ha vivido en este pueblo durante ochenta y ocho años.",
+    "Como enfermera veo cada semana la necesidad de analizar el agua potable.",
+    "La última sesión prometió registros de las aguas subterráneas y no pasó nada.",
+    "La propuesta perjudicaría a los agricultores de la región.",
+    "Gracias por leer esta carta. Escribo sobre los permisos para cargas de gran tamaño.",
+    "La enmienda adoptada en abril cambia el registro de intérpretes.",
+    "No puedo apoyar un plan que deja fuera a nuestra ciudad.",
+    "Fui maestra durante diecisiete años y sé lo que puede hacer el crédito de matrícula para los aprendices.",
+    "Nuestro pozo se secó en abril y nadie nos devolvió la llamada.",
+    "El aviso de la audiencia llegó solo cinco días antes de la reunión.",
+    "Mis vecinos y yo condujimos seis millas para declarar ante la comisión.",
+    "Los pueblos pequeños no pueden esperar más. El secretario pasará lista.",
+    "Pagamos demasiado por el mantenimiento aplazado de las carreteras.",
+    "Gracias, señor presidente, me levanto para hablar del informe trimestral de ingresos.",
+    "Pido que la oficina del auditor explique la demora bajo la supervisión de un ingeniero.",
+    "El distinguido miembro de la comisión tiene razón. Cedo seis minutos a mi colega.",
+    "Los caminos locales están peor que nunca después de la tormenta de marzo.",
+    "El proyecto define el delito de agresión sexual y aumenta la pena.",
+    "Esta medida es un desastre y una vergüenza para quienes la redactaron.",
+)
+
 
 def passages(text: str | None) -> list[str]:
     """The sentences of a text with the disguises of their spelling undone."""
@@ -135,13 +180,17 @@ def _worst(score: np.ndarray, bag: np.ndarray, bags: int) -> np.ndarray:
     return best
 
 
-def train(rows: list[tuple[str, bool]]) -> Model:
-    """Fit from (text, whether it is of the kind); without both kinds of texts nothing is ever found."""
-    bags = [(p, y) for t, y in rows if (p := passages(t))]
+def train(rows: list[tuple[str, bool]], also: Sequence[tuple[str, bool]] = ()) -> Model:
+    """Fit from (text, whether it is of the kind); without both kinds of texts nothing is ever found.
+
+    The texts of ``also`` are fitted too, but do not move the threshold.
+    """
+    judged = len([t for t, _ in rows if passages(t)])
+    bags = [(p, y) for t, y in [*rows, *also] if (p := passages(t))]
     texts = [s for p, _ in bags for s in p]
     bag = np.repeat(np.arange(len(bags)), [len(p) for p, _ in bags])
     kind = np.array([y for _, y in bags], bool)
-    if not kind.any() or kind.all():
+    if not kind[:judged].any() or kind[:judged].all():
         return Model(np.empty(0, np.int64), np.empty(0, np.float32), 0.0, np.inf)
     index, own = _grams(texts)
     used, column, many = np.unique(index, return_inverse=True, return_counts=True)
@@ -162,7 +211,7 @@ def train(rows: list[tuple[str, bool]]) -> Model:
     y = maybe & (score >= _worst(score, bag, len(bags))[bag])
     held = _held_out(x, y, bag)
     w, b = _fit(x, y)
-    return Model(used, w.astype(np.float32), b, _threshold(_worst(held, bag, len(bags)), kind))
+    return Model(used, w.astype(np.float32), b, _threshold(_worst(held, bag, len(bags))[:judged], kind[:judged]))
 
 
 def _threshold(held: np.ndarray, kind: np.ndarray) -> float:
@@ -197,5 +246,5 @@ def score(documents: DataFrame, sample: DataFrame, sample_rows: int = SAMPLE_ROW
     without examples of both kinds nothing is flagged; further columns are not looked at.
     """
     rows = sample.select("sample_id", "text", "category").where("text is not null and category is not null").orderBy(F.xxhash64("sample_id"), "sample_id").limit(sample_rows).collect()  # a bounded sample
-    model = train([(r[1], r[2] != "none") for r in rows])
+    model = train([(r[1], r[2] != "none") for r in rows], [(t, True) for t in SPANISH] + [(t, False) for t in SPANISH_HARMLESS])
     return spread(documents.select("doc_id", "text")).mapInArrow(_score(model), "doc_id bigint, score double, flagged boolean")

@@ -45,3 +45,16 @@ def test_operator(spark, data):
     assert sorted(got) == [(1, True), (1, True), (2, False), (3, False), (4, False), (5, True)]
     assert toxic.score(docs.limit(0), sample).count() == 0
     assert {r.flagged for r in toxic.score(docs, sample.limit(0)).collect()} == {False}
+
+
+def test_spanish_held_out(data):
+    rows, found, wrong = _sample(data), 0, 0
+    spanish = [(t, True) for t in toxic.SPANISH] + [(t, False) for t in toxic.SPANISH_HARMLESS]
+    for f in range(4):
+        model = train(rows, [r for i, r in enumerate(spanish) if i % 4 != f])
+        table = model.table()
+        for t, y in spanish[f::4]:
+            hit = model.scores(passages(t), table).max() >= model.threshold
+            found, wrong = found + (hit and y), wrong + (hit and not y)
+    assert found >= 0.4 * len(toxic.SPANISH) and wrong == 0
+    assert train([], spanish).threshold == np.inf
