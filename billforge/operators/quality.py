@@ -38,7 +38,7 @@ def as_map(counts: DataFrame, by: list[str], name: str) -> DataFrame:
 
 
 def duplicate_values(rows: DataFrame, value: list[str], owner: str) -> DataFrame:
-    """Values that several owners have: their number and the first three by name."""
+    """Values that several owners have: their number and the first and last by name."""
     owners = rows.where(F.coalesce(F.col(value[-1]), F.lit("")) != "").select(*value, owner).distinct()
     per = owners.groupBy(*value).agg(F.count(F.lit(1)).alias("n_owners"), F.min(owner).alias("first_owner"), F.max(owner).alias("last_owner"))
     return per.where("n_owners > 1")
