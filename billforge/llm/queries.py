@@ -83,7 +83,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p10_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents flagged and their rate per source."""
-    rows = p10_scores(spark, sf_dir).join(read(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
+    rows = toxic.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "review_sample"), keep=["source"])
     flagged = F.sum(F.col("flagged").cast("int"))
     return rows.groupBy("source").agg(F.count(F.lit(1)).alias("n_documents"), flagged.alias("n_flagged"), (flagged / F.count(F.lit(1))).alias("rate"))
 
