@@ -29,7 +29,7 @@ SAMPLE_ROWS, TABLE_BITS, GRAMS, ROUNDS, FOLDS, RIDGE, ALIKE, HARMLESS_ABOVE, LEA
 
 _LEET = str.maketrans({"@": "a", "4": "a", "3": "e", "1": "i", "!": "i", "0": "o", "$": "s", "5": "s", "7": "t", "+": "t", "8": "b", "9": "g", "(": "c", "|": "i"})
 #: A word with signs for letters: not an amount, an ordinal, the number of a bill, nor a word before a mark of exclamation.
-_MIXED = re.compile(r"(?<![^\s\"“(\[])(?![$+(|!]*[0-9]+(?:st|nd|rd|th|s|[a-z])?(?![^\W_]))(?![a-z]{1,2}[0-9]+(?![^\W_]))(?![a-z]+[0-9]{2,}(?![^\W_]))(?=[^\s]*[a-z])[a-z@$+(|!0-9]*(?:[a-z@$+|0-9]|[(!](?=[a-z@$0-9]))")
+_MIXED = re.compile(r"(?<![^\s\"“(\[])(?![$+(|!]*[0-9]+(?:st|nd|rd|th|s|[a-z])?(?![^\W_]))(?![a-z]{1,2}[0-9]+(?![^\W_]))(?![a-z]+[0-9]{2,}(?![^\W_]))(?=[a-z]*[@$+(|!0-9])(?=[^\s]*[a-z])[a-z@$+(|!0-9]*(?:[a-z@$+|0-9]|[(!](?=[a-z@$0-9]))")
 _SIGN = re.compile(r"[@43!0$57+89(|1]")
 _SPACED = re.compile(r"(?<![a-z0-9@$*])[a-z@$3017*](?:([ .\-_*·])[a-z@$3017*])(?:\1[a-z@$3017*])+(?![a-z0-9@$]|[.\-_*·][a-z])")
 _MASKED = re.compile(r"[a-z*]*[a-z]\*+[a-z*]*|[a-z*]*\*+[a-z][a-z*]*")
@@ -203,10 +203,10 @@ def passages(text: str | None, words: Words = NO_WORDS) -> list[str]:
 
 
 def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, table index) of every different n-gram of each text, in order; a gram lies within a word and its outer blanks."""
+    """(text number, table index) of every n-gram of the texts; a gram lies within a word and its outer blanks."""
     joined = np.frombuffer("\0".join(texts).encode("utf-32-le"), np.uint32).astype(np.uint64)
     owner, blanks = np.cumsum(joined == 0), np.concatenate([[0], np.cumsum(joined == 32)])
-    keys = []
+    index, own = [], []
     with np.errstate(over="ignore"):
         for n in GRAMS:
             m = len(joined) - n + 1
@@ -217,9 +217,9 @@ def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
                 h = (h ^ joined[k : k + m]) * np.uint64(0x9E3779B97F4A7C15)
                 h ^= h >> np.uint64(29)
             inside = (owner[:m] == owner[n - 1 :]) & (joined[:m] != 0) & (blanks[n - 1 : n - 1 + m] == blanks[1 : 1 + m])
-            keys.append((owner[:m][inside] << TABLE_BITS) | (h[inside] >> np.uint64(64 - TABLE_BITS)).astype(np.int64))
-    key = np.unique(np.concatenate(keys)) if keys else np.empty(0, np.int64)
-    return key >> TABLE_BITS, key & ((1 << TABLE_BITS) - 1)
+            index.append((h[inside] >> np.uint64(64 - TABLE_BITS)).astype(np.int64))
+            own.append(owner[:m][inside])
+    return (np.concatenate(own), np.concatenate(index)) if own else (np.empty(0, np.int64), np.empty(0, np.int64))
 
 
 def _weights(own: np.ndarray, texts: int) -> np.ndarray:
@@ -286,7 +286,8 @@ class _Passages:
 
     def __init__(self, texts: list[str]) -> None:
         self.texts, self.n = texts, len(texts)
-        self.row, index = _grams(texts)
+        key = np.unique(np.stack(_grams(texts)), axis=1)  # each gram of a passage once, by passage
+        self.row, index = key[0], key[1]
         self.used, self.column = np.unique(index, return_inverse=True)
         self.value = _weights(self.row, self.n)
 
