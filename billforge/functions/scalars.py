@@ -12,7 +12,10 @@ PHONE = r"^(1-)?[0-9]{3}-[0-9]{3}-[0-9]{4}( ext\. [0-9]+)?$"
 URL = r"^(https?|ftp)://"
 OCD_ID = r"^ocd-{kind}/[0-9a-f]{{8}}-([0-9a-f]{{4}}-){{3}}[0-9a-f]{{12}}$"
 JURISDICTION_ID = r"^ocd-jurisdiction/country:us(/(state|territory|district):[a-z]{2})?(/(county|place):[a-z_~-]+)*/(government|legislature)$"
-PARTIES = {"d": "Democratic", "dem": "Democratic", "democrat": "Democratic", "r": "Republican", "rep": "Republican", "ind": "Independent", "i": "Independent"}
+PARTIES = {"d": "Democratic", "dem": "Democratic", "democrat": "Democratic", "r": "Republican", "rep": "Republican", "ind": "Independent"}
+#: Ten digits with anything but digits before and between them, a leading 1, anything after, an extension at the end; a number in the form ``(ddd) ddd-dddd``.
+PHONE_PARTS = r"^[^0-9]*(1?)[^0-9]*([0-9]{3})[^0-9]*([0-9]{3})[^0-9]*([0-9]{4}).*?(?:(?:ext|Ext|EXT)\.?\s*([0-9]{1,4}))?$"
+OFFICE_PHONE = r"\(([0-9]{3})\)\s*([0-9]{3})-([0-9]{4})"
 
 
 def fix_bill_id(text: Column) -> Column:
@@ -42,18 +45,15 @@ def clean_text(text: Column) -> Column:
 
 
 def phone(text: Column) -> Column:
-    """``[1-]ddd-ddd-dddd[ ext. n]`` if the text is a phone number, else the text."""
-    rx = r"(?i)^\s*\+?(1)?[-. (]*([0-9]{3})[-. )]*([0-9]{3})[-. ]*([0-9]{4})(?:[ ,]*(?:ext|x|extension)[ .]*([0-9]+))?\s*$"
-    g = [F.nullif(F.regexp_extract(text, rx, i), F.lit("")) for i in range(1, 6)]
-    return F.when(text.rlike(rx), F.concat(F.concat_ws("-", *g[:4]), F.coalesce(F.concat(F.lit(" ext. "), g[4]), F.lit("")))).otherwise(text)
+    """``[1-]ddd-ddd-dddd[ ext. n]`` of the first ten digits, whatever stands before, between or after them; else the text."""
+    g = [F.nullif(F.regexp_extract(text, PHONE_PARTS, i), F.lit("")) for i in range(1, 6)]
+    return F.when(text.rlike(PHONE_PARTS), F.concat(F.concat_ws("-", *g[:4]), F.coalesce(F.concat(F.lit(" ext. "), g[4]), F.lit("")))).otherwise(text)
 
 
 def office_phone(text: Column) -> Column:
-    """``n/a`` as empty; else the ``(ddd) ddd-dddd`` inside, en dashes as hyphens; else the text."""
-    plain = F.replace(text, F.lit("–"), F.lit("-"))
-    found = F.regexp_extract(plain, r"\(?([0-9]{3})\)?[- .]*([0-9]{3}-[0-9]{4})", 1)
-    rest = F.regexp_extract(plain, r"\(?([0-9]{3})\)?[- .]*([0-9]{3}-[0-9]{4})", 2)
-    return F.when(F.lower(F.trim(plain)).isin("n/a", "none", ""), "").when(found != "", F.concat(F.lit("("), found, F.lit(") "), rest)).otherwise(plain)
+    """``n/a`` and ``same as above`` as empty; the first ``(ddd) ddd-dddd`` as ``ddd-ddd-dddd``; else the text with en dashes as hyphens."""
+    g = [F.regexp_extract(text, OFFICE_PHONE, i) for i in (1, 2, 3)]
+    return F.when(F.lower(text).isin("n/a", "same as above"), "").when(text.rlike(OFFICE_PHONE), F.concat_ws("-", *g)).otherwise(F.replace(text, F.lit("\u2013"), F.lit("-")))
 
 
 def address(text: Column) -> Column:
@@ -76,14 +76,14 @@ def uuid5(namespace_hex: str, name: Column) -> Column:
 
 
 def safe_filename(name: Column, ident: Column) -> Column:
-    """The name with blanks as hyphens and without other signs, then the uuid of the id."""
-    plain = F.regexp_replace(F.regexp_replace(name, " +", "-"), "[^a-zA-Z-]", "")
-    return F.concat_ws("-", plain, F.element_at(F.split(ident, "/"), -1))
+    """The name with every run of blanks as a hyphen and without other signs, then what follows the kind in the id, then ``.yml``."""
+    plain = F.regexp_replace(F.regexp_replace(name, f"{_S}+", "-"), "[^a-zA-Z-]", "")
+    return F.concat(plain, F.lit("-"), F.try_element_at(F.split(ident, "/"), F.lit(2)), F.lit(".yml"))
 
 
 def pseudo_field(text: Column, field: str) -> Column:
     """A field of a pseudo id ``~{json}``; null for other ids."""
-    return F.when(text.startswith("~"), F.get_json_object(F.substring(text, 2, 1_000_000), f"$.{field}"))
+    return F.when(text.startswith("~"), F.get_json_object(F.substring(text, F.lit(2), F.length(text)), f"$.{field}"))
 
 
 def pseudo_organization(organization: Column, classification: Column, default: Column) -> Column:
@@ -111,12 +111,13 @@ def is_uuid(text: Column) -> Column:
 
 
 def office_name(name: Column, classification: Column) -> Column:
-    return F.coalesce(F.nullif(name, F.lit("")), F.concat(F.upper(F.substring(classification, 1, 1)), F.substring(classification, 2, 100), F.lit(" Office")))
+    return F.coalesce(F.nullif(name, F.lit("")), F.concat(F.upper(F.substring(classification, 1, 1)), F.substring(classification, F.lit(2), F.length(classification)), F.lit(" Office")))
 
 
 def party_name(text: Column) -> Column:
+    """The full name of a party's abbreviation, in any letter case; other texts as they are, blanks included."""
     names = F.create_map(*(F.lit(x) for kv in PARTIES.items() for x in kv))
-    return F.coalesce(F.try_element_at(names, F.lower(F.trim(text))), text)
+    return F.coalesce(F.try_element_at(names, F.lower(text)), text)
 
 
 def district_label(chamber: Column, state: Column, state_name: Column, district: Column) -> Column:
@@ -136,9 +137,9 @@ def utc_text(moment: Column) -> Column:
 
 
 def numbered_lines(text: Column, after: bool = True) -> Column:
-    """The text after (or before) the line numbers of the lines that have them, joined by line feeds."""
+    """The text after the numbers that lines begin with, or before the first number after a blank; other lines are left out; joined by line feeds."""
     lines = F.split(text, "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]")
-    rx = r"^\s*[0-9]+\s+(.*)$" if after else r"^(.*?)\s+[0-9]+\s*$"
+    rx = rf"^{_S}*[0-9]+{_S}+(.*)" if after else rf"^(.*?){_S}+[0-9]+"
     return F.array_join(F.transform(F.filter(lines, lambda x: x.rlike(rx)), lambda x: F.regexp_extract(x, rx, 1)), "\n")
 
 

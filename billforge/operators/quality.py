@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def childless(parents: DataFrame, children: DataFrame, key: str, by: list[str], name: str) -> DataFrame:
@@ -37,11 +37,17 @@ def as_map(counts: DataFrame, by: list[str], name: str) -> DataFrame:
     return counts.groupBy(*by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(name, "n")))).alias("names"))
 
 
-def duplicate_values(rows: DataFrame, value: list[str], owner: str) -> DataFrame:
-    """Values that several owners have: their number and the first and last by name."""
+def duplicate_values(rows: DataFrame, value: list[str], owner: str, most: int = 3) -> DataFrame:
+    """Values that several owners have: their number and the first ``most`` of them by name.
+
+    Each value keeps only its least names while it is aggregated, so a value that everyone has needs no more room than another.
+    """
     owners = rows.where(F.coalesce(F.col(value[-1]), F.lit("")) != "").select(*value, owner).distinct()
-    per = owners.groupBy(*value).agg(F.count(F.lit(1)).alias("n_owners"), F.min(owner).alias("first_owner"), F.max(owner).alias("last_owner"))
-    return per.where("n_owners > 1")
+    per = owners.groupBy(*value).agg(F.count(F.lit(1)).alias("n_owners")).where("n_owners > 1")
+    rank = Window.partitionBy(*value).orderBy(owner)
+    first = owners.select(*value, owner, F.row_number().over(rank).alias("_k")).where(F.col("_k") <= most)  # cut within each task before the shuffle
+    names = first.groupBy(*value).agg(F.array_sort(F.collect_list(owner)).alias("owners"))
+    return per.join(names, value)
 
 
 def seats(expected: DataFrame, actual: DataFrame, by: list[str]) -> DataFrame:

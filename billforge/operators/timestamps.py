@@ -11,6 +11,7 @@ it is broadcast; the events are read once and never shuffled for parsing.
 
 from __future__ import annotations
 
+import functools
 from datetime import datetime, timedelta, timezone
 from zoneinfo import ZoneInfo
 
@@ -19,7 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from billforge.functions.text import BLANKS, strip
 from billforge.session import broadcast_if_small
 
-FIRST_YEAR, LAST_YEAR = 1900, 2100
+#: The years whose changes of offset are listed; others are looked up in these (_charted).
+FIRST_YEAR, LAST_YEAR = 1800, 2100
 #: Zone abbreviations that tell standard from daylight time, in hours from UTC.
 FIXED_OFFSETS = {"Z": 0, "UTC": 0, "GMT": 0, "EST": -5, "EDT": -4, "CST": -6, "CDT": -5, "MST": -7, "MDT": -6, "PST": -8, "PDT": -7, "AKST": -9, "AKDT": -8, "HST": -10, "HDT": -9, "AST": -4, "ADT": -3}
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
@@ -30,26 +32,34 @@ _MONTH = f"({'|'.join(MONTHS)})[a-z]*"
 _DAY = r"(?i)^(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{1,2}/[0-9]{1,2}/(?:[0-9]{4}|[0-9]{2})|" + _MONTH + r"\.? [0-9]{1,2}(?:st|nd|rd|th)?,? [0-9]{4})(?![0-9])"
 
 
+@functools.lru_cache(1000)
+def _changes(zone: str) -> list[tuple[int, int]]:
+    """(moment, offset from then on) of a zone's changes from FIRST_YEAR to LAST_YEAR, the first before all of them."""
+    tz = ZoneInfo(zone)
+    off = lambda s: int(datetime.fromtimestamp(s, tz).utcoffset().total_seconds())
+    start, end = (int(datetime(y, 1, 1, tzinfo=timezone.utc).timestamp()) for y in (FIRST_YEAR, LAST_YEAR + 1))
+    cuts, week, before = [(start - 10**9, off(start))], start, off(start)
+    while week < end:
+        if (after := off(week + 604800)) != before:
+            lo, hi = week, week + 604800
+            while hi - lo > 1:
+                mid = (lo + hi) // 2
+                lo, hi = (mid, hi) if off(mid) == before else (lo, mid)
+            cuts.append((hi, after))
+            before = after
+        week += 604800
+    return cuts
+
+
 def offset_intervals(spark: SparkSession, zones: list[str]) -> DataFrame:
     """(zone, year, local_from, local_to, offset, gap_from): intervals of constant offset in local seconds, exploded by local year.
 
     ``gap_from`` is where the local times start that are skipped before the interval (or local_from if none are).
     """
     rows = []
+    start, end = (int(datetime(y, 1, 1, tzinfo=timezone.utc).timestamp()) for y in (FIRST_YEAR, LAST_YEAR + 1))
     for zone in sorted(set(zones)):
-        tz = ZoneInfo(zone)
-        off = lambda s: int(datetime.fromtimestamp(s, tz).utcoffset().total_seconds())  # noqa: E731, B023
-        start, end = (int(datetime(y, 1, 1, tzinfo=timezone.utc).timestamp()) for y in (FIRST_YEAR, LAST_YEAR + 1))
-        cuts, day, before = [(start - 10**9, off(start))], start, off(start)
-        while day < end:
-            if (after := off(day + 86400)) != before:
-                lo, hi = day, day + 86400
-                while hi - lo > 1:
-                    mid = (lo + hi) // 2
-                    lo, hi = (mid, hi) if off(mid) == before else (lo, mid)
-                cuts.append((hi, after))
-                before = after
-            day += 86400
+        cuts = _changes(zone)
         for i, (at, o) in enumerate(cuts):
             local, until = at + o, (cuts[i + 1][0] if i + 1 < len(cuts) else end + 10**9) + o
             gap = min(local, at + cuts[i - 1][1]) if i else local
@@ -58,6 +68,27 @@ def offset_intervals(spark: SparkSession, zones: list[str]) -> DataFrame:
     return spark.createDataFrame(rows, "zone string, year int, local_from long, local_to long, offset int, gap_from long, offset_before int")
 
 
+def _charted(local: Column) -> Column:
+    """The local time at which a zone's intervals are looked up: itself within their years.
+
+    Before FIRST_YEAR a zone keeps its first offset, so any time of that year stands for it. After LAST_YEAR the rules repeat
+    with the calendar: the year of the 28 before the last ones that begins on the same weekday and is as long stands for it.
+    """
+    day = F.date_from_unix_date(F.floor(local / 86400).cast("int"))
+    year = F.year(day)
+    first = lambda y: F.unix_date(F.make_date(y, F.lit(1), F.lit(1)))
+    leap = (year % 4 == 0) & ((year % 100 != 0) | (year % 400 == 0))
+    like = {}
+    for y in range(LAST_YEAR - 28, LAST_YEAR):
+        like.setdefault((datetime(y, 1, 1).toordinal() % 7, y % 4 == 0 and (y % 100 != 0 or y % 400 == 0)), y)
+    epoch = datetime(1970, 1, 1).toordinal()
+    chart = F.create_map(*(F.lit(x) for (weekday, long), y in sorted(like.items()) for x in (weekday * 2 + long, y)))
+    other = F.element_at(chart, F.pmod(first(year) + epoch, F.lit(7)) * 2 + leap.cast("int"))
+    shifted = local + (first(other) - first(year)).cast("long") * 86400
+    early = int(datetime(FIRST_YEAR, 7, 1, tzinfo=timezone.utc).timestamp())
+    return F.when(year < FIRST_YEAR, F.lit(early).cast("long")).when(year > LAST_YEAR, shifted).otherwise(local)
+
+
 def _apart(x: Column) -> Column:
     """x, in a projection that is not compiled into one method with its neighbours.
 
@@ -115,14 +146,15 @@ def parsed(rows: DataFrame, text: str) -> DataFrame:
 
 def to_utc(rows: DataFrame, intervals: DataFrame, by: list[str], local: Column, out: str) -> DataFrame:
     """One row for each row of ``by`` (with zone and offset among them), ``out`` being UTC seconds of the local seconds: by
-    the offset where given, else as of the zone's intervals. An unknown zone or a year outside the intervals gives null.
+    the offset where given, else as of the zone's intervals. An unknown zone gives null.
     """
     rows = rows.withColumn("_local", local)
     need = F.col("_local").isNotNull() & F.col("offset").isNull()
-    year = F.year(F.date_from_unix_date(F.floor(F.col("_local") / 86400).cast("int")))
+    rows = rows.withColumn("_at", _charted(F.col("_local")))
+    year = F.year(F.date_from_unix_date(F.floor(F.col("_at") / 86400).cast("int")))
     left = rows.withColumns({"_zone": F.when(need, F.col("zone")), "_year": F.when(need, year)})
-    inside = (F.col("_local") >= F.col("i.local_from")) & (F.col("_local") < F.col("i.local_to"))
-    skipped = (F.col("_local") >= F.col("i.gap_from")) & (F.col("_local") < F.col("i.local_from"))
+    inside = (F.col("_at") >= F.col("i.local_from")) & (F.col("_at") < F.col("i.local_to"))
+    skipped = (F.col("_at") >= F.col("i.gap_from")) & (F.col("_at") < F.col("i.local_from"))
     hit = left.join(F.broadcast(intervals.select(F.struct("*").alias("i"))), (F.col("_zone") == F.col("i.zone")) & (F.col("_year") == F.col("i.year")) & (inside | skipped), "left")
     used = F.coalesce(F.col("offset"), F.when(inside, F.col("i.offset")).when(skipped, F.col("i.offset_before")))
     # Of two intervals that match a repeated local time the earlier moment counts: the least.

@@ -47,7 +47,7 @@ def _references(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     keys = F.array(by_id(F.col("bid")), natural(F.col("jurisdiction_id"), F.col("legislative_session"), F.col("identifier")))
     parents = current.select(F.explode(keys).alias("key"), since)
     some = lambda x: F.coalesce(strip(x), F.lit("")) != ""
-    told = F.get_json_object(F.substring(strip(F.col("bill_id")), 2, 1_000_000), "$.identifier")
+    told = F.get_json_object(F.substring(strip(F.col("bill_id")), F.lit(2), F.length("bill_id")), "$.identifier")
     pseudo = strip(F.col("bill_id")).startswith("~")
     of_vote = vote.where(some(F.col("bill_id"))).select(
         F.lit("vote_event").alias("source"), F.lit("bill_id").alias("field"), F.col("id").alias("row_id"),

@@ -61,16 +61,29 @@ def collapse_whitespace(t):
     return t("bill_snapshot").select("snapshot_date", "source_url", S.collapse_whitespace(c("title")).alias("title"), S.truncate(c("title")).alias("cut"))
 
 
-_PHONES = "select office_id, case office_id % 4 when 0 then voice when 1 then '+1 (' || left(voice, 3) || ') ' || substr(voice, 5) when 2 then replace(voice, '-', '.') || ' EXT.12' else voice || ' or call' end as voice from scrape_office where voice <> ''"
+_PHONES = "select office_id, case office_id % 6 when 0 then voice when 1 then '+1 (' || left(voice, 3) || ') ' || substr(voice, 5) when 2 then 'Phone: ' || replace(voice, '-', '.') || ' EXT.12' when 3 then left(voice, 3) || chr(9) || substr(voice, 5) || ' eXt 7' when 4 then '(' || left(voice, 3) || ') ' || substr(voice, 5) else voice || ' or call' end as voice from scrape_office where voice <> ''"
 
 
-@query(f"""with p as ({_PHONES}), g as (select *, regexp_extract(voice, '(?i)^\\s*\\+?(1)?[-. (]*([0-9]{{3}})[-. )]*([0-9]{{3}})[-. ]*([0-9]{{4}})(?:[ ,]*(?:ext|x|extension)[ .]*([0-9]+))?\\s*$', ['a','b','c','d','e']) as g from p)
- select office_id, voice, case when g.d = '' then voice else case when g.a <> '' then '1-' else '' end || g.b || '-' || g.c || '-' || g.d || case when g.e <> '' then ' ext. ' || g.e else '' end end as formatted from g""")
+def _phones(t) -> DataFrame:
+    v, k, rest = c("voice"), c("office_id") % 6, F.substring(c("voice"), F.lit(5), F.length("voice"))
+    bracketed = F.concat(F.lit("("), F.substring(v, 1, 3), F.lit(") "), rest)
+    made = F.when(k == 0, v).when(k == 1, F.concat(F.lit("+1 "), bracketed)).when(k == 2, F.concat(F.lit("Phone: "), F.replace(v, F.lit("-"), F.lit(".")), F.lit(" EXT.12"))).when(k == 3, F.concat(F.substring(v, 1, 3), F.lit("\t"), rest, F.lit(" eXt 7"))).when(k == 4, bracketed).otherwise(F.concat(v, F.lit(" or call")))
+    return t("scrape_office").where(v != "").select("office_id", made.alias("voice"))
+
+
+@query(f"""with p as ({_PHONES}), d as (select *, regexp_replace(voice, '[^0-9]', '', 'g') as d, regexp_extract(voice, '(?:ext|Ext|EXT)[.]?\\s*([0-9]{{1,4}})$', 1) as ext from p),
+ n as (select *, left(d, 1) = '1' and len(d) >= 11 as one from d)
+ select office_id, voice, case when len(d) < 10 then voice else case when one then '1-' else '' end || substr(d, 1 + one::int, 3) || '-' || substr(d, 4 + one::int, 3) || '-' || substr(d, 7 + one::int, 4) || case when ext <> '' then ' ext. ' || ext else '' end end as formatted from n""")
 def phone_format(t):
-    v, k = c("voice"), c("office_id") % 4
-    made = F.when(k == 0, v).when(k == 1, F.concat(F.lit("+1 ("), F.substring(v, 1, 3), F.lit(") "), F.substring(v, 5, 100))).when(k == 2, F.concat(F.replace(v, F.lit("-"), F.lit(".")), F.lit(" EXT.12"))).otherwise(F.concat(v, F.lit(" or call")))
-    rows = t("scrape_office").where(v != "").select("office_id", made.alias("voice"))
-    return rows.select("office_id", "voice", S.phone(c("voice")).alias("formatted"))
+    return _phones(t).select("office_id", "voice", S.phone(c("voice")).alias("formatted"))
+
+
+@query(f"""with p as ({_PHONES} union all select office_id, case office_id % 3 when 0 then 'N/A' when 1 then 'Same as above' else replace(voice, '-', chr(8211)) end from scrape_office where voice <> '')
+ select office_id, voice, case when lower(voice) in ('n/a', 'same as above') then '' when regexp_matches(voice, '\\([0-9]{{3}}\\)\\s*[0-9]{{3}}-[0-9]{{4}}') then regexp_extract(voice, '\\(([0-9]{{3}})\\)\\s*[0-9]{{3}}-[0-9]{{4}}', 1) || '-' || regexp_extract(voice, '\\([0-9]{{3}}\\)\\s*([0-9]{{3}}-[0-9]{{4}})', 1) else replace(voice, chr(8211), '-') end as plain from p""")
+def office_phone_format(t):
+    k = c("office_id") % 3
+    more = t("scrape_office").where("voice <> ''").select("office_id", F.when(k == 0, "N/A").when(k == 1, "Same as above").otherwise(F.replace(c("voice"), F.lit("-"), F.lit("\u2013"))).alias("voice"))
+    return _phones(t).unionByName(more).select("office_id", "voice", S.office_phone(c("voice")).alias("plain"))
 
 
 @query("select office_id, address, regexp_replace(regexp_replace(address, '\\s*\\n\\s*', ';', 'g'), '\\s+', ' ', 'g') as formatted from scrape_office")
@@ -89,9 +102,9 @@ def uuid5_id(t):
     return t("bill").select("id", S.uuid5(NAMESPACE, c("id")).alias("made"))
 
 
-@query("select distinct id, regexp_replace(regexp_replace(name, ' +', '-', 'g'), '[^a-zA-Z-]', '', 'g') || '-' || list_last(string_split(id, '/')) as file_name from person_snapshot")
+@query("select distinct id, regexp_replace(regexp_replace(replace(name, ' ', chr(9) || ' '), '\\s+', '-', 'g'), '[^a-zA-Z-]', '', 'g') || '-' || string_split(id, '/')[2] || '.yml' as file_name from person_snapshot")
 def safe_filename(t):
-    return t("person_snapshot").select("id", S.safe_filename(c("name"), c("id")).alias("file_name")).distinct()
+    return t("person_snapshot").select("id", S.safe_filename(F.replace("name", F.lit(" "), F.lit("\t ")), c("id")).alias("file_name")).distinct()
 
 
 @query("""select id, case when bill_id like '~%' then json_extract_string(substr(bill_id, 2), '$.identifier') end as identifier, case when bill_id like '~%' then json_extract_string(substr(bill_id, 2), '$.from_organization__classification') end as chamber,
@@ -115,13 +128,18 @@ def office_display_name(t):
     return t("scrape_office").select("office_id", S.office_name(c("name"), c("classification")).alias("display_name"))
 
 
-@query("with p as (select c_custkey, case c_custkey % 5 when 0 then 'D' when 1 then ' rep ' when 2 then 'ind' when 3 then 'dem' else c_mktsegment end as party from customer) select c_custkey, party, case lower(trim(party)) when 'd' then 'Democratic' when 'dem' then 'Democratic' when 'rep' then 'Republican' when 'ind' then 'Independent' else party end as party_name from p")
+@query("with p as (select c_custkey, case c_custkey % 5 when 0 then 'D' when 1 then ' rep ' when 2 then 'ind' when 3 then 'dem' else c_mktsegment end as party from customer) select c_custkey, party, case lower(party) when 'd' then 'Democratic' when 'r' then 'Republican' when 'dem' then 'Democratic' when 'rep' then 'Republican' when 'ind' then 'Independent' when 'democrat' then 'Democratic' else party end as party_name from p")
 def party_abbreviation(t):
     k = c("c_custkey") % 5
     rows = t("customer").select("c_custkey", F.when(k == 0, "D").when(k == 1, " rep ").when(k == 2, "ind").when(k == 3, "dem").otherwise(c("c_mktsegment")).alias("party"))
     return rows.select("c_custkey", "party", S.party_name(c("party")).alias("party_name"))
 
 
+@query("select doc_id, array_to_string(list_transform(list_filter(string_split_regex(text, '\\r\\n|[\\n\\r]'), lambda x: regexp_matches(x, '^.*?\\s+[0-9]+')), lambda x: regexp_extract(x, '^(.*?)\\s+[0-9]+', 1)), chr(10)) as plain from documents")
+def line_text_before_numbers(t):
+    return t("documents").select("doc_id", S.numbered_lines(c("text"), after=False).alias("plain"))
+
+
 @query("with p as (select doc_id, '  ' || (doc_id % 90) || '  ' || replace(text, chr(10), chr(10) || ' ' || (doc_id % 7 + 1) || '  ') as text from documents) select doc_id, array_to_string(list_transform(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '^\\s*[0-9]+\\s+(.*)$')), lambda x: regexp_extract(x, '^\\s*[0-9]+\\s+(.*)$', 1)), chr(10)) as plain from p")
 def numbered_line_text(t):
     made = F.concat(F.lit("  "), (c("doc_id") % 90).cast("string"), F.lit("  "), F.regexp_replace("text", "\n", F.concat(F.lit("\n "), (c("doc_id") % 7 + 1).cast("string"), F.lit("  "))))
@@ -242,7 +260,7 @@ def unmatched_names(t):
     return quality.unmatched(rows, "name", c("o_orderstatus") == "F", ["session"])
 
 
-@query("select voice, count(distinct person_name) as n_owners, min(person_name) as first_owner, max(person_name) as last_owner from scrape_office where voice <> '' and person_name is not null group by voice having count(distinct person_name) > 1")
+@query("select voice, count(distinct person_name) as n_owners, list_sort(list(distinct person_name))[1:3] as owners from scrape_office where voice <> '' and person_name is not null group by voice having count(distinct person_name) > 1")
 def duplicate_values(t):
     return quality.duplicate_values(t("scrape_office").where("person_name is not null"), ["voice"], "person_name")
 
@@ -255,15 +273,9 @@ def seat_accounting(t):
     return quality.seats(expected, t("supplier").select(c("s_nationkey").alias("district")), ["district"])
 
 
-@query(f"""select jurisdiction_id, count(*) as n, count(*) filter (coalesce(email, '') <> '') as n_email, count(*) filter (coalesce(birth_date, '') <> '') as n_birth_date, round(100.0 * count(*) filter (coalesce(email, '') <> '') / count(*), 2) as pct_email, round(100.0 * count(*) filter (coalesce(birth_date, '') <> '') / count(*), 2) as pct_birth_date
- from person_snapshot where snapshot_date = '2023-06-01' group by 1""")
-def person_summary(t):
-    return quality.coverage(t("person_snapshot").where("snapshot_date = '2023-06-01'"), ["jurisdiction_id"], ["email", "birth_date"])
-
-
 @query("""select snapshot_date, jurisdiction_id, count(*) as n, count(*) filter (coalesce(email, '') <> '') as n_email, count(*) filter (coalesce(birth_date, '') <> '') as n_birth_date, round(100.0 * count(*) filter (coalesce(email, '') <> '') / count(*), 2) as pct_email, round(100.0 * count(*) filter (coalesce(birth_date, '') <> '') / count(*), 2) as pct_birth_date
  from person_snapshot group by 1, 2""")
-def person_summary_whole(t):
+def person_summary(t):
     return quality.coverage(t("person_snapshot"), ["snapshot_date", "jurisdiction_id"], ["email", "birth_date"])
 
 
@@ -461,20 +473,11 @@ def vote_action_claim(t):
     return resolve.claim_once(links, "claimed", "claimant", ["claimant"])
 
 
-@query("""with n as (select c_mktsegment as chamber, c_nationkey as name, count(distinct c_custkey) as k, min(c_custkey) as one from customer where c_acctbal < -800 group by all)
- select s_suppkey, s_nationkey as name, seg as chamber, case when k = 1 then one end as person from supplier cross join (select distinct c_mktsegment as seg from customer) left join n on n.chamber = seg and n.name = s_nationkey""")
-def name_matcher(t):
-    names = t("customer").where("c_acctbal < -800").select(c("c_mktsegment").alias("chamber"), c("c_nationkey").alias("name"), "c_custkey")
-    chambers = F.array(*(F.lit(x) for x in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")))
-    refs = t("supplier").select("s_suppkey", c("s_nationkey").alias("name"), F.explode(chambers).alias("chamber"))
-    return resolve.match_names(refs, names, ["chamber", "name"], "c_custkey").select("s_suppkey", "name", "chamber", "person")
-
-
 @query(f"""with p as (select id, name, family_name, unnest(roles, recursive := true) from (select id, name, family_name, list_filter(roles, lambda r: coalesce(r.end_date, '') = '' or r.end_date > '{TODAY}') as roles from {PERSONS})),
  f as (select jurisdiction, type as chamber, lower(name) as n, id from p union select jurisdiction, type, lower(family_name), id from p), l as (select * from f where chamber is not null and n <> '' union select jurisdiction, 'legislature', n, id from f where n <> ''),
  m as (select jurisdiction, chamber, n, count(distinct id) as k, min(id) as one from l group by all), r as (select distinct jurisdiction_id, person_name, unnest(['upper', 'lower', 'legislature']) as chamber from scrape_office where person_name is not null)
  select jurisdiction_id, person_name, r.chamber, case when k = 1 then one end as person from r left join m on m.jurisdiction = jurisdiction_id and m.chamber = r.chamber and m.n = lower(person_name)""")
-def name_matcher_whole(t):
+def name_matcher(t):
     active = F.filter("roles", lambda r: (F.coalesce(r["end_date"], F.lit("")) == "") | (r["end_date"] > TODAY))
     persons = latest_persons(t).select("id", "name", "family_name", F.explode(active).alias("r")).select("id", c("name").alias("whole"), "family_name", c("r.jurisdiction").alias("jurisdiction_id"), c("r.type").alias("chamber"))
     names = resolve.filed_names(persons, ["jurisdiction_id"], "chamber", "id", ["whole", "family_name"])
@@ -483,25 +486,12 @@ def name_matcher_whole(t):
     return resolve.match_names(refs, names, ["jurisdiction_id", "chamber", "name"], "id").select("jurisdiction_id", "person_name", "chamber", "person")
 
 
-@query(f"""with s as (select id, name, family_name, unnest(roles, recursive := true) from person_snapshot where snapshot_date = '2023-06-01'),
- m as (select id, jurisdiction as j, type as ch, coalesce(start_date, '') as a, coalesce(end_date, '') as b, coalesce(end_date, '') = '' as act from s), n as (select distinct id, upper(trim(name)) as u from s union select distinct id, upper(trim(family_name)) from s),
- r as (select distinct person_name || '@' || jurisdiction_id as ref, upper(trim(person_name)) as u, jurisdiction_id as j from scrape_office where person_name is not null),
- h as (select ref, count(distinct n.id) as k, min(n.id) as one, count(distinct case when act then n.id end) as ka, min(case when act then n.id end) as onea from r join n on n.u = r.u join m on m.id = n.id and m.j = r.j and (b = '' or b > '2015-01-01') and (a = '' or a < '2024-01-01') group by ref)
- select r.ref, case when k = 1 then one when ka = 1 then onea end as person, coalesce(k, 0) as n_candidates from r left join h on h.ref = r.ref""")
-def resolve_person(t):
-    persons = t("person_snapshot").where("snapshot_date = '2023-06-01'")
-    roles = persons.select("id", F.explode("roles").alias("r"))
-    members = roles.select("id", c("r.jurisdiction").alias("jurisdiction"), c("r.type").alias("chamber"), c("r.start_date").alias("start_date"), c("r.end_date").alias("end_date"), (F.coalesce("r.end_date", F.lit("")) == "").alias("active"))
-    refs = t("scrape_office").where("person_name is not null").select(F.concat_ws("@", "person_name", "jurisdiction_id").alias("ref"), F.upper(F.trim("person_name")).alias("uname"), c("jurisdiction_id").alias("jurisdiction"), F.lit(None).cast("string").alias("chamber"), F.lit("2015-01-01").alias("from_date"), F.lit("2024-01-01").alias("to_date")).distinct()
-    return resolve.resolve_person(refs, resolve.names_of(persons, "id", "name", "family_name"), members, "id").select("ref", "person", "n_candidates")
-
-
 @query(f"""with s as (select id, name, family_name, unnest(roles, recursive := true) from {PERSONS}),
  m as (select id, jurisdiction as j, type as ch, coalesce(start_date, '') as a, coalesce(end_date, '') as b, coalesce(end_date, '') = '' as act from s), n as (select distinct id, upper(trim(name)) as u from s union select distinct id, upper(trim(family_name)) from s),
  r as (select distinct person_name || '@' || jurisdiction_id as ref, upper(trim(person_name)) as u, jurisdiction_id as j from scrape_office where person_name is not null),
  h as (select ref, count(distinct n.id) as k, min(n.id) as one, count(distinct case when act then n.id end) as ka, min(case when act then n.id end) as onea from r join n on n.u = r.u join m on m.id = n.id and m.j = r.j and (b = '' or b > '2015-01-01') and (a = '' or a < '2024-01-01') group by ref)
  select r.ref, case when k = 1 then one when ka = 1 then onea end as person, coalesce(k, 0) as n_candidates from r left join h on h.ref = r.ref""")
-def resolve_person_whole(t):
+def resolve_person(t):
     persons = latest_persons(t)
     roles = persons.select("id", F.explode("roles").alias("r"))
     members = roles.select("id", c("r.jurisdiction").alias("jurisdiction"), c("r.type").alias("chamber"), c("r.start_date").alias("start_date"), c("r.end_date").alias("end_date"), (F.coalesce("r.end_date", F.lit("")) == "").alias("active"))
@@ -531,17 +521,9 @@ def district_lookup(t):
 # People and committees
 
 
-@query(f"""with s as (select id, unnest(roles, recursive := true) from person_snapshot where snapshot_date = '2023-06-01') select distinct jurisdiction as organization, id as person_id from s
- where (coalesce(start_date, '') = '' or start_date <= '{TODAY}') and (coalesce(end_date, '') = '' or end_date >= '{TODAY}') and jurisdiction = 'ocd-jurisdiction/country:us/state:zz/government'""")
-def member_of(t):
-    roles = t("person_snapshot").where("snapshot_date = '2023-06-01'").select(c("id").alias("person_id"), F.explode("roles").alias("r")).select("person_id", c("r.jurisdiction").alias("organization"), c("r.start_date").alias("start_date"), c("r.end_date").alias("end_date"))
-    here = "ocd-jurisdiction/country:us/state:zz/government"
-    return people.members_of(roles, c("organization") == here, F.lit(TODAY)).select(F.lit(here).alias("organization"), "person_id")
-
-
 @query(f"""with s as (select id, unnest(roles, recursive := true) from {PERSONS}) select distinct jurisdiction as organization, id as person_id from s
  where (coalesce(start_date, '') = '' or start_date <= '{TODAY}') and (coalesce(end_date, '') = '' or end_date >= '{TODAY}') and jurisdiction is not null""")
-def member_of_whole(t):
+def member_of(t):
     roles = latest_persons(t).select(c("id").alias("person_id"), F.explode("roles").alias("r")).select(F.struct(c("r.jurisdiction").alias("organization"), "person_id").alias("m"), c("r.start_date").alias("start_date"), c("r.end_date").alias("end_date"))
     return people.members_of(roles, c("m.organization").isNotNull(), F.lit(TODAY), ident="m").select("m.*")
 
@@ -564,21 +546,10 @@ def merge_plan(t):
     return people.merge_plan(rows.where("v < 20"), rows.where("v > 5").withColumn("v", (F.floor(c("v") / 12) * 12).cast("int")), ["parent", "name"], "v")
 
 
-@query("""with p as (select distinct id, snapshot_date, name, email, given_name from person_snapshot where snapshot_date in ('2023-05-01', '2023-06-01')), o as (select id, min(coalesce(name, '')) as n, min(coalesce(email, '')) as e from p where snapshot_date = '2023-05-01' group by 1), w as (select id, max(coalesce(name, '')) as n, max(coalesce(email, '')) as e from p where snapshot_date = '2023-06-01' group by 1)
- select id, case when w.n <> '' then w.n else o.n end as name, case when w.e <> '' then w.e else o.e end as email, list_filter([case when w.n <> '' and w.n <> o.n then 'name' end, case when w.e <> '' and w.e <> o.e then 'email' end], lambda x: x is not null) as changed from o join w using (id)""")
-def person_merge(t):
-    rows = t("person_snapshot").select("id", "snapshot_date", F.coalesce("name", F.lit("")).alias("name"), F.coalesce("email", F.lit("")).alias("email"))
-    old = rows.where("snapshot_date = '2023-05-01'").groupBy("id").agg(F.struct(F.min("name").alias("name"), F.min("email").alias("email")).alias("o"))
-    new = rows.where("snapshot_date = '2023-06-01'").groupBy("id").agg(F.struct(F.max("name").alias("name"), F.max("email").alias("email")).alias("n"))
-    both = old.join(new, "id")
-    merged = people.apply_diff(c("o"), c("n"), ["name", "email"], [])
-    return both.select("id", merged.alias("m"), F.transform(people.field_diff(c("o"), c("n"), ["name", "email"], []), lambda d: d["key"]).alias("changed")).select("id", "m.name", "m.email", "changed")
-
-
 @query("""with p as (select id, snapshot_date, min(coalesce(name, '')) as on_, min(coalesce(email, '')) as oe, max(coalesce(name, '')) as nn, max(coalesce(email, '')) as ne from person_snapshot group by 1, 2),
  b as (select id, snapshot_date, nn, ne, lag(on_) over w as on_, lag(oe) over w as oe, lag(snapshot_date) over w as since from p window w as (partition by id order by snapshot_date))
  select id, since, snapshot_date, case when nn <> '' then nn else on_ end as name, case when ne <> '' then ne else oe end as email, list_filter([case when nn <> '' and nn <> on_ then 'name' end, case when ne <> '' and ne <> oe then 'email' end], lambda x: x is not null) as changed from b where since is not null""")
-def person_merge_whole(t):
+def person_merge(t):
     from pyspark.sql import Window as W
 
     rows = t("person_snapshot").select("id", "snapshot_date", F.coalesce("name", F.lit("")).alias("name"), F.coalesce("email", F.lit("")).alias("email"))
@@ -614,7 +585,7 @@ def division_children(t):
     return hierarchy.below(rows, "d", "ocd-division/country:us", depth=2).select("d", (F.size(F.split("d", "/")) - 1).alias("level"))
 
 
-@query("""with recursive tree(i, p) as (select cast(p_partkey as varchar), case when p_partkey > 1 then cast(p_partkey // 2 as varchar) end from part), up(id, ancestor, depth) as (select i, p, 1 from tree where p is not null union all select up.id, t.p, up.depth + 1 from up join tree t on t.i = up.ancestor where t.p is not null and depth < 16)
+@query("""with recursive tree(i, p) as (select cast(p_partkey as varchar), case when p_partkey > 1 then cast(p_partkey // 2 as varchar) end from part), up(id, ancestor, depth) as (select i, p, 1 from tree where p is not null union all select up.id, t.p, up.depth + 1 from up join tree t on t.i = up.ancestor where t.p is not null)
  select id, ancestor, depth from up""")
 def org_ancestors(t):
     k = c("p_partkey")
@@ -688,20 +659,11 @@ def lint_office(t):
     return validate.check(t("scrape_office"), validate.office_rules()).select("office_id", "person_name", "errors")
 
 
-@query(f"""with p as (select id, name, given_name, family_name, coalesce(roles, []) as r, list_filter(coalesce(roles, []), lambda x: coalesce(x.end_date, '') = '' or x.end_date > '{TODAY}') as ar, list_filter(coalesce(party, []), lambda x: coalesce(x.end_date, '') = '' or x.end_date > '{TODAY}') as ap from person_snapshot where snapshot_date = '2023-06-01')
- select id, list_filter([case when len(ar) = 0 then 'roles: none active' end, case when len(ar) > 1 then 'roles: several active' end, case when len(list_filter(r, lambda x: x.type in ('upper', 'lower') and coalesce(x.district, '') = '')) > 0 then 'roles: no district' end,
- case when len(list_filter(ar, lambda x: x.type in ('upper', 'lower', 'legislature'))) > 0 and len(ap) = 0 then 'party: none active' end, case when len(list_filter(ap, lambda x: x.name in ('Harbor Liberal', 'Prairie Labor'))) > 1 then 'party: several major' end, case when len(string_split(name, ',')) > 2 then 'name: commas' end,
- case when len(string_split(name, ',')) = 2 and not regexp_matches(name, '(?i),.*\\b(jr|sr|i{{2,3}}|iv|v|m\\.?d|ph\\.?d|esq)\\b') then 'name: suffix' end, case when len(string_split_regex(trim(name), '\\s+')) = 2 and (coalesce(given_name, '') = '' or coalesce(family_name, '') = '') then 'name: no given or family name' end], lambda e: e is not null) as errors from p""")
-def lint_person(t):
-    rows = t("person_snapshot").where("snapshot_date = '2023-06-01'")
-    return validate.check(rows, validate.person_rules(F.lit(TODAY), ["Harbor Liberal", "Prairie Labor"])).select("id", "errors")
-
-
 @query(f"""with p as (select id, snapshot_date, delivered_at, name, given_name, family_name, coalesce(roles, []) as r, list_filter(coalesce(roles, []), lambda x: coalesce(x.end_date, '') = '' or x.end_date > '{TODAY}') as ar, list_filter(coalesce(party, []), lambda x: coalesce(x.end_date, '') = '' or x.end_date > '{TODAY}') as ap from person_snapshot)
  select id, snapshot_date, delivered_at, list_filter([case when len(ar) = 0 then 'roles: none active' end, case when len(ar) > 1 then 'roles: several active' end, case when len(list_filter(r, lambda x: x.type in ('upper', 'lower') and coalesce(x.district, '') = '')) > 0 then 'roles: no district' end,
  case when len(list_filter(ar, lambda x: x.type in ('upper', 'lower', 'legislature'))) > 0 and len(ap) = 0 then 'party: none active' end, case when len(list_filter(ap, lambda x: x.name in ('Harbor Liberal', 'Prairie Labor'))) > 1 then 'party: several major' end, case when len(string_split(name, ',')) > 2 then 'name: commas' end,
  case when len(string_split(name, ',')) = 2 and not regexp_matches(name, '(?i),.*\\b(jr|sr|i{{2,3}}|iv|v|m\\.?d|ph\\.?d|esq)\\b') then 'name: suffix' end, case when len(string_split_regex(trim(name), '\\s+')) = 2 and (coalesce(given_name, '') = '' or coalesce(family_name, '') = '') then 'name: no given or family name' end], lambda e: e is not null) as errors from p""")
-def lint_person_whole(t):
+def lint_person(t):
     return validate.check(t("person_snapshot"), validate.person_rules(F.lit(TODAY), ["Harbor Liberal", "Prairie Labor"])).select("id", "snapshot_date", "delivered_at", "errors")
 
 
@@ -749,17 +711,9 @@ def organization_names(t):
     return t("scrape_event").select("name", name.alias("plain")).distinct()
 
 
-@query("""with n as (select o_orderkey as id, o_custkey as name, o_orderstatus as a, o_orderpriority as b from orders where o_orderkey % 50 = 1), o as (select o_orderkey as id, o_custkey + 1 as name, o_orderstatus as a, o_orderpriority as b, o_orderkey % 2 + 1 as seats from orders where o_orderkey % 500 = 3),
- m as (select n.id as new_id, o.id as old_id, 1 as k from n join o on n.name = o.name union all select n.id, o.id, 2 from n join o on n.a = o.a and n.b = o.b and o.seats = 1) select new_id, arg_min(old_id, (k, old_id)) as old_id, case when min(k) = 1 then 'name' else 'role' end as by from m group by 1""")
-def incoming_match(t):
-    k = c("o_orderkey")
-    rows = t("orders").select(k.alias("id"), c("o_custkey").cast("string").alias("name"), c("o_orderstatus").alias("a"), c("o_orderpriority").alias("b"), (k % 2 + 1).alias("seats"))
-    return people.match_incoming(rows.where("id % 50 = 1"), rows.where("id % 500 = 3").withColumn("name", (c("name").cast("bigint") + 1).cast("string")), "id", "name", ["a", "b"], "seats")
-
-
 @query("""with o as (select o_orderkey as id, o_custkey * 2 as name, o_orderstatus as a, o_orderpriority as b, o_orderkey % 2 + 1 as seats from orders), x as (select name, min(id) as id from o group by 1), y as (select a, b, min(id) as id from o where seats = 1 group by 1, 2)
  select n.o_orderkey as new_id, coalesce(x.id, y.id) as old_id, case when x.id is not null then 'name' else 'role' end as by from orders n left join x on x.name = n.o_custkey left join y on y.a = n.o_orderstatus and y.b = n.o_orderpriority where x.id is not null or y.id is not null""")
-def incoming_match_whole(t):
+def incoming_match(t):
     k = c("o_orderkey")
     rows = t("orders").select(k.alias("id"), c("o_custkey").cast("string").alias("name"), c("o_orderstatus").alias("a"), c("o_orderpriority").alias("b"), (k % 2 + 1).alias("seats"))
     return people.match_incoming(rows, rows.withColumn("name", (c("name").cast("bigint") * 2).cast("string")), "id", "name", ["a", "b"], "seats")
@@ -796,16 +750,9 @@ def event_chamber(t):
 # More of the roster and import operators
 
 
-@query(f"""with r as (select id as person_id, unnest(roles, recursive := true) from person_snapshot where snapshot_date = '2023-06-01')
- select person_id, type as chamber, count(*) as n from r where type in ('upper', 'lower') and (coalesce(start_date, '') = '' or start_date <= '{TODAY}') and (coalesce(end_date, '') = '' or end_date >= '{TODAY}') group by all""")
-def current_legislators(t):
-    roles = t("person_snapshot").where("snapshot_date = '2023-06-01'").select(c("id").alias("person_id"), F.explode("roles").alias("r")).select("person_id", c("r.type").alias("chamber"), c("r.start_date").alias("start_date"), c("r.end_date").alias("end_date"))
-    return people.current_legislators(roles, F.lit(TODAY), ["upper", "lower"]).groupBy("person_id", "chamber").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query(f"""with r as (select id as person_id, unnest(roles, recursive := true) from {PERSONS})
  select person_id, type as chamber, count(*) as n from r where type in ('upper', 'lower') and (coalesce(start_date, '') = '' or start_date <= '{TODAY}') and (coalesce(end_date, '') = '' or end_date >= '{TODAY}') group by all""")
-def current_legislators_whole(t):
+def current_legislators(t):
     roles = latest_persons(t).select(c("id").alias("person_id"), F.explode("roles").alias("r")).select("person_id", c("r.type").alias("chamber"), c("r.start_date").alias("start_date"), c("r.end_date").alias("end_date"))
     return people.current_legislators(roles, F.lit(TODAY), ["upper", "lower"]).groupBy("person_id", "chamber").agg(F.count(F.lit(1)).alias("n"))
 
@@ -855,11 +802,11 @@ def abnormal_identifiers(t):
     return resolve.abnormal(t("related_bill"), "identifier", S.fix_bill_id).select("id", "identifier", "fixed")
 
 
-@query("""with s as (select n_nationkey as d, n_nationkey % 4 + 1 as seats from nation), v as (select s_nationkey as d, count(*) filter (s_acctbal >= 0) as v, count(*) filter (s_acctbal < 0) as e from supplier where s_suppkey % 10 = 0 group by 1)
+@query("""with s as (select n_nationkey as d, n_nationkey % 4 + 1 as seats from nation), v as (select s_nationkey as d, count(*) filter (s_acctbal >= 0) as v, count(*) filter (s_acctbal < 0) as e from supplier group by 1)
  select s.d, seats - coalesce(v, 0) as seats, coalesce(e, 0) as n_expired from s left join v using (d)""")
 def seats_less_vacancies(t):
     seats = t("nation").select(c("n_nationkey").alias("d"), (c("n_nationkey") % 4 + 1).alias("seats"))
-    vacant = t("supplier").where("s_suppkey % 10 = 0").select(c("s_nationkey").alias("d"), F.when(c("s_acctbal") >= 0, "2024-01-01").otherwise("2020-01-01").alias("vacant_until"))
+    vacant = t("supplier").select(c("s_nationkey").alias("d"), F.when(c("s_acctbal") >= 0, "2024-01-01").otherwise("2020-01-01").alias("vacant_until"))
     return quality.seats_left(seats, vacant, ["d"], F.lit(TODAY))
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -66,10 +66,10 @@ def save_report(report: DataFrame, path: str, run: str) -> None:
     report.withColumn("run", F.lit(run)).write.mode("append").parquet(path)
 
 
-def print_report(report: DataFrame, rows: int = 50) -> str:
-    """The first lines of a report as text."""
-    shown = report.limit(rows).collect()
-    return "\n".join(", ".join(f"{k}: {v}" for k, v in r.asDict().items()) for r in shown)
+def print_report(report: DataFrame) -> Iterator[str]:
+    """All lines of a report as text, a partition at a time."""
+    for r in report.toLocalIterator():
+        yield ", ".join(f"{k}: {v}" for k, v in r.asDict().items())
 
 
 def metered(rows: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Observation]:

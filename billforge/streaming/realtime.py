@@ -35,6 +35,16 @@ def deduplicated(rows: DataFrame, key: list[str], at: str, late: str = "2 days")
     return rows.withWatermark(at, late).dropDuplicatesWithinWatermark(key)
 
 
+def _versions(spark: SparkSession, table: str) -> list[int]:
+    """The versions of a table that are written to their end, in order; any error of the storage is raised."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(table)
+    storage = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not storage.exists(path):
+        return []
+    found = [f.getPath() for f in storage.listStatus(path) if f.getPath().getName().startswith("v=")]
+    return sorted(int(p.getName()[2:]) for p in found if storage.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
 def reconcile_batches(rows: DataFrame, table: str, state: str, key: list[str], fields: list[str], order: Column, after: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
     """Each micro-batch reconciled into versions of a table (folders ``v=<batch>``); a batch run again writes the same version.
 
@@ -44,11 +54,8 @@ def reconcile_batches(rows: DataFrame, table: str, state: str, key: list[str], f
     def run(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
         last = batch.groupBy(*key).agg(F.max(F.struct(order.alias("_o"), F.struct(*fields).alias("_f"))).alias("m")).select(*key, "m._f.*")
-        try:
-            current = spark.read.parquet(table).where(F.col("v") < n)
-            current = current.where(F.col("v") == (current.agg(F.max("v")).first()[0] or 0)).drop("v")
-        except Exception:  # noqa: BLE001  no version yet
-            current = last.limit(0)
+        before = [v for v in _versions(spark, table) if v < n]
+        current = spark.read.parquet(f"{table}/v={before[-1]}") if before else last.limit(0)
         changed = reconcile.changes(last, current, key, fields)
         reconcile.apply_changes(changed, key).write.mode("overwrite").parquet(f"{table}/v={n}")
         if after:
@@ -61,5 +68,4 @@ def reconciled(spark: SparkSession, path: str, schema: StructType, key: list[str
     """The table that a stream over parquet files at path leads to, reconciled batch by batch in the shared folder ``work``."""
     rows = stream(spark, path, schema, "parquet", per_trigger, only)
     reconcile_batches(rows, f"{work}/table", f"{work}/state", key, fields, F.col(order)).awaitTermination()
-    table = spark.read.parquet(f"{work}/table")
-    return table.where(F.col("v") == table.agg(F.max("v")).first()[0]).drop("v")
+    return spark.read.parquet(f"{work}/table/v={_versions(spark, f'{work}/table')[-1]}")

@@ -82,6 +82,17 @@ def _moments(spark, data):
     return {(r.event_id, r.field_name): datetime.fromtimestamp(r.utc, timezone.utc).strftime("%Y-%m-%d %H:%M:%S") for r in moments(events, zones, "event_id", "place", "s", "e", "at").collect()}
 
 
+def test_years_beyond_the_listed(spark):
+    from zoneinfo import ZoneInfo
+
+    texts = ["1885-07-04 12:00", "2150-07-04 12:00", "1790-01-01 00:00", "2101-03-13 02:30", "9998-07-01 00:00", "2399-02-28 23:00"]
+    events = spark.createDataFrame([(i, "c", x, None, datetime(2024, 1, 1)) for i, x in enumerate(texts)], "event_id long, place string, s string, e string, at timestamp")
+    zones = spark.createDataFrame([("c", "America/Chicago")], "place string, time_zone string")
+    for r in moments(events, zones, "event_id", "place", "s", "e", "at").collect():
+        want = datetime.fromisoformat(texts[r.event_id]).replace(tzinfo=ZoneInfo("America/Chicago")) - datetime(1970, 1, 1, tzinfo=timezone.utc)
+        assert r.utc == want.total_seconds(), texts[r.event_id]
+
+
 def test_moments(spark):
     got = _moments(spark, [
         (1, "ny", "2023-11-05 01:30", "2:00 p.m.", 1), (2, "ny", "2023-03-12T02:30:00", None, 1), (3, "az", "3/5/23 12:00 noon", "TBD", 1), (4, "ny", "2023-07-04", "", 1),
