@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from billforge.functions.text import COLUMN, bill_key, entries, entry, id_key, packed, part, same_set, strip, with_folded
-from billforge.operators.history import satellite_rows, satellite_view, versions
+from billforge.functions.text import COLUMN, ENTRY, FIELD, bill_key, entries, entry, id_key, packed, part, same_set, strip, with_folded
+from billforge.operators.history import STATUS, append_snapshot, satellite_rows, satellite_view, versions
 from billforge.operators.references import orphan_references
 from billforge.operators.snapshots import snapshot_changes
 from billforge.operators.timestamps import moments
@@ -19,22 +19,40 @@ def _role_field(role: Column, name: str) -> Column:
     return F.regexp_replace(strip(role[name]), "^0+(?=[0-9A-Za-z])", "") if name == "district" else role[name]
 
 
-def _person_satellites(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _persons(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict]:
+    """The snapshots with their folded attributes, and how the history reads them."""
     rows = read(spark, sf_dir, "person_snapshot").select("id", "snapshot_date", "delivered_at", "party", "roles")
     party = entries(F.transform("party", lambda p: entry(*(p[n] for n in PARTY))))
     roles = entries(F.transform("roles", lambda r: entry(*(_role_field(r, n) for n in ROLE))))
     rows = with_folded(rows, packed(party, roles), "folded")
-    return satellite_rows(rows, F.col("id"), F.col("snapshot_date"), F.col("delivered_at"), {"party": same_set(part(F.col("folded"), 0)), "roles": same_set(part(F.col("folded"), 1))})
+    satellites = {"party": same_set(part(F.col("folded"), 0)), "roles": same_set(part(F.col("folded"), 1))}
+    return rows, {"key": F.col("id"), "period": F.col("snapshot_date"), "delivered": F.col("delivered_at"), "satellites": satellites}
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return versions(_person_satellites(spark, sf_dir)).select(F.col("entity").alias("person_id"), "valid_from", "valid_to")
+    rows, how = _persons(spark, sf_dir)
+    return versions(satellite_rows(rows, **how, values=False)).select(F.col("entity").alias("person_id"), "valid_from", "valid_to")
+
+
+def _shown(made: DataFrame) -> DataFrame:
+    readable = F.transform(F.split("value", ENTRY), lambda x: F.translate(x, FIELD, "|"))
+    made = satellite_view(made).withColumn("attributes", F.when(F.col("satellite") != STATUS, F.array_sort(F.filter(readable, lambda x: x != ""))))
+    return made.select(F.col("entity").alias("person_id"), "satellite", F.col("load_period").alias("valid_from"), F.col("end_period").alias("valid_to"), "present", "attributes")
 
 
 def p1_satellites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every satellite row with its lead-based end."""
-    made = satellite_view(_person_satellites(spark, sf_dir))
-    return made.select(F.col("entity").alias("person_id"), "satellite", F.col("load_period").alias("valid_from"), F.col("end_period").alias("valid_to"), "present")
+    """Every satellite row with its attributes and its lead-based end."""
+    rows, how = _persons(spark, sf_dir)
+    return _shown(satellite_rows(rows, **how))
+
+
+def p1_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with the last snapshot appended to the satellites of those before it."""
+    rows, how = _persons(spark, sf_dir)
+    last = rows.agg(F.max("snapshot_date").alias("last"))  # one row
+    rows = rows.join(F.broadcast(last), how="cross")
+    before = satellite_rows(rows.where("snapshot_date < last"), **how)
+    return _shown(before.unionByName(append_snapshot(before, rows.where("snapshot_date = last"), **how)))
 
 
 def _references(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -85,4 +103,4 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("event_id", "field_name", F.date_format(F.timestamp_seconds("utc"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("utc_value"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_satellites": p1_satellites, "p2_found": p2_found, "p2_report": p2_report, "p3_found": p3_found, "p4_found": p4_found}
+QUERIES = {"p1_found": p1_found, "p1_satellites": p1_satellites, "p1_appended": p1_appended, "p2_found": p2_found, "p2_report": p2_report, "p3_found": p3_found, "p4_found": p4_found}

@@ -52,19 +52,24 @@ m as (
 """
 _PERIOD = "strftime(created_at at time zone 'UTC', '%Y-%m')"
 
+_SATELLITES = (
+    _PERSONS
+    + """
+, p as (
+  select id, 'status' satellite, snapshot_date since, true present, null::varchar as attrs from s where n0 is null or n0 <> n - 1
+  union all select id, 'status', next_date, false, null from s where next_date is not null and (n1 is null or n1 <> n + 1)
+  union all select id, 'party', snapshot_date, true, party from s where party0 is null or party <> party0
+  union all select id, 'roles', snapshot_date, true, roles from s where roles0 is null or roles <> roles0)
+select id person_id, satellite, since valid_from, coalesce(lead(since) over (partition by id, satellite order by since), '') valid_to, present, list_sort(list_filter(string_split(attrs, '#'), lambda x: x <> '')) attributes from p"""
+)
+
 SQL = {
     "p1_found": _PERSONS
     + """
 , r as (select *, sum(case when n0 = n - 1 and party = party0 and roles = roles0 then 0 else 1 end) over (partition by id order by n) run from s)
 select id person_id, min(snapshot_date) valid_from, coalesce(arg_max_null(next_date, n), '') valid_to from r group by id, run""",
-    "p1_satellites": _PERSONS
-    + """
-, p as (
-  select id, 'status' satellite, snapshot_date since, true present from s where n0 is null or n0 <> n - 1
-  union all select id, 'status', next_date, false from s where next_date is not null and (n1 is null or n1 <> n + 1)
-  union all select id, 'party', snapshot_date, true from s where party0 is null or party <> party0
-  union all select id, 'roles', snapshot_date, true from s where roles0 is null or roles <> roles0)
-select id person_id, satellite, since valid_from, coalesce(lead(since) over (partition by id, satellite order by since), '') valid_to, present from p""",
+    "p1_satellites": _SATELLITES,
+    "p1_appended": _SATELLITES,
     "p2_found": _REFERENCES + f"select distinct table_name, field_name, row_id, {_PERIOD} period from m where reason is not null",
     "p2_report": _REFERENCES + f"select table_name, field_name, {_PERIOD} period, reason, count(*) n_references from m where reason is not null group by all",
     "p3_found": f"""

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from billforge.functions.text import bill_key, fold, strip
-from billforge.operators.history import satellite_rows, satellite_view, versions
+from billforge.operators.history import append_late, append_snapshot, effective, satellite_rows, satellite_view, versions
 from billforge.operators.references import orphan_references
 from billforge.operators.snapshots import snapshot_changes
 from billforge.operators.timestamps import moments, parsed
@@ -82,6 +82,32 @@ def _moments(spark, data):
     return {(r.event_id, r.field_name): datetime.fromtimestamp(r.utc, timezone.utc).strftime("%Y-%m-%d %H:%M:%S") for r in moments(events, zones, "event_id", "place", "s", "e", "at").collect()}
 
 
+def test_history_load_by_load(spark):
+    """Fourteen snapshots one by one, then late corrections, give the rows of the whole rebuilt at once."""
+    import random
+
+    rng, raw = random.Random(3), []
+    for n in range(14):
+        for k in range(12):
+            if rng.random() < 0.8:
+                raw.append((f"k{k}", f"2023-{n:02d}", n * 10, rng.choice("xy"), rng.choice(["u", "u", "v", None])))
+    cols = "k string, p string, d int, a string, b string"
+    how = {"key": F.col("k"), "period": F.col("p"), "delivered": F.col("d"), "satellites": {"a": F.col("a"), "b": F.col("b")}}
+    got = lambda df: sorted(map(tuple, df.select("entity", "satellite", "load_period", "hash_diff", "present", "value").collect()), key=repr)
+    log, names = [], "entity string, satellite string, load_period string, hash_diff long, present boolean, value string"
+    for n in range(14):
+        one = spark.createDataFrame([r for r in raw if r[1] == f"2023-{n:02d}"], cols).coalesce(1)
+        log += got(append_snapshot(spark.createDataFrame(log, names).coalesce(1), one, **how))
+    assert sorted(log, key=repr) == got(satellite_rows(spark.createDataFrame(raw, cols).coalesce(1), **how))
+    late = [("k1", "2023-05", 999, "z", "w"), ("k2", "2023-00", 999, "x", "u"), ("k3", "2023-13", 1, "q", "q"), ("new", "2023-07", 5, "x", None)]
+    everything = spark.createDataFrame(raw + late, cols).coalesce(1)
+    touched = everything.where(F.col("k").isin([r[0] for r in late]))
+    more = append_late(spark.createDataFrame(log, names).coalesce(1), touched, everything.select(F.col("p").alias("period")), **how)
+    whole = spark.createDataFrame(log, names).withColumns({"loaded": F.lit(1), "retracted": F.lit(False)}).unionByName(more.withColumn("loaded", F.lit(2)))
+    assert got(effective(whole)) == got(satellite_rows(everything, **how))
+    assert append_snapshot(spark.createDataFrame(log, names), everything.limit(0), **how).count() == 0
+
+
 def test_years_beyond_the_listed(spark):
     from zoneinfo import ZoneInfo
 
