@@ -1,13 +1,15 @@
 """The same location behind differently written postal addresses.
 
 An address is taken apart into house number, direction, street, kind of street, unit, city, region and postal code, whatever
-their order. Its street is represented as weighted character trigrams, each tagged with the house number (only addresses of
-one number can be compatible). Candidates come from inverted indexes on the grams of each record's prefix, which by the
-prefix filter hold every pair of cosine COSINE or more; they are verified by the cosine and then by the parts: house
-number, direction and kind of street agree, street and city agree up to a typing error, region and code where both have
-them, and the unit (or that there is none).
-
-Scale: equal parts are one class, so copies of an address meet the index once; the index is on (number, gram), rarest
+their order; where no known kind of street is named (a post office box, a named building, a street of another kind), the
+piece with a number, or the first piece, stands for the street. The whole normalised address (street, city, region, code) is
+represented as weighted character trigrams, each tagged with the house number and the unit, as only addresses that agree in
+both can be compatible. Weights grow with the rarity of a trigram over all addresses. Candidates come from inverted indexes on
+the grams of each record's prefix, rarest first, which by the prefix filter hold every pair of cosine COSINE or more; they
+are verified by the cosine and then by the parts: house number, direction and kind of street agree, street and city agree up to
+a typing error, region and code where both have them, and the unit (or that there is none).
+
+Scale: equal parts are one class, so copies of an address meet the index once; the index is on (number, unit, gram), rarest
 first, so its lists stay short, and a hot list is split by AQE's skew join. Weights are counts over all records.
 """
 
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from billforge.session import checkpoint, spread
 
-COSINE = 0.25
+COSINE = 0.4
 #: Abbreviations of kinds of street, directions and parts of place names.
 KINDS = {"street": "st", "avenue": "ave", "road": "rd", "drive": "dr", "lane": "ln", "court": "ct", "boulevard": "blvd", "highway": "hwy", "place": "pl", "parkway": "pkwy", "square": "sq", "circle": "cir", "terrace": "ter", "trail": "trl", "way": "way", "plaza": "plz"}
 KIND = {**KINDS, **{v: v for v in KINDS.values()}, "av": "ave", "str": "st"}
@@ -42,6 +44,10 @@ _CODE = re.compile(r"\b([0-9]{5})(?:-[0-9]{4})?\b(?!\s+[a-z]+\s+(?:" + _K + r")\
 _HOUSE = re.compile(r"\b(?:building|bldg|annex|capitol|house|hall|tower|center|centre|complex|office|plaza|statehouse)\b")
 
 
+_BOX = re.compile(r"\bp\.?\s?o\.?\s?box\s+#?\s*([0-9]+)")
+_NUMBERED = re.compile(r"(?=\S*[0-9])(?![0-9]{5}(?:-[0-9]{4})?\b)([0-9a-z-]+)\s+([^\W\d].*)")
+
+
 def distance(a: str, b: str, most: int = 2) -> int:
     """Edits (insert, delete, replace, swap of neighbours) between a and b, or most + 1."""
     if a == b:
@@ -61,8 +67,26 @@ def distance(a: str, b: str, most: int = 2) -> int:
     return min(one[-1], most + 1)
 
 
+def _plain(text: str) -> str:
+    """Words without accents and signs."""
+    return " ".join(re.findall(r"\w+", "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))))
+
+
+def _other(s: str) -> tuple[str, str, str, str] | None:
+    """(number, name, kind, rest) of an address without a known kind of street."""
+    if m := _BOX.search(s):
+        return m[1], "po box", "po box", s[: m.start()] + "\x01" + s[m.end() :]
+    pieces = [x.strip() for x in re.split(r"[|\x02]", s)]
+    pieces = [x for x in pieces if re.search(r"\w", x)]
+    if not pieces:
+        return None
+    at = next((k for k, x in enumerate(pieces) if _NUMBERED.fullmatch(x)), 0)
+    m = _NUMBERED.fullmatch(pieces[at])
+    return m[1] if m else "", m[2] if m else pieces[at], "", "|".join(pieces[:at] + ["\x01"] + pieces[at + 1 :])
+
+
 def parts(text: str | None, regions: dict[str, str]) -> dict | None:
-    """The parts of an address, or None if it has neither a number nor a street. ``regions`` maps codes and names to one form, all in lower case."""
+    """The parts of an address, or None if it has neither a number, nor a unit with a name, nor the name of a building. ``regions`` maps codes and names to one form, all in lower case."""
     s = unicodedata.normalize("NFKC", text or "").casefold()
     s = re.sub(r"\s*[\n\r;,|]+\s*|\s+-\s+", "|", re.sub(r"[^\S\n\r]+", " ", s)).strip(" |")
     s = _COUNTRY.sub("", _CARE.sub("|", s))
@@ -74,20 +98,25 @@ def parts(text: str | None, regions: dict[str, str]) -> dict | None:
         unit = unit or kind + ":" + re.sub(r"[\s-]", "", m[2] or m[3] or m[4] or ORDINAL[m[5]]).lstrip("0")
         return "\x02"
 
+    box = _BOX.search(s)
     s = _UNIT.sub(take, s)
-    m = _STREET.search(s)
-    if not m:  # a kind of street with a typing error
+    m = None if box else _STREET.search(s)
+    if not m and not box:  # a kind of street with a typing error
         for w in set(re.findall("[a-z]{3,}", s)):
             near = [k for k in KINDS if distance(w, k, 1) == 1]
             if near and (m := _STREET.search(t := re.sub(rf"\b{w}\b", near[0], s))):
                 s = t
                 break
-    if not m:
+    if m:
+        name = m[3].replace(".", "")
+        name = re.sub(r"^([0-9]+)(?:st|nd|rd|th)$", r"\1", ORDINAL.get(name, name))
+        out = {"number": m[1].lstrip("0"), "direction": DIRECTION.get(m[2] or m[5] or "", ""), "name": name, "kind": KIND[m[4]], "unit": unit}
+        rest = s[: m.start()] + "\x01" + s[m.end() :]
+    elif (found := _other(s)) and (found[0] or unit or _HOUSE.search(found[1])):  # not just words, as "unknown" or "n/a"
+        number, name, kind, rest = found
+        out = {"number": number.lstrip("0"), "direction": "", "name": _plain(name), "kind": kind, "unit": unit}
+    else:
         return None
-    name = m[3].replace(".", "")
-    name = re.sub(r"^([0-9]+)(?:st|nd|rd|th)$", r"\1", ORDINAL.get(name, name))
-    out = {"number": m[1].lstrip("0"), "direction": DIRECTION.get(m[2] or m[5] or "", ""), "name": name, "kind": KIND[m[4]], "unit": unit}
-    rest = s[: m.start()] + "\x01" + s[m.end() :]
     codes = _CODE.findall(rest)
     rest = _CODE.sub("\x03", rest)
     region, city = "", ""
@@ -157,27 +186,36 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def classes(offices: DataFrame, regions: dict[str, str]) -> DataFrame:
-    """(id, rep, parts...): addresses with equal parts are one class, named by its least id. Rows with a null id or without an address (null, blank, no number or street) are left out."""
+    """(id, rep, parts...): addresses with equal parts are one class, named by its least id. Rows with a null id or without an address (null, blank, without a number, unit or building) are left out."""
     rows = spread(offices.where("id is not null and trim(address) <> ''").select("id", "address"))
     parsed = rows.mapInArrow(_parse(regions), "id bigint, " + ", ".join(f"{f} string" for f in FIELDS)).distinct()
     reps = parsed.groupBy(*FIELDS).agg(F.min("id").alias("rep"))
     return parsed.join(reps, list(FIELDS)).select("id", F.col("rep"), *FIELDS)
 
 
+def _grams(reps: DataFrame) -> DataFrame:
+    """(rep, tag, gram): the trigrams of each address, every part within its own signs."""
+    marked = lambda sign, c: F.when(F.col(c) != "", F.concat(F.lit(sign), c, F.lit(sign)))
+    texts = F.array_compact(F.array(F.concat(F.lit("^^"), "direction", F.lit(" "), "name", F.lit(" "), "kind", F.lit("$")), marked("<", "city"), marked("=", "region"), marked("@", "code")))
+    cut = lambda text: F.transform(F.sequence(F.lit(1), F.length(text) - 2), lambda i: F.substring(text, i, F.lit(3)))
+    return reps.select("rep", F.concat_ws("|", "number", "unit_no").alias("tag"), F.explode(F.array_distinct(F.flatten(F.transform(texts, cut)))).alias("gram"))
+
+
 def matching_classes(reps: DataFrame, cosine: float = COSINE) -> DataFrame:
-    """(rep_1, rep_2), rep_1 < rep_2: classes whose streets have the cosine and whose parts are compatible."""
-    text = F.concat(F.lit("^^"), "direction", F.lit(" "), "name", F.lit(" "), "kind", F.lit("$"))
-    grams = reps.select("rep", "number", "unit_no", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - 2), lambda i: F.concat_ws("|", "number", "unit_no", F.substring(text, i, F.lit(3)))))).alias("gram"))
-    counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    total = F.lit(1.0)
-    weighted = grams.join(counts, "gram").withColumn("w", total / F.log2(F.lit(2.0) + F.col("df"))).select("rep", "gram", "w")
+    """(rep_1, rep_2), rep_1 < rep_2: classes whose addresses have the cosine and whose parts are compatible."""
+    grams = _grams(reps)
+    # The counts by tag and gram come first, so that those by gram are sums of them; every trigram has one line.
+    tagged = grams.groupBy("tag", "gram").agg(F.count(F.lit(1)).alias("listed"))
+    rarity = tagged.groupBy("gram").agg(F.sum("listed").alias("df"))
+    total = reps.agg(F.count(F.lit(1))).scalar()
+    weights = tagged.join(rarity, "gram").select("tag", "gram", "listed", F.sqrt(F.log(1 + total / F.col("df"))).alias("w"))
     by = W.partitionBy("rep")
-    ranked = weighted.withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(by)))
-    before = by.orderBy(F.desc("w"), "gram").rowsBetween(W.unboundedPreceding, -1)
+    ranked = grams.join(weights, ["tag", "gram"]).withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(by)))
+    before = by.orderBy("listed", "gram").rowsBetween(W.unboundedPreceding, -1)  # one order for all records of a tag
     ranked = ranked.withColumn("w", F.col("w") / F.col("norm")).drop("norm").withColumn("left", 1 - F.coalesce(F.sum(F.col("w") * F.col("w")).over(before), F.lit(0.0)))
-    prefix = ranked.where(F.col("left") >= cosine * cosine - 1e-9).select("rep", "gram")
-    met = prefix.alias("a").join(prefix.alias("b"), F.expr("a.gram = b.gram and a.rep < b.rep")).select(F.col("a.rep").alias("rep_1"), F.col("b.rep").alias("rep_2")).distinct()
-    bags = ranked.groupBy("rep").agg(F.map_from_entries(F.collect_list(F.struct("gram", "w"))).alias("bag"))  # a street's grams
+    prefix = ranked.where(F.col("left") >= cosine * cosine - 1e-9).select("rep", "tag", "gram")
+    met = prefix.alias("a").join(prefix.alias("b"), F.expr("a.tag = b.tag and a.gram = b.gram and a.rep < b.rep")).select(F.col("a.rep").alias("rep_1"), F.col("b.rep").alias("rep_2")).distinct()
+    bags = ranked.groupBy("rep").agg(F.map_from_entries(F.collect_list(F.struct("gram", "w"))).alias("bag"))  # an address's grams
     whole = reps.select("rep", F.struct(*FIELDS).alias("p")).join(bags, "rep")
     both = met.join(whole.toDF("rep_1", "p", "x"), "rep_1").join(whole.toDF("rep_2", "q", "y"), "rep_2")
     dot = F.aggregate(F.map_keys("x"), F.lit(0.0), lambda s, g: s + F.coalesce(F.try_element_at("x", g) * F.try_element_at("y", g), F.lit(0.0)))
@@ -188,6 +226,17 @@ def _reps(members: DataFrame) -> DataFrame:
     return members.where("id = rep").select("rep", *FIELDS).dropDuplicates(["rep", *FIELDS]).withColumn("unit_no", F.regexp_extract("unit", ":(.*)", 1))
 
 
+def location_groups(offices: DataFrame, regions: dict[str, str]) -> DataFrame:
+    """(id, rep, n_links) of every record with an address: its class of equal addresses, named by the least id, and how many other records denote the same location. Otherwise as same_location()."""
+    members = checkpoint(classes(offices, regions))
+    pairs = matching_classes(_reps(members))
+    sizes = members.groupBy("rep").agg(F.count(F.lit(1)).alias("n"))
+    either = pairs.unionByName(pairs.select(F.col("rep_2").alias("rep_1"), F.col("rep_1").alias("rep_2")))
+    near = either.join(sizes.withColumnRenamed("rep", "rep_2"), "rep_2").groupBy(F.col("rep_1").alias("rep")).agg(F.sum("n").alias("others"))
+    links = sizes.join(near, "rep", "left").select("rep", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    return members.select("id", "rep").join(links, "rep").select("id", "rep", "n_links")
+
+
 def same_location(offices: DataFrame, regions: dict[str, str]) -> DataFrame:
     """(id_1, id_2), smaller first, of all records (id, address) that denote the same location; repeated rows give a pair once.
 

@@ -34,6 +34,11 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return address.same_location(*_offices(spark, sf_dir)).toDF("office_id_1", "office_id_2")
 
 
+def p6_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each office with an address, its class of equal addresses and its number of links."""
+    return address.location_groups(*_offices(spark, sf_dir)).toDF("office_id", "class_id", "n_links")
+
+
 def _bill_texts(spark: SparkSession, sf_dir: str) -> dict:
     rows = read(spark, sf_dir, "searchable_bill").select("sb_id", "created_at", "all_titles", "raw_text").where("raw_text is not null and raw_text <> ''")
     return {"records": rows, "key": F.col("sb_id"), "made": F.col("created_at"), "text": F.concat_ws(" ", F.coalesce("all_titles", F.lit("")), "raw_text"), "width": 3, "threshold": 0.7}
@@ -88,7 +93,7 @@ def p10_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("source").agg(F.count(F.lit(1)).alias("n_documents"), flagged.alias("n_flagged"), (flagged / F.count(F.lit(1))).alias("rate"))
 
 
-QUERIES = {"p9_mix": p9_mix, "p9_report": p9_report, "p5_found": p5_found, "p5_paragraphs": p5_paragraphs, "p10_found": p10_found, "p10_scores": p10_scores, "p10_report": p10_report, "p6_found": p6_found, "p7_found": p7_found, "p7_groups": p7_groups, "p8_found": p8_found, "p8_report": p8_report}
+QUERIES = {"p9_mix": p9_mix, "p9_report": p9_report, "p5_found": p5_found, "p5_paragraphs": p5_paragraphs, "p10_found": p10_found, "p10_scores": p10_scores, "p10_report": p10_report, "p6_found": p6_found, "p6_groups": p6_groups, "p7_found": p7_found, "p7_groups": p7_groups, "p8_found": p8_found, "p8_report": p8_report}
 _LETTERS = "regexp_replace(lower(strip_accents(regexp_replace({0}, '<[a-zA-Z/!?][^<>]*>', {1}, 'g'))), '[^a-z0-9]+', {1}, 'g')"
 
 SQL: dict[str, str] = {

@@ -20,10 +20,27 @@ def test_parts():
     assert p == {"number": "8416", "direction": "w", "name": "harvest", "kind": "st", "unit": "room:190", "city": "holridge", "region": "zz", "code": "64235"}
     assert parts("State Office Building - 330 Foundry Avenue 5th Fl. - Bristack", REGIONS)["unit"] == "floor:5"
     assert parts("159 Fourth Av, St. Olmmore", REGIONS) | {"unit": ""} == parts("159 4th Ave., Saint Olmmore", REGIONS)
-    for nothing in (None, "", "   ", "N/A", "P.O. Box 5", "???", "x" * 10_000):
+    for nothing in (None, "", "   ", "N/A", "nowhere", "Suite 4", "???", "x" * 10_000):
         assert parts(nothing, REGIONS) is None
 
 
+def test_addresses_without_a_known_street():
+    for text, want in {
+        "PO Box 1234, Holridge": ("1234", "po box", ""), "State Capitol, Room 210": ("", "state capitol", "room:210"), "100 Broadway, Holridge": ("100", "broadway", ""),
+        "450 Alameda": ("450", "alameda", ""), "77 Pine Crescent": ("77", "pine crescent", ""), "12 Rue de l'Église": ("12", "rue de l eglise", ""), "N4W22000 Bluemound Road": ("n4w22000", "bluemound road", "")}.items():
+        p = parts(text, REGIONS)
+        assert (p["number"], p["name"], p["unit"]) == want, text
+    assert same("P.O. Box 01234, Holridge ZZ", "PO BOX 1234; Holridge") and not same("PO Box 1234, Holridge", "PO Box 1235, Holridge")
+    assert same("12 Rue de l'Eglise, Holridge", "12 rue de l’église") and not same("12 Rue de l'Eglise", "14 Rue de l'Eglise")
+    assert same("State Capitol, Room 210", "STATE CAPITOL - Rm. 210") and not same("State Capitol, Room 210", "State Capitol")
+
+
+def test_groups(spark):
+    rows = [(1, "11 Harvest St, Holridge"), (2, "11 Harvest St, Holridge"), (3, "11 Hravest Street, Holridge"), (4, "11 Harvest St #5, Holridge"), (5, None), (6, "PO Box 9"), (6, "PO Box 9")]
+    got = address.location_groups(spark.createDataFrame(rows, "id bigint, address string"), REGIONS)
+    assert sorted(map(tuple, got.collect())) == [(1, 1, 2), (2, 1, 2), (3, 3, 2), (4, 4, 0), (6, 6, 0)]
+
+
 def test_same_location():
     a = "8416 W. Harvest St. Rm. 190, Holridge, ZZ 64235"
     for b in ("Room 190\n8416 West Harvest Street\nHolridge, Monsheba", "8416 W Hravest St - #190 - Holridge 64235", "8416 Harvest St W., Rm 190; Hollridge ZZ", "Legislative Annex; 8416 W HARVEST ST ROOM 190; ZZ 64235"):
