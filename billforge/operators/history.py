@@ -67,8 +67,8 @@ def append_snapshot(log: DataFrame, rows: DataFrame, key: Column, period: Column
         F.bool_or(F.when(F.col("satellite") == STATUS, F.col("l.present"))).alias("there"),
         *(F.max(F.when(F.col("satellite") == s, F.col("l.hash_diff"))).alias(f"{s}_0") for s in satellites))
     incoming = _current(rows, key, period, delivered, satellites, True)
-    now = incoming.agg(F.max("period").alias("now"))  # one row
-    both = known.join(incoming, "entity", "full_outer").join(F.broadcast(now), how="cross").where("now is not null")
+    now = incoming.agg(F.max("period")).scalar()
+    both = known.join(incoming, "entity", "full_outer").withColumn("now", now).where("now is not null")
     there = F.coalesce("there", F.lit(False))
     came = F.col("period").isNotNull()
     out = [_made(STATUS, came & ~there, F.col("now")), _made(STATUS, ~came & there, F.col("now"), False)]

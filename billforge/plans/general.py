@@ -49,8 +49,7 @@ def p1_satellites(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p1_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, with the last snapshot appended to the satellites of those before it."""
     rows, how = _persons(spark, sf_dir)
-    last = rows.agg(F.max("snapshot_date").alias("last"))  # one row
-    rows = rows.join(F.broadcast(last), how="cross")
+    rows = rows.withColumn("last", rows.agg(F.max("snapshot_date")).scalar())
     before = satellite_rows(rows.where("snapshot_date < last"), **how)
     return _shown(before.unionByName(append_snapshot(before, rows.where("snapshot_date = last"), **how)))
 
