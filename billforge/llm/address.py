@@ -203,11 +203,12 @@ def _grams(reps: DataFrame) -> DataFrame:
 
 def matching_classes(reps: DataFrame, cosine: float = COSINE) -> DataFrame:
     """(rep_1, rep_2), rep_1 < rep_2: classes whose addresses have the cosine and whose parts are compatible."""
+    total = reps.agg(F.count(F.lit(1))).scalar()
+    rarity = _grams(reps).groupBy("gram").agg(F.count(F.lit(1)).alias("df"))  # over all, a line per trigram
+    several = reps.groupBy("number", "unit_no").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    reps = reps.join(several, ["number", "unit_no"], "left_semi")  # an address alone with its number and unit has no partner
     grams = _grams(reps)
-    # The counts by tag and gram come first, so that those by gram are sums of them; every trigram has one line.
     tagged = grams.groupBy("tag", "gram").agg(F.count(F.lit(1)).alias("listed"))
-    rarity = tagged.groupBy("gram").agg(F.sum("listed").alias("df"))
-    total = reps.agg(F.count(F.lit(1))).scalar()
     weights = tagged.join(rarity, "gram").select("tag", "gram", "listed", F.sqrt(F.log(1 + total / F.col("df"))).alias("w"))
     by = W.partitionBy("rep")
     ranked = grams.join(weights, ["tag", "gram"]).withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(by)))
