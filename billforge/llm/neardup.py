@@ -7,15 +7,17 @@ differing symbol erased, so a shuffle on variants brings together just the pairs
 compared that shares no variant. Colliding pairs are deduplicated, thinned by a 128-bit sketch and verified on their whole
 sets of word sequences.
 
-Exact copies are one class throughout: they are searched once and joined back at the end. With the defaults (16
-fingerprints of 6 symbols) a pair of likeness 0.7 is missed with probability 1.7e-4, one of 0.75 with 1e-5, one of 0.8
-with 3e-7. Scale: the shuffle on variants carries two longs a variant, the text is shuffled once (deduplication of copies)
+Exact copies are one class throughout: they are searched once and joined back at the end. The number and length of the
+fingerprints follow from the threshold (Plan): at 0.7 they are 16 of 6 symbols, and a pair of likeness 0.7 is missed with
+probability 1.7e-4, one of 0.75 with 1e-5, one of 0.8 with 3e-7. Scale: the shuffle on variants carries two longs a variant, the text is shuffled once (deduplication of copies)
 plus once for records that have a candidate. Hot variants are split by AQE's skew join, never gathered into one task.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +25,32 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from billforge.session import checkpoint, spread
 
-SYMBOLS, FINGERPRINTS, SKETCH, SEED = 6, 16, 128, 20240229
-#: Bits in which the sketches of a pair may differ. At likeness 0.7 a bit differs with probability 0.15, so of 128 it is 19.2 with deviation 4.0; this is 5.7 deviations more.
-SKETCH_BITS = 42
+SKETCH, SEED, MISSED, DEVIATIONS = 128, 20240229, 2e-4, 5.7
+
+
+@dataclass(frozen=True)
+class Plan:
+    """How many fingerprints of how many symbols a threshold needs, and in how many bits the sketches of a pair may differ."""
+
+    symbols: int
+    fingerprints: int
+    bits: int
+
+    @classmethod
+    def of(cls, threshold: float) -> Plan:
+        """The longest fingerprints (at most six symbols) of which SKETCH min-hashes hold as many as miss a pair at the threshold with a probability of at most MISSED.
+
+        Two fingerprints share a variant if at most one of their symbols differs. A bit of the sketches of a pair at the
+        threshold differs with probability (1 - threshold) / 2; the bound is DEVIATIONS deviations above (about one pair in 10^8).
+        """
+        odds = (1 - threshold) / 2
+        bits = math.floor(SKETCH * odds + DEVIATIONS * math.sqrt(SKETCH * odds * (1 - odds)))
+        for symbols in (6, 5, 4, 3):
+            meet = threshold**symbols + symbols * threshold ** (symbols - 1) * (1 - threshold)
+            many = 1 if meet >= 1 else max(1, math.ceil(math.log(MISSED) / math.log1p(-meet)))
+            if symbols * many <= SKETCH:
+                return cls(symbols, many, bits)
+        raise ValueError(f"a likeness of {threshold} is below what {SKETCH} min-hashes find")
 
 
 def normal_words(text: Column) -> Column:
@@ -67,7 +92,7 @@ def _constants() -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(0, 1 << 63, SKETCH, dtype=np.uint64), rng.integers(0, 1 << 63, SKETCH, dtype=np.uint64) | np.uint64(1)
 
 
-def fingerprint(words: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def fingerprint(words: np.ndarray, offsets: np.ndarray, width: int, plan: Plan) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(variants, sketches, whether there are any) of the records with at least ``width`` words."""
     h, at = shingle_hashes(words, offsets, width)
     some = np.flatnonzero(np.diff(at))
@@ -79,21 +104,21 @@ def fingerprint(words: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.
             x = (h ^ xor[j]) * mul[j]
             mins[:, j] = np.minimum.reduceat(x ^ (x >> np.uint64(32)), starts)
         bits = np.packbits((_mix(mins) & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64).reshape(-1, SKETCH // 64)
-        part = mins[:, : SYMBOLS * FINGERPRINTS] * mul[None, : SYMBOLS * FINGERPRINTS]
-        part = part.reshape(-1, FINGERPRINTS, SYMBOLS)
-        salt = xor[: SYMBOLS * FINGERPRINTS].reshape(1, FINGERPRINTS, SYMBOLS)
+        used = plan.symbols * plan.fingerprints
+        part = (mins[:, :used] * mul[None, :used]).reshape(-1, plan.fingerprints, plan.symbols)
+        salt = xor[:used].reshape(1, plan.fingerprints, plan.symbols)
         variants = _mix(part.sum(axis=2, keepdims=True) - part + salt)  # the fingerprint with its i-th symbol erased
     return variants.reshape(len(some), -1).view(np.int64), bits, some
 
 
-def _emit(width: int):
+def _emit(width: int, plan: Plan):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 b = batch.slice(at, 512)
                 words, offsets = _ragged(b["words"])
-                variants, bits, some = fingerprint(words, offsets, width)
-                lists = pa.ListArray.from_arrays(np.arange(0, variants.size + 1, SYMBOLS * FINGERPRINTS, dtype=np.int32), pa.array(variants.ravel()))
+                variants, bits, some = fingerprint(words, offsets, width, plan)
+                lists = pa.ListArray.from_arrays(np.arange(0, variants.size + 1, plan.symbols * plan.fingerprints, dtype=np.int32), pa.array(variants.ravel()))
                 yield pa.RecordBatch.from_arrays([b["rep"].take(pa.array(some)), lists, pa.array(bits[:, 0].copy()), pa.array(bits[:, 1].copy())], ["rep", "variants", "s1", "s2"])
 
     return run
@@ -127,13 +152,14 @@ def classes(records: DataFrame, key: Column, made: Column, text: Column) -> tupl
 
 def similar_classes(texts: DataFrame, width: int, threshold: float) -> DataFrame:
     """(rep_1, rep_2, common, total) of classes whose sets of word sequences have common / total >= threshold, rep_1 < rep_2."""
+    plan = Plan.of(threshold)
     hashed = texts.select("rep", word_hashes(F.col("words")).alias("words"))
-    prints = hashed.mapInArrow(_emit(width), "rep bigint, variants array<bigint>, s1 bigint, s2 bigint")
+    prints = hashed.mapInArrow(_emit(width, plan), "rep bigint, variants array<bigint>, s1 bigint, s2 bigint")
     emitted = prints.select("rep", F.explode("variants").alias("variant"))
     met = emitted.alias("a").join(emitted.alias("b"), F.expr("a.variant = b.variant and a.rep < b.rep")).select(F.col("a.rep").alias("rep_1"), F.col("b.rep").alias("rep_2")).distinct()
     sketch = prints.select("rep", "s1", "s2")
     near = met.join(sketch.toDF("rep_1", "a1", "a2"), "rep_1").join(sketch.toDF("rep_2", "b1", "b2"), "rep_2")
-    near = near.where(F.expr(f"bit_count(a1 ^ b1) + bit_count(a2 ^ b2) <= {SKETCH_BITS}")).select("rep_1", "rep_2")
+    near = near.where(F.expr(f"bit_count(a1 ^ b1) + bit_count(a2 ^ b2) <= {plan.bits}")).select("rep_1", "rep_2")
     near = checkpoint(near)  # pairs of ids; read three times below
     needed = near.select(F.explode(F.array("rep_1", "rep_2")).alias("rep")).distinct()
     sets = hashed.join(needed, "rep", "left_semi").mapInArrow(_sets(width), "rep bigint, shingles array<bigint>")

@@ -41,8 +41,11 @@ def test_operator(spark):
     assert leak.leaks(docs.limit(0), items).count() == 0 and leak.leaks(docs, items.limit(0)).count() == 0
 
 
-def test_blocks_of_items(spark, monkeypatch):
-    monkeypatch.setattr(leak, "BLOCK_CHARS", 10)
+def test_items_alike_and_one_scan(spark):
     docs = spark.createDataFrame([(1, "x " + ITEM)], "doc_id bigint, text string")
     items = spark.createDataFrame([(1, ITEM), (2, ITEM), (3, "other " * 20)], "item_id bigint, text string")
-    assert sorted(r.item_id for r in leak.leaks(docs, items).collect()) == [1, 2]
+    found = leak.leaks(docs, items)
+    assert sorted(r.item_id for r in found.collect()) == [1, 2]
+    assert found._jdf.queryExecution().toString().count("MapInArrow") <= 4  # the same scan in each stage of the plan
+    # Other items in the same workers are not answered from the scanner built before.
+    assert sorted(r.item_id for r in leak.leaks(docs, items.where("item_id = 2")).collect()) == [2]

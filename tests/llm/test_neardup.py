@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from billforge.llm import neardup
@@ -43,7 +44,7 @@ def _pairs(spark, texts, width, threshold):
 
 def test_pairs_against_brute_force(spark):
     texts = _corpus()
-    for width, threshold in ((3, 0.7), (5, 0.8)):
+    for width, threshold in ((3, 0.7), (5, 0.8), (3, 0.5), (2, 0.4)):
         sets = {i: shingles(t or "", width) for i, t in texts.items()}
         want = {(a, b) for a, b in itertools.combinations(sorted(sets), 2) if likeness(sets[a], sets[b]) >= threshold}
         got = [tuple(r) for r in _pairs(spark, texts, width, threshold)[1].collect()]
@@ -87,7 +88,7 @@ def test_variants_meet():
     changed = words.copy()
     changed[150] = np.uint64(12345)
     flat, offsets = np.concatenate([words, changed, words[::-1]]), np.array([0, 300, 600, 900])
-    variants, bits, some = neardup.fingerprint(flat, offsets, 3)
+    variants, bits, some = neardup.fingerprint(flat, offsets, 3, neardup.Plan.of(0.7))
     assert list(some) == [0, 1, 2] and set(variants[0]) & set(variants[1]) and not set(variants[0]) & set(variants[2])
     assert variants.shape == (3, 96) and bits.shape == (3, 2)
 
@@ -96,3 +97,13 @@ def test_very_long_text(spark):
     long = " ".join(f"w{i % 5000}x{i}" for i in range(200_000))
     df = spark.createDataFrame([(1, long, 1), (2, long + " more words here", 1)], "k bigint, t string, m int")
     assert [tuple(r) for r in neardup.similar_pairs(df, F.col("k"), F.col("m"), F.col("t")).collect()] == [(1, 2)]
+
+
+def test_plan_follows_the_threshold():
+    assert neardup.Plan.of(0.7) == neardup.Plan(6, 16, 42)
+    for t in (0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0):
+        p = neardup.Plan.of(t)
+        meet = t**p.symbols + p.symbols * t ** (p.symbols - 1) * (1 - t)
+        assert (1 - meet) ** p.fingerprints <= 2e-4 and p.symbols * p.fingerprints <= neardup.SKETCH
+    with pytest.raises(ValueError):
+        neardup.Plan.of(0.1)
