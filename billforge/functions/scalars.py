@@ -161,3 +161,20 @@ def children_of(division: Column, parent: str, kind: str | None = None, depth: i
     levels = F.size(F.split(division, "/")) - 1
     below = division.startswith(parent + "/") & (levels > level) & (levels <= level + depth)
     return below & (division_part(division, level)[0] == kind) if kind else below
+
+
+def make_pseudo_id(fields: dict[str, Column]) -> Column:
+    """``~{json}`` of the fields that are not null, sorted by name, with a blank after each colon and comma."""
+    quoted = lambda x: F.regexp_replace(F.to_json(F.array(x)), r"^\[|\]$", "")
+    pairs = [F.when(x.isNotNull(), F.concat(F.lit(f'"{n}": '), quoted(x))) for n, x in sorted(fields.items())]
+    return F.concat(F.lit("~{"), F.concat_ws(", ", *pairs), F.lit("}"))
+
+
+def both_given(organization: Column, classification: Column) -> Column:
+    """Whether an organization and a classification are given, which is an error."""
+    return (F.coalesce(organization, F.lit("")) != "") & (F.coalesce(classification, F.lit("")) != "")
+
+
+def slug(text: Column) -> Column:
+    """Lower case, runs of other signs than letters and digits as one hyphen, none at the ends."""
+    return F.btrim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", "-"), F.lit("-"))

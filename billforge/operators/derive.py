@@ -65,3 +65,8 @@ def current_role(roles: Column, today: Column) -> Column:
 def primary_party(parties: Column, today: Column) -> Column:
     active = F.filter(parties, lambda r: (F.coalesce(r["end_date"], F.lit("")) == "") | (r["end_date"] > today))
     return F.get(active, F.size(active) - 1)["name"]
+
+
+def numbered(rows: DataFrame, by: list[str], order: list[Column], name: str) -> DataFrame:
+    """rows with their number from 1 within each group; the order must be total for the result to be one."""
+    return rows.withColumn(name, F.row_number().over(W.partitionBy(*by).orderBy(*order)))

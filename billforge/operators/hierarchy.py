@@ -56,3 +56,9 @@ def chamber_of(name: Column, upper: Column, lower: Column) -> Column:
     word = F.lower(F.split(F.trim(name), r"\s+")[0])
     u, l = F.contains(word, F.lower(upper)), F.contains(word, F.lower(lower))  # noqa: E741
     return F.when(u & ~l, "upper").when(l & ~u, "lower")
+
+
+def district_status(roles: DataFrame, current: DataFrame, legacy: DataFrame, on: list[str]) -> DataFrame:
+    """roles with ``status``: whether their district is a current one, one of former maps, or unknown."""
+    known = current.select(*on, F.lit(1).alias("_k")).unionByName(legacy.select(*on, F.lit(2).alias("_k"))).groupBy(*on).agg(F.min("_k").alias("_k"))
+    return roles.join(known, on, "left").withColumn("status", F.when(F.col("_k") == 1, "current").when(F.col("_k") == 2, "legacy").otherwise("unknown")).drop("_k")

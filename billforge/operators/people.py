@@ -87,19 +87,31 @@ def retire(roles: Column, end: Column, reason: Column) -> Column:
     return F.transform(roles, lambda r: r.withField("end_date", F.when(is_open(r), end).otherwise(r["end_date"])).withField("end_reason", F.when(is_open(r), reason).otherwise(r["end_reason"])))
 
 
-def members_of(memberships: DataFrame, organization: Column, today: Column, current_only: bool = True, ident: str = "person_id") -> DataFrame:
-    """The persons that are, or ever were, members; each once."""
-    rows = memberships.where(organization)
+def members_of(memberships: DataFrame, organization: Column, today: Column, current_only: bool = True, ident: str = "person_id", post: Column | None = None) -> DataFrame:
+    """The persons that are, or ever were, members (of a post there); each once."""
+    rows = memberships.where(organization if post is None else organization & post)
     if current_only:
         s, e = F.coalesce("start_date", F.lit("")), F.coalesce("end_date", F.lit(""))
         rows = rows.where(((s == "") | (s <= today)) & ((e == "") | (e >= today)))
     return rows.select(ident).distinct()
 
 
-def search(persons: DataFrame, query: Column, name: str = "name", current: Column | None = None) -> DataFrame:
-    """Persons whose name contains the query, ignoring case; signs of patterns stand for themselves."""
+def search(persons: DataFrame, query: Column, name: str = "name", current: Column | None = None, state: Column | None = None, exact: dict[str, Column] | None = None) -> DataFrame:
+    """Persons whose name contains the query, or one of whose ``exact`` columns equals its value, ignoring case; signs of patterns stand for themselves."""
     hit = F.contains(F.upper(F.col(name)), F.upper(query))
-    return persons.where(hit if current is None else hit & current)
+    for column, value in (exact or {}).items():
+        hit = hit | (F.upper(F.col(column)) == F.upper(value))
+    for also in (current, state):
+        hit = hit if also is None else hit & also
+    return persons.where(hit)
+
+
+def fix_names(persons: DataFrame) -> DataFrame:
+    """Persons (name, given_name, family_name) with the parts of a name of two words where they lack them, and whether that was so."""
+    words = F.split(F.trim("name"), r"\s+")
+    given, family = (F.coalesce(x, F.lit("")) for x in ("given_name", "family_name"))
+    two = F.size(words) == 2
+    return persons.withColumns({"fixed": two & ((given == "") | (family == "")), "given_name": F.when(two & (given == ""), words[0]).otherwise(given), "family_name": F.when(two & (family == ""), words[1]).otherwise(family)})
 
 
 def match_incoming(new: DataFrame, old: DataFrame, ident: str, name: str, role: list[str], seats: str) -> DataFrame:

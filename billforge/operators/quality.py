@@ -88,3 +88,26 @@ def within_cap(rows: DataFrame, by: list[str], most: int) -> DataFrame:
     """rows without the groups of more than ``most`` rows."""
     over = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most)
     return rows.join(over.select(*by), by, "left_anti")
+
+
+def session_report(bills: DataFrame, children: dict[str, DataFrame], sponsors: DataFrame, votes: DataFrame, ballots: DataFrame, bill: str, vote: str, session: str) -> DataFrame:
+    """One row per session: bills and those missing each kind of child; votes and those without voters, without a declared yes or no, or whose ballots are not as declared; how many names match nothing.
+
+    ``sponsors`` has bill, name, entity_type and matched, ``votes`` vote, session and counts (option, value), ``ballots`` vote, option,
+    name and matched. An option that is not declared cannot disagree, but for others, of which none are expected then.
+    """
+    n = F.count(F.lit(1))
+    has = bills.select(bill, session)
+    for kind, rows in children.items():
+        has = has.join(rows.select(bill).distinct().withColumn(f"_{kind}", F.lit(True)), bill, "left")
+    of_bills = has.groupBy(session).agg(n.alias("bills"), *(F.count_if(F.col(f"_{k}").isNull()).alias(f"missing_{k}") for k in children))
+    actual = ballots.groupBy(vote).agg(*(F.count_if(F.col("option") == k).alias(f"_{k}") for k in ("yes", "no", "other")), F.lit(True).alias("_voted"))
+    both = votes.select(vote, session, *(F.try_element_at(F.map_from_entries("counts"), F.lit(k)).alias(f"_said_{k}") for k in ("yes", "no", "other"))).join(actual, vote, "left")
+    differs = lambda k, none: F.coalesce(f"_{k}", F.lit(0)) != F.coalesce(f"_said_{k}", none)
+    bad = differs("yes", F.coalesce("_yes", F.lit(0))) | differs("no", F.coalesce("_no", F.lit(0))) | differs("other", F.lit(0))
+    of_votes = both.groupBy(session).agg(n.alias("votes"), F.count_if(F.col("_voted").isNull()).alias("missing_voters"), F.count_if(F.col("_said_yes").isNull()).alias("missing_yes"), F.count_if(F.col("_said_no").isNull()).alias("missing_no"), F.count_if(bad).alias("bad_counts"))
+    lost = sponsors.where("not matched").select(bill, "name", F.when(F.col("entity_type") == "organization", "organizations").otherwise("people").alias("_kind")).join(bills.select(bill, session), bill)
+    lost = lost.select(session, "_kind", "name").unionByName(ballots.where("not matched").join(votes.select(vote, session), vote).select(session, F.lit("voters").alias("_kind"), "name")).distinct()
+    of_names = lost.groupBy(session).agg(*(F.count_if(F.col("_kind") == k).alias(f"unmatched_{k}") for k in ("people", "organizations", "voters")))
+    out = of_bills.join(of_votes, session, "left").join(of_names, session, "left")
+    return out.select(session, *(F.coalesce(c, F.lit(0)).alias(c) for c in out.columns if c != session))

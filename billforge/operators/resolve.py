@@ -175,3 +175,21 @@ def listed_members(lists: DataFrame, people: DataFrame, on: list[str], ids: str,
 def abnormal(rows: DataFrame, column: str, fix: Callable[[Column], Column]) -> DataFrame:
     """Rows whose identifier has no blank, with the fixed one."""
     return rows.where(~F.col(column).contains(" ")).withColumn("fixed", fix(F.col(column)))
+
+
+def resolve_named(refs: DataFrame, known: DataFrame, ref: str, by: list[str], name: str, others: str, ident: str) -> DataFrame:
+    """refs (ref, by.., name) with ``resolved``: the one known (ident, by.., name, others) of equal name, ignoring case, or that has the very name among its other names; null where there is none or several.
+
+    The either-or is a union of two keys of each known, so both are equi joins.
+    """
+    keys = known.select(*by, ident, F.explode(F.array_append(F.transform(F.coalesce(others, F.array().cast("array<string>")), lambda x: F.concat(F.lit("o"), x)), F.concat(F.lit("n"), F.upper(name)))).alias("_key"))
+    wanted = refs.select(ref, *by, F.explode(F.array(F.concat(F.lit("o"), name), F.concat(F.lit("n"), F.upper(name)))).alias("_key"))
+    found = wanted.join(keys.distinct(), [*by, "_key"]).groupBy(ref).agg(F.min(ident).alias("_one"), F.count_distinct(ident).alias("_n"))
+    return refs.join(found, ref, "left").withColumn("resolved", F.when(F.col("_n") == 1, F.col("_one"))).drop("_one", "_n")
+
+
+def write_passes(tree: DataFrame, ident: str, parent: str) -> DataFrame:
+    """tree with ``pass``: roots are written in pass 0, every other record in the pass after its parent's."""
+    far = ancestors(tree, ident, parent).groupBy(F.col("id").alias("_id")).agg(F.max("depth").alias("_pass"))
+    both = tree.join(far, F.col(ident).cast("string") == F.col("_id"), "left")
+    return both.select(*tree.columns, F.coalesce("_pass", F.lit(0)).alias("pass"))

@@ -82,10 +82,33 @@ def person_rules(today: Column, majors: list[str]) -> list[Rule]:
         ("party: several major", F.size(F.filter(active("party"), lambda p: p["name"].isin(*majors))) > 1),
         ("name: commas", F.size(F.split("name", ",")) > 2),
         ("name: suffix", (F.size(F.split("name", ",")) == 2) & ~F.col("name").rlike(r"(?i),.*\b(jr|sr|i{2,3}|iv|v|m\.?d|ph\.?d|esq)\b")),
-        ("name: no given or family name", (F.size(F.split(F.trim("name"), r"\s+")) == 2) & ((F.coalesce("given_name", F.lit("")) == "") | (F.coalesce("family_name", F.lit("")) == ""))),
+        name_rule(),
     ]
 
 
+def name_rule() -> Rule:
+    return "name: no given or family name", (F.size(F.split(F.trim("name"), r"\s+")) == 2) & ((F.coalesce("given_name", F.lit("")) == "") | (F.coalesce("family_name", F.lit("")) == ""))
+
+
+def role_rules(today: Column) -> list[Rule]:
+    """Legislators have a district, executives but mayors an end; exactly one role is active."""
+    roles = F.coalesce("roles", F.array())
+    blank = lambda x: F.coalesce(x, F.lit("")) == ""
+    active = F.size(F.filter(roles, lambda r: blank(r["end_date"]) | (r["end_date"] > today)))
+    return [
+        ("roles: none active", active == 0),
+        ("roles: several active", active > 1),
+        ("roles: no district", F.exists(roles, lambda r: r["type"].isin("upper", "lower") & blank(r["district"]))),
+        ("roles: executive without end", F.exists(roles, lambda r: ~r["type"].isin("upper", "lower", "legislature", "mayor") & blank(r["end_date"]))),
+    ]
+
+
+def report(rows: DataFrame, key: str, rules: dict[str, list[Rule]]) -> DataFrame:
+    """(key, severity, message): a row for each rule that a row breaks, of all severities in one pass."""
+    found = [F.when(F.coalesce(broken, F.lit(False)), F.struct(F.lit(severity).alias("severity"), F.lit(message).alias("message"))) for severity, own in rules.items() for message, broken in own]
+    return rows.select(key, F.explode(F.array_compact(F.array(*found))).alias("_e")).select(key, "_e.*")
+
+
 def office_rules() -> list[Rule]:
     blank = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
     return [("office: no value", blank("address") & blank("voice") & blank("fax")), like("voice", scalars.PHONE), like("fax", scalars.PHONE), single_line("voice")]

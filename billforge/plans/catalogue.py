@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from billforge.plans import general, general_sql, reference
+from billforge.plans import general, general_sql, reference, session  # noqa: F401  session registers with reference
 
 
 def queries() -> dict:

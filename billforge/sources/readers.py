@@ -9,8 +9,9 @@ from pathlib import Path
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
+from billforge.functions.scalars import clean_whitespace
 from billforge.operators import validate
 
 try:
@@ -122,3 +123,18 @@ def transformed(rows: DataFrame, config: dict[str, Transformer | list[Transforme
             c = f(c)
         out[name] = c
     return rows.withColumns(out)
+
+
+def stripped(rows: DataFrame) -> DataFrame:
+    """rows without blanks at the ends of any text, in arrays and structs too."""
+
+    def strip(value: Column, kind: DataType) -> Column:
+        if isinstance(kind, StringType):
+            return clean_whitespace(value)
+        if isinstance(kind, ArrayType):
+            return F.transform(value, lambda x: strip(x, kind.elementType))
+        if isinstance(kind, StructType):
+            return F.when(value.isNotNull(), F.struct(*(strip(value[f.name], f.dataType).alias(f.name) for f in kind)))
+        return value
+
+    return rows.select(*(strip(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in rows.schema))

@@ -283,3 +283,15 @@ def test_filed_names(spark):
     got = resolve.match_names(refs, names, ["chamber", "name"], "id")
     assert rows(got) == [("legislature", "annie", 1), ("legislature", "lee", None), ("lower", "annie", None), ("lower", "bo lee", 2), ("upper", "lee", 1)]
     assert "collect_set" not in got._jdf.queryExecution().toString()
+
+
+def test_stripped_and_named(spark):
+    from billforge.sources.readers import stripped
+
+    df = spark.sql("select ' a\t' x, array(' b', null, 'c ') y, named_struct('z', ' d ', 'n', 1) s, 2 k")
+    assert rows(stripped(df).selectExpr("x", "y", "s.z", "s.n", "k")) == [("a", ["b", None, "c"], "d", 1, 2)]
+    people_ = spark.createDataFrame([("Ann Lee", None, ""), ("Ann van Lee", None, None), ("Bo Ek", "Bo", "Ek"), (None, None, None)], "name string, given_name string, family_name string")
+    assert rows(people.fix_names(people_).select("name", "given_name", "family_name", "fixed")) == [("Ann Lee", "Ann", "Lee", True), ("Ann van Lee", "", "", False), ("Bo Ek", "Bo", "Ek", False), (None, "", "", None)]
+    assert one(spark, 'a"b', lambda x: S.make_pseudo_id({"z": F.lit(None).cast("string"), "b": F.lit("2"), "a": x})) == '~{"a": "a\\"b", "b": "2"}'
+    tree = spark.createDataFrame([(1, None), (2, 1), (3, 2), (4, 9), (5, 5)], "id int, parent int")
+    assert rows(resolve.write_passes(tree, "id", "parent").select("id", "pass")) == [(1, 0), (2, 1), (3, 2), (4, 1), (5, 0)]
