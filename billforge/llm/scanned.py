@@ -1,10 +1,12 @@
 """Repair of text read from scanned pages: furniture, hyphens at line ends, misread characters, paragraphs.
 
-Running headers, footers and page numbers are set aside. The remaining lines form one stream of pieces, which a Viterbi
-search segments into words: a piece may be a word, be split in two, or be merged with the next one across a blank, a line
-end or a hyphen at a line end, and every word may be a confusion of look-alike characters of a word of the lexicon. Costs are
-negative logarithms of word frequencies and of fixed probabilities of each kind of fault. Paragraphs are the least-cost path
-of a second dynamic program over the lines.
+Running headers, footers and page numbers are set aside. The remaining lines form one stream of characters, in which blanks and
+line ends only mark where pieces end: the search takes the cheapest path of words over it. A word may cover part of a piece, a
+whole one, or any number of them, across blanks, line ends and hyphens, and each of its letters may be a confusion of look-alike
+characters; splits, merges and confusions combine. Within a piece the readings come from an exact search over all starts and the
+sorted lexicon (Decoder._read), so the number of words and of confusions is bounded by their costs alone. Costs are negative
+logarithms of word frequencies and of fixed probabilities of each kind of fault. A stretch of words that are known as they stand
+needs no search, as every other path over it costs more. Paragraphs are the least-cost path of a second dynamic program over the lines.
 
 The lexicon counts the words inside the lines of all different texts (not those at line ends, which may be fragments). A word
 must make up a millionth of all words and occur twice, so it holds at most a million words whatever the size of the corpus;
@@ -17,6 +19,7 @@ from __future__ import annotations
 import math
 import re
 import string
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,7 +35,7 @@ CONFUSIONS = [("e", "c"), ("t", "f"), ("a", "@"), ("i", "l"), ("s", "5"), ("o",
 DIGITS = {"o": "0", "O": "0", "Q": "0", "D": "0", "l": "1", "I": "1", "i": "1", "|": "1", "!": "1", "Z": "2", "z": "2", "S": "5", "s": "5", "B": "8", "b": "6", "g": "9", "q": "9", "G": "6", "T": "7"}
 HYPHENS = "-‐‑\u00ad¬"
 #: Costs in nats: of one confusion, of a merge or split at a blank, of a hyphen at a line end, of an unknown word and each of its letters, of a number.
-CONFUSED, BLANK, HYPHENED, UNKNOWN, LETTER, NUMBER = 5.0, 9.0, 1.5, 13.0, 0.9, 4.0
+CONFUSED, BLANK, HYPHENED, UNKNOWN, LETTER, NUMBER, OFTEN = 5.0, 9.0, 1.5, 13.0, 0.9, 4.0, 2.0
 FURNITURE = {"page", "pg", "p", "of", "introduced", "engrossed", "copy", "draft", "lc", "journal", "the", "house", "senate", "assembly", "legislature", "session", "version", "amended", "enrolled", "reprint", "hb", "sb", "hr", "sr", "hjr", "sjr", "hcr", "scr", "ab", "lb", "no", "special", "regular"}
 _SKELETON = [("vv", "w"), ("rn", "m"), ("ri", "n"), ("cl", "d"), ("ii", "u"), ("li", "h")]
 _CLASS = str.maketrans({"0": "o", "a": "o", "@": "o", "q": "o", "1": "i", "l": "i", "|": "i", "!": "i", "5": "s", "$": "s", "9": "g", "8": "b", "6": "b", "h": "b", "2": "z", "e": "c", "f": "c", "t": "c", "(": "c", "ſ": "c", "7": "c"})
@@ -105,6 +108,12 @@ def furniture(lines: list[str]) -> list[bool]:
     return [f or bool(s) and many[s] >= 3 and len(x.strip()) < 80 and x.strip()[-1] not in ".,;:" + HYPHENS for f, s, x in zip(own, shapes, lines)]
 
 
+def _price(confusions: int, length: int) -> float:
+    """Of so many confusions in a word of so many letters: those beyond what is usual for its length cost more."""
+    usual = 1 if length < 5 else 2 + max(0, length - 8) // 4
+    return CONFUSED * confusions + OFTEN * max(0, confusions - usual)
+
+
 class Decoder:
     """Viterbi segmentation over a lexicon of word counts."""
 
@@ -113,22 +122,45 @@ class Decoder:
         self.cost = {w: math.log(self.total / n) for w, n in counts.items()}
         self.seen: dict[str, tuple[float, str, tuple[int, ...]]] = {}
         self.tokens: dict[str, tuple[float, str, tuple[int, ...]]] = {}
+        self.words, self.least = sorted(self.cost), min(self.cost.values(), default=0.0)
+        self.longest = max(map(len, self.words), default=0)
         self.by_seen: dict[str, list[str]] = {}
         for right, seen in CONFUSIONS:
             self.by_seen.setdefault(seen, []).append(right)
 
-    def _fixes(self, s: str, most: int = 2) -> Iterator[tuple[str, tuple[int, ...]]]:
-        """s with up to ``most`` confusions undone, and where in s they are."""
-        level = [(s, (), 0, 0)]  # text, places in s, where to go on in the text, and its shift against s
-        for _ in range(most):
-            out = []
-            for text, places, start, shift in level:
-                for i in range(start, len(text)):
-                    for n in (1, 2):
-                        for right in self.by_seen.get(text[i : i + n], ()) if i + n <= len(text) else ():
-                            out.append((text[:i] + right + text[i + n :], (*places, i + shift), i + len(right), shift + n - len(right)))
-            yield from ((t, p) for t, p, _, _ in out)
-            level = out
+    def _walk(self, s: str, start: int, most: float) -> Iterator[tuple[int, str, tuple[int, ...]]]:
+        """(end, word, places of confusions) of the words of the lexicon that s may be read as from start on, confusions costing at most ``most``."""
+        words, stack = self.words, [(start, 0, len(self.words), "", ())]
+        while stack:
+            i, low, high, prefix, places = stack.pop()
+            if prefix and words[low] == prefix:
+                yield i, prefix, places
+            for n in (1, 2):
+                if i + n > len(s):
+                    break
+                seen = s[i : i + n]
+                again = _price(len(places) + 1, 99) <= most
+                for right in ((seen,) if n == 1 else ()) + (tuple(self.by_seen.get(seen, ())) if again else ()):
+                    longer = prefix + right
+                    at = bisect_left(words, longer, low, high)
+                    if at < high and words[at].startswith(longer):
+                        fixed = n == 2 or right != seen
+                        stack.append((i + n, at, bisect_left(words, longer + "\U0010ffff", at, high), longer, (*places, i) if fixed else places))
+
+    def _read(self, low: str, most: float) -> tuple[float, str, tuple[int, ...]] | None:
+        """The cheapest reading of letters as one or several words, any of them with confusions, that costs less than ``most``: an exact search from left to right."""
+        best: list[tuple[float, str, tuple[int, ...]] | None] = [(0.0, "", ())] + [None] * len(low)
+        for at in range(len(low)):
+            so_far = best[at]
+            if so_far is None:
+                continue
+            cost, text, before = so_far
+            cost, text = (cost + BLANK, text + " ") if at else (cost, text)
+            for end, word, places in self._walk(low, at, most - cost - self.least):
+                total = cost + self.cost[word] + _price(len(places), end - at)
+                if total < most and (best[end] is None or total < best[end][0]):
+                    best[end] = (total, text + word, before + places)
+        return best[-1]
 
     def word(self, core: str) -> tuple[float, str, tuple[int, ...]]:
         """(cost, word, places of confusions) of one word without outer punctuation, case kept where nothing changed."""
@@ -157,12 +189,16 @@ class Decoder:
                 number = "".join(DIGITS.get(c, c) for c in core)
                 if _NUMBER.fullmatch(number) and not re.fullmatch(r"[0-9]+(?:st|nd|rd|th)", low) and number != core:
                     best = min(best, (NUMBER + CONFUSED, number, tuple(i for i, (a, b) in enumerate(zip(core, number)) if a != b)), key=lambda x: x[0])
-            if len(low) > 1:
-                for text, places in self._fixes(low, 1 if len(low) < 5 or len(low) > 24 else 2):
-                    cost = self.cost.get(text)
-                    if cost is not None and cost + CONFUSED * len(places) < best[0]:
-                        word = text.upper() if core.isupper() and len(core) > 1 else text.capitalize() if core[0].isupper() else text
-                        best = (cost + CONFUSED * len(places), word, places)
+            unknown = UNKNOWN + LETTER * len(low)
+            if len(low) > 1 and (found := self._read(low, min(best[0], unknown + CONFUSED))):
+                cost, text, places = found
+                if not places:
+                    word, at = "", 0
+                    for piece in text.split(" "):
+                        word, at = f"{word} {core[at : at + len(piece)]}", at + len(piece)
+                    best = (cost, word.strip(), ())
+                elif " " not in text or cost <= unknown:
+                    best = (cost, text.upper() if core.isupper() and len(core) > 1 else text[0].upper() + text[1:] if core[0].isupper() else text, places)
         unknown = UNKNOWN + LETTER * len(low)
         return best if best[0] <= unknown or best[2] and best[0] <= unknown + CONFUSED else (unknown, core, ())
 
@@ -200,12 +236,13 @@ class Decoder:
             text, line, ends = pieces[i]
             cost, word, places = self.token(text)
             hyphened = ends and len(text) > 1 and text[-1] in HYPHENS and i + 1 < n
-            if cost < UNKNOWN and not hyphened:  # a word as it stands; only a merge with the piece before it could do without it
+            torn = cost >= UNKNOWN or i + 1 < n and self.token(pieces[i + 1][0])[0] >= UNKNOWN
+            if not hyphened and not torn:  # a word as it stands between such words: nothing cheaper can cover it
                 if at + cost < best[i + 1][0]:
                     best[i + 1] = (at + cost, i, (word, [line] if places else [], None, [line]))
                 continue
             self._offer(best, i, i + 1, at + cost + (BLANK + 3.0 if hyphened else 0.0), (word, [line] if places else [], None, [line]))
-            if i + 1 < n and (hyphened or cost >= UNKNOWN):
+            if i + 1 < n:
                 after, later, _ = pieces[i + 1]
                 if hyphened:
                     head = text[:-1]
@@ -219,13 +256,7 @@ class Decoder:
                         cut = len(joined) - len(after)
                         self._offer(best, i, i + 2, at + c + extra, (w, sorted({line if x < cut else later for x in p}), gone, [line, later]))
                 else:
-                    c, w, p = self.token(text + after)
-                    self._offer(best, i, i + 2, at + c + BLANK, (w, sorted({line if x < len(text) else later for x in p}), None, [line, later]))
-            if UNKNOWN <= cost and 4 <= len(text) <= 40 and text.isalpha():
-                for k in range(2, len(text) - 1):
-                    a, b = self.cost.get(text[:k].lower()), self.cost.get(text[k:].lower())
-                    if a is not None and b is not None:
-                        self._offer(best, i, i + 1, at + a + b + BLANK, (text[:k] + " " + text[k:], [], None, [line]))
+                    self._merges(best, i, pieces)
         out, i = [], n
         while i > 0:
             _, before, step = best[i]
@@ -233,6 +264,20 @@ class Decoder:
             i = before
         return out[::-1]
 
+    def _merges(self, best: list, i: int, pieces: list[tuple[str, int, bool]]) -> None:
+        """Offers a word of two or more pieces from i on, as far as the longest word of the lexicon goes (confusions may make it longer by half)."""
+        joined, at, starts, lines = pieces[i][0], best[i][0], [0], [pieces[i][1]]
+        for j in range(i + 1, len(pieces)):
+            text, line, _ = pieces[j]
+            starts.append(len(joined))
+            lines.append(line)
+            joined += text
+            if len(joined) > 1.5 * self.longest + 4:
+                return
+            c, w, p = self.token(joined)
+            if c < UNKNOWN + LETTER * len(joined):
+                self._offer(best, i, j + 1, at + c + BLANK * (j - i), (w, sorted({lines[bisect_right(starts, x) - 1] for x in p}), None, [lines[0], line]))
+
     @staticmethod
     def _offer(best: list, i: int, j: int, cost: float, step: tuple) -> None:
         if cost < best[j][0]:

@@ -45,6 +45,52 @@ def test_decoder_splits_and_merges():
     assert d.paragraphs("ofproperty in the coun ty") == ["of property in the county"]
 
 
+def test_joint_segmentation():
+    """Splits, merges and confusions together, any number of each."""
+    d = Decoder({w: 1000 for w in "the state committee commission department water library of in and for record county property review".split()})
+    for text, want in {
+        "thestatecommittee": "the state committee", "thecornmittee": "the committee", "com mit tee": "committee", "cornrnittcc": "committee", "the cornmi ttee": "the committee",
+        "thest ate": "the state", "TheStateLibrary": "The State Library", "d e p a r t m e n t": "department", "Wakwick": "Wakwick", "recordofproperty": "record of property"}.items():
+        assert d.paragraphs(text) == [want], text
+    assert d.defects("the cornmi\nttee of\nthe coun-\nty") == [(1, "misread"), (3, "hyphen")]
+    assert d.defects("x" * 30_000 + " " + "the" * 10_000) == []
+
+
+def test_reading_against_brute_force():
+    """The search over the lexicon finds the cheapest of all ways to cut and to undo confusions."""
+    import itertools
+    import math
+
+    d = Decoder({"barn": 50, "bar": 10, "cat": 40, "cod": 5, "modern": 30, "man": 20, "a": 60, "in": 60})
+    undo = {}
+    for right, seen in scanned.CONFUSIONS:
+        undo.setdefault(seen, []).append(right)
+
+    def readings(s):
+        if not s:
+            yield "", 0
+            return
+        for n in (1, 2):
+            if n <= len(s):
+                for tail, k in readings(s[n:]):
+                    if n == 1:
+                        yield s[0] + tail, k
+                    for right in undo.get(s[:n], ()):
+                        yield right + tail, k + 1
+
+    def cheapest(s):
+        best = [0.0] + [math.inf] * len(s)
+        for i, j in itertools.combinations(range(len(s) + 1), 2):
+            for word, k in readings(s[i:j]):
+                if word in d.cost:
+                    best[j] = min(best[j], best[i] + (scanned.BLANK if i else 0) + d.cost[word] + scanned._price(k, j - i))
+        return best[-1]
+
+    for s in ("bam", "barnman", "rnodem", "c0dcat", "acatin", "mqm", "caf", "inbam"):
+        want, got = cheapest(s), d._read(s, 1000.0)
+        assert (got is None) == math.isinf(want) and (got is None or abs(got[0] - want) < 1e-9), s
+
+
 def test_operator(spark):
     page = "the state library shall review every record of the county today and the next day\n" * 4
     rows = [(1, page + "Page 2 of 2", 0), (1, page + "Page 2 of 2", 0), (2, None, 0), (3, "", 0), (None, page, 0)]
