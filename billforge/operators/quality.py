@@ -111,3 +111,13 @@ def session_report(bills: DataFrame, children: dict[str, DataFrame], sponsors: D
     of_names = lost.groupBy(session).agg(*(F.count_if(F.col("_kind") == k).alias(f"unmatched_{k}") for k in ("people", "organizations", "voters")))
     out = of_bills.join(of_votes, session, "left").join(of_names, session, "left")
     return out.select(session, *(F.coalesce(c, F.lit(0)).alias(c) for c in out.columns if c != session))
+
+
+def roster(persons: DataFrame, ident: str, by: list[str], today: Column) -> DataFrame:
+    """(by.., kind, name, district, n): how many persons hold an active role of each type and district, and are in each active party."""
+    active = lambda c: F.filter(F.coalesce(F.col(c), F.array()), lambda x: (F.coalesce(x["end_date"], F.lit("")) == "") | (x["end_date"] > today))
+    entry = lambda kind, name, district: F.struct(F.lit(kind).alias("kind"), name.alias("name"), district.alias("district"))
+    roles = F.transform(active("roles"), lambda r: entry("role", r["type"], F.coalesce(r["district"], F.lit(""))))
+    parties = F.transform(active("party"), lambda p: entry("party", p["name"], F.lit("")))
+    each = persons.select(ident, *by, F.explode(F.array_distinct(F.concat(roles, parties))).alias("_e")).select(ident, *by, "_e.*")
+    return each.groupBy(*by, "kind", "name", "district").agg(F.count_distinct(ident).alias("n"))

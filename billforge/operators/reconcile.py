@@ -12,9 +12,11 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 def dedupe(rows: DataFrame, content: list[str], order: list[str]) -> DataFrame:
     """rows with duplicate_of: the order columns' first row of equal content (itself null); content is compared as canonical JSON."""
     canonical = F.sha2(F.to_json(F.struct(*sorted(content)), {"ignoreNullFields": "false"}), 256)
-    first = F.first(F.struct(*order)).over(W.partitionBy("_h").orderBy(*order))
-    tagged = rows.withColumn("_h", canonical).withColumn("_first", first)
-    return tagged.withColumn("duplicate_of", F.when(F.col("_first") != F.struct(*order), F.col("_first"))).drop("_h", "_first")
+    tagged = rows.withColumn("_h", canonical)
+    # Least rows are found before the shuffle, so a content that a third of the rows share fills no task; the join back is split by AQE.
+    first = tagged.groupBy("_h").agg(F.min(F.struct(*order)).alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    both = tagged.join(first, "_h", "left")
+    return both.withColumn("duplicate_of", F.when(F.col("_first") != F.struct(*order), F.col("_first"))).drop("_h", "_first")
 
 
 def changes(staged: DataFrame, current: DataFrame, key: list[str], fields: list[str]) -> DataFrame:
@@ -26,6 +28,29 @@ def changes(staged: DataFrame, current: DataFrame, key: list[str], fields: list[
     return both.select(*key, action.alias("action"), "old", "new")
 
 
+def nested_changes(staged: DataFrame, current: DataFrame, key: list[str], fields: list[str], children: dict[str, bool]) -> DataFrame:
+    """(key.., action, changed): records with child arrays reconciled as a whole; ``changed`` names the fields and children that differ.
+
+    ``children`` maps an array column to whether its order counts. A record is updated if a field or any child differs, and just
+    the children named need to be replaced; a null and an empty array are alike.
+    """
+    columns = [*fields, *children]
+    a = staged.select(*key, F.struct(*columns).alias("n"))
+    b = current.select(*key, F.struct(*columns).alias("o"))
+    both = a.join(b, key, "full_outer")
+    differs = [F.when(~F.col(f"n.{f}").eqNullSafe(F.col(f"o.{f}")), F.lit(f)) for f in fields]
+    differs += [F.when(~same_children(F.col(f"n.{k}"), F.col(f"o.{k}"), ordered), F.lit(k)) for k, ordered in children.items()]
+    found = both.withColumn("changed", F.when(F.col("n").isNotNull() & F.col("o").isNotNull(), F.array_compact(F.array(*differs))))
+    action = F.when(F.col("o").isNull(), "insert").when(F.col("n").isNull(), "missing").when(F.size("changed") == 0, "noop").otherwise("update")
+    return found.select(*key, action.alias("action"), F.coalesce("changed", F.array().cast("array<string>")).alias("changed"))
+
+
+def must_recreate(new: Column, old: Column) -> Column:
+    """Whether stored sub-objects are wiped and written again: another number of them, or a stored one that matches none of the new."""
+    a, b = (F.coalesce(x, F.array()) for x in (new, old))
+    return (F.size(a) != F.size(b)) | (F.size(F.array_except(b, a)) > 0)
+
+
 def counters(changed: DataFrame) -> DataFrame:
     return changed.groupBy("action").agg(F.count(F.lit(1)).alias("n"))
 

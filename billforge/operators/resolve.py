@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from billforge.session import checkpoint
+from billforge.session import broadcast_if_small, checkpoint
 
 
 def resolve_unique(refs: DataFrame, candidates: DataFrame, on: list[str], ident: str) -> DataFrame:
@@ -60,7 +60,7 @@ def session_at(refs: DataFrame, sessions: DataFrame) -> DataFrame:
     Sessions have jurisdiction, session, start_date, end_date, all text; an empty end is open.
     """
     last = sessions.groupBy("jurisdiction").agg(F.max(F.struct("start_date", "session")).alias("_l")).select("jurisdiction", F.col("_l.session").alias("_last"))
-    inside = refs.join(sessions, "jurisdiction").where("start_date <= date and (end_date >= date or end_date = '')")
+    inside = refs.join(broadcast_if_small(sessions), "jurisdiction").where("start_date <= date and (end_date >= date or end_date = '')")
     held = inside.groupBy("ref").agg(F.count(F.lit(1)).alias("_n"), F.min("session").alias("_one"))
     both = refs.join(held, "ref", "left").join(last, "jurisdiction", "left")
     return both.withColumn("session", F.when(F.col("_n") == 1, F.col("_one")).otherwise(F.col("_last"))).drop("_n", "_one", "_last")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from billforge.functions import scalars as S
-from billforge.operators import derive, hierarchy, people, quality, resolve, validate
+from billforge.operators import derive, hierarchy, people, quality, reconcile, resolve, validate
 from billforge.plans.reference import PERSONS, TODAY, latest_persons, query
 from billforge.sources import readers
 
@@ -176,3 +176,49 @@ def import_transformers(t):
 def browse_ordered(t) -> DataFrame:
     """The first hundred lines that a browser of the list shows."""
     return t("orders").where("o_orderstatus = 'P'").orderBy(F.desc("o_orderdate"), "o_orderkey").limit(100).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+
+
+# Nested records
+
+
+_TWO = """with a as (select distinct on (id) * from vote_event order by id, created_at desc, dedupe_key desc, len(counts)), b as (select distinct on (id) * from vote_event where id not like '%3' order by id, created_at, dedupe_key, len(counts))"""
+
+
+def _deliveries(t) -> tuple[DataFrame, DataFrame]:
+    """Votes as last delivered, without those whose id ends in 5, and as first delivered, without those that end in 3."""
+    k = [c("dedupe_key"), F.size("counts")]
+    last = derive.latest(t("vote_event"), ["id"], [F.desc("created_at"), F.desc("dedupe_key"), k[1]])
+    first = derive.latest(t("vote_event"), ["id"], [c("created_at"), *k])
+    return last.where("id not like '%5'"), first.where("id not like '%3'")
+
+
+@query(_TWO + """ select coalesce(a.id, b.id) as id, case when b.id is null then 'insert' when a.id is null then 'missing' when a.result is not distinct from b.result and a.motion_text is not distinct from b.motion_text and a.start_date is not distinct from b.start_date and coalesce(list_sort(a.counts), []) = coalesce(list_sort(b.counts), []) and coalesce(a.motion_classification, []) = coalesce(b.motion_classification, []) then 'noop' else 'update' end as action,
+ case when a.id is null or b.id is null then [] else list_filter([case when a.result is distinct from b.result then 'result' end, case when a.motion_text is distinct from b.motion_text then 'motion_text' end, case when a.start_date is distinct from b.start_date then 'start_date' end, case when coalesce(list_sort(a.counts), []) <> coalesce(list_sort(b.counts), []) then 'counts' end, case when coalesce(a.motion_classification, []) <> coalesce(b.motion_classification, []) then 'motion_classification' end], lambda x: x is not null) end as changed
+ from (select * from a where id not like '%5') a full join b on a.id = b.id""")
+def import_votes(t):
+    staged, current = _deliveries(t)
+    return reconcile.nested_changes(staged, current, ["id"], ["result", "motion_text", "start_date"], {"counts": False, "motion_classification": True})
+
+
+@query(_TWO + " select a.id, len(coalesce(a.counts, [])) <> len(coalesce(b.counts, [])) or len(list_filter(coalesce(b.counts, []), lambda x: not list_contains(coalesce(a.counts, []), x))) > 0 as recreate from (select * from a where id not like '%5') a join b on a.id = b.id")
+def child_sync(t):
+    staged, current = _deliveries(t)
+    both = staged.select("id", c("counts").alias("n")).join(current.select("id", c("counts").alias("o")), "id")
+    return both.select("id", reconcile.must_recreate(c("n"), c("o")).alias("recreate"))
+
+
+@query(f"""with a as (select id, jurisdiction_id, list_filter(coalesce(roles, []), lambda r: coalesce(r.end_date, '') = '' or r.end_date > '{TODAY}') as r, list_filter(coalesce(party, []), lambda r: coalesce(r.end_date, '') = '' or r.end_date > '{TODAY}') as p from {PERSONS}),
+ e as (select distinct id, jurisdiction_id, 'role' as kind, x.type as name, coalesce(x.district, '') as district from (select id, jurisdiction_id, unnest(r) as x from a) union select distinct id, jurisdiction_id, 'party', x.name, '' from (select id, jurisdiction_id, unnest(p) as x from a))
+ select jurisdiction_id, kind, name, district, count(distinct id) as n from e group by all""")
+def person_roster(t):
+    return quality.roster(latest_persons(t), "id", ["jurisdiction_id"], F.lit(TODAY))
+
+
+@query(f"""with p as (select id, coalesce(party, []) as party, case when id like '%0' then 'Union' when id like '%1' then null else list_last(party).name end as new from {PERSONS})
+ select id, list_transform(case when len(party) = 0 then [{{'name': new, 'end': ''}}] when new is null or list_last(party).name is not distinct from new then list_transform(party, lambda x: {{'name': x.name, 'end': x.end_date}})
+  else list_append(list_append(list_transform(party[1:len(party) - 1], lambda x: {{'name': x.name, 'end': x.end_date}}), {{'name': list_last(party).name, 'end': '{TODAY}'}}), {{'name': new, 'end': ''}}) end, lambda x: coalesce(x.name, '') || '|' || coalesce(x.end, '')) as parties from p""")
+def party_merge(t):
+    p = latest_persons(t).select("id", F.coalesce("party", F.array()).alias("party"))
+    new = F.when(c("id").like("%0"), "Union").when(~c("id").like("%1"), F.get(F.transform("party", lambda x: x["name"]), F.size("party") - 1))
+    merged = people.merge_parties(c("party"), new, F.lit(TODAY))
+    return p.select("id", F.transform(merged, lambda x: F.concat(F.coalesce(x["name"], F.lit("")), F.lit("|"), F.coalesce(x["end_date"], F.lit("")))).alias("parties"))
