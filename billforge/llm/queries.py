@@ -96,7 +96,23 @@ def p10_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"p9_mix": p9_mix, "p9_report": p9_report, "p5_found": p5_found, "p5_paragraphs": p5_paragraphs, "p10_found": p10_found, "p10_scores": p10_scores, "p10_report": p10_report, "p6_found": p6_found, "p6_groups": p6_groups, "p7_found": p7_found, "p7_groups": p7_groups, "p8_found": p8_found, "p8_report": p8_report}
 _LETTERS = "regexp_replace(lower(strip_accents(regexp_replace({0}, '<[a-zA-Z/!?][^<>]*>', {1}, 'g'))), '[^a-z0-9]+', {1}, 'g')"
 
+_SHINGLES = """
+with recursive r as (select sb_id, arg_max(coalesce(all_titles, '') || ' ' || raw_text, created_at) as t from searchable_bill where raw_text <> '' group by 1),
+w as (select sb_id, list_filter(string_split_regex(lower(t), '[^a-z0-9]+'), lambda x: x <> '') as w from r)"""
+
 SQL: dict[str, str] = {
+    "p7_groups": _SHINGLES
+    + """,
+k as (select min(sb_id) as c, w from w group by w),
+s as (select distinct c, unnest(list_transform(generate_series(1, len(w) - 2), lambda i: hash(w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) as x from k),
+n as (select c, count(*) as n from s group by 1),
+l as (select a.c as i, b.c as j, count(*) as common from s a join s b on a.x = b.x and a.c < b.c group by all),
+h as (select i, j from l join n a on a.c = i join n b on b.c = j where 10 * common >= 7 * (a.n + b.n - common)),
+e as (select i, j from h union all select j, i from h),
+z as (select i, j from e union select z.i, e.j from z join e on e.i = z.j),
+g as (select i, least(i, min(j)) as g from z group by 1),
+d as (select i, count(*) as n from e group by 1)
+select sb_id, k.c as class_id, coalesce(g.g, k.c) as group_id, coalesce(d.n, 0) as n_links from w join k using (w) left join g on g.i = k.c left join d on d.i = k.c""",
     "p7_found": """
 with r as (select sb_id, arg_max(coalesce(all_titles, '') || ' ' || raw_text, created_at) as t from searchable_bill where raw_text <> '' group by 1),
 w as (select sb_id, list_filter(string_split_regex(lower(t), '[^a-z0-9]+'), lambda x: x <> '') as w from r),
