@@ -353,7 +353,7 @@ def train(rows: list[tuple[str, bool]], also: Sequence[tuple[str, bool]] = ()) -
     # A passage that also stands in a text of the other kind is not what made the label; which is, first novelty and then
     # held-out scores tell.
     clean = {s for p, y in bags if not y for s in p}
-    number = {s: k for k, s in enumerate(dict.fromkeys(s for p, _ in bags for s in p))}
+    number = {s: k for k, s in enumerate(sorted({s for p, _ in bags for s in p}))}  # sorted, so the order of the rows does not matter
     x = _Passages(list(number))
     harmless = np.array([s in clean for s in number])
     seen = np.bincount(x.column, harmless[x.row], len(x.used)) > 0
@@ -371,19 +371,24 @@ def train(rows: list[tuple[str, bool]], also: Sequence[tuple[str, bool]] = ()) -
     y = chosen()
     if not y.any() or y.all():
         return Model(np.empty(0, np.int64), np.empty(0, np.float32), 0.0, np.inf)
-    held = x.held_out(y, x.alike() % FOLDS)
+    group = x.alike()
+    held = x.held_out(y, group % FOLDS)
     own_clean = {s for t, kind in rows if not kind for s in passages(t, words)}
     sample = np.array([s in own_clean for s in number])
     w, b = x.fit(y, np.ones(x.n, bool))
-    return Model(x.used, w.astype(np.float32), b, _threshold(held[sample & ~y]), words)
+    return Model(x.used, w.astype(np.float32), b, _threshold(held[sample & ~y], group[sample & ~y]), words)
 
 
-def _threshold(held: np.ndarray) -> float:
-    """From the scores of the passages of the sample's harmless texts, each held out with all that are alike: LEAST_ODDS, or more where HARMLESS_ABOVE of them come above (the sample is rich in sentences made to mislead).
+def _threshold(held: np.ndarray, group: np.ndarray) -> float:
+    """From the scores of the passages of the sample's harmless texts, each held out with all of its group: LEAST_ODDS, or more where the mean scores of more than HARMLESS_ABOVE of the groups come above.
 
-    A corpus has many more harmless sentences than of the kind, and most are of forms the labelled texts do not have.
+    A group counts once, however many passages the sample has of it. A corpus has many more harmless sentences than of the
+    kind, and most are of forms the labelled texts do not have; the sample is rich in sentences made to mislead.
     """
-    return max(LEAST_ODDS, float(np.quantile(held, 1 - HARMLESS_ABOVE))) if len(held) else LEAST_ODDS
+    if not len(held):
+        return LEAST_ODDS
+    _, at = np.unique(group, return_inverse=True)
+    return max(LEAST_ODDS, float(np.quantile(np.bincount(at, held) / np.bincount(at), 1 - HARMLESS_ABOVE)))
 
 
 def _score(model: Model, keep: list[str], at_once: int = 1000):
