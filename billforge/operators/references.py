@@ -35,13 +35,19 @@ def parent_arrays(parents: DataFrame, ranges: int) -> DataFrame:
     return packed.select("range", F.col("p.d").alias("keys"), F.col("p.s").alias("since"))
 
 
+def _digests(column: pa.Array) -> np.ndarray:
+    """A column of digests as one array over Arrow's own memory."""
+    fixed = column.cast(pa.binary(16))
+    return np.frombuffer(fixed.buffers()[1], "S16")[fixed.offset : fixed.offset + len(fixed)]
+
+
 def _probe(_: tuple, refs: pa.Table, parents: pa.Table) -> pa.Table:
     n = refs.num_rows
     what = np.full(n, "missing", dtype=object)
     if n and parents.num_rows:
-        keys = np.array(parents["keys"].combine_chunks().flatten().to_pylist(), dtype="S16")
+        keys = _digests(parents["keys"].combine_chunks().flatten())
         since = parents["since"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        probe = np.array(refs["digest"].combine_chunks().to_pylist(), dtype="S16")
+        probe = _digests(refs["digest"].combine_chunks())
         at = np.minimum(np.searchsorted(keys, probe), len(keys) - 1)
         hit, exists = keys[at] == probe, since[at]
         made = refs["at"].combine_chunks()
