@@ -827,10 +827,10 @@ def child_rows(t):
 # More validation
 
 
-@query("""with m as (select s_nationkey as k, count(*) as n from supplier where s_acctbal > 8000 group by 1), x as (select n_name as name, case when n_nationkey % 3 = 0 then 'subcommittee' else 'committee' end as classification, case when n_nationkey % 2 = 0 then r_name end as parent, coalesce(n, 0) as n from nation join region on r_regionkey = n_regionkey left join m on k = n_nationkey)
+@query("""with m as (select s_nationkey as k, count(*) filter (s_acctbal > 8000) as n from supplier group by 1), x as (select n_name as name, case when n_nationkey % 3 = 0 then 'subcommittee' else 'committee' end as classification, case when n_nationkey % 2 = 0 then r_name end as parent, coalesce(n, 0) as n from nation join region on r_regionkey = n_regionkey left join m on k = n_nationkey)
  select name, list_filter([case when classification = 'subcommittee' and parent is null then 'parent: missing' end, case when classification = 'committee' and parent is not null then 'parent: of a committee' end, case when n < 1 then 'members: none' end], lambda e: e is not null) as errors from x""")
 def lint_committee(t):
-    members = t("supplier").where("s_acctbal > 8000").groupBy(c("s_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("n_members"))
+    members = t("supplier").groupBy(c("s_nationkey").alias("n_nationkey")).agg(F.count_if(c("s_acctbal") > 8000).alias("n_members"))
     k = c("n_nationkey")
     rows = t("nation").join(t("region"), c("n_regionkey") == c("r_regionkey")).join(members, "n_nationkey", "left")
     rows = rows.select(c("n_name").alias("name"), F.when(k % 3 == 0, "subcommittee").otherwise("committee").alias("classification"), F.when(k % 2 == 0, c("r_name")).alias("parent"), "n_members")
