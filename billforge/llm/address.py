@@ -9,22 +9,30 @@ the grams of each record's prefix, rarest first, which by the prefix filter hold
 are verified by the cosine and then by the parts: house number, direction and kind of street agree, street and city agree up to
 a typing error, region and code where both have them, and the unit (or that there is none).
 
-Scale: equal parts are one class, so copies of an address meet the index once; the index is on (number, unit, gram), rarest
-first, so its lists stay short, and a hot list is split by AQE's skew join. Weights are counts over all records.
+Scale: the addresses are shuffled once, by place (number, kind of street, number of the unit: what compatible addresses share),
+and sorted, so that equal ones are one class and meet the index once. The index of a place is built where its rows are, in
+arrays; a place's rows are one task's work and must fit its memory, pairs are made a block at a time. Weights are counts over all
+records: a line per trigram that occurs goes to the driver and back to the workers.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+import pyarrow.compute as pc
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, functions as F
 
-from billforge.session import checkpoint, spread
+from billforge.session import spread
 
 COSINE = 0.4
+#: Rows, and pairs, that are worked on at once.
+ROWS, PAIRS = 20_000, 1_000_000
 #: Abbreviations of kinds of street, directions and parts of place names.
 KINDS = {"street": "st", "avenue": "ave", "road": "rd", "drive": "dr", "lane": "ln", "court": "ct", "boulevard": "blvd", "highway": "hwy", "place": "pl", "parkway": "pkwy", "square": "sq", "circle": "cir", "terrace": "ter", "trail": "trl", "way": "way", "plaza": "plz"}
 KIND = {**KINDS, **{v: v for v in KINDS.values()}, "av": "ave", "str": "st"}
@@ -44,6 +52,7 @@ _CODE = re.compile(r"\b([0-9]{5})(?:-[0-9]{4})?\b(?!\s+[a-z]+\s+(?:" + _K + r")\
 _HOUSE = re.compile(r"\b(?:building|bldg|annex|capitol|house|hall|tower|center|centre|complex|office|plaza|statehouse)\b")
 
 
+_BLANKS, _ENDS, _PIECES, _GIVEN = re.compile(r"[^\S\n\r]+"), re.compile(r"\s*[\n\r;,|]+\s*|\s+-\s+"), re.compile("[|\x01\x02\x03]"), re.compile("[a-z']+")
 _BOX = re.compile(r"\bp\.?\s?o\.?\s?box\s+#?\s*([0-9]+)")
 _NUMBERED = re.compile(r"(?=\S*[0-9])(?![0-9]{5}(?:-[0-9]{4})?\b)([0-9a-z-]+)\s+([^\W\d].*)")
 
@@ -67,6 +76,12 @@ def distance(a: str, b: str, most: int = 2) -> int:
     return min(one[-1], most + 1)
 
 
+@functools.lru_cache(1 << 16)
+def _near(word: str, names: tuple[str, ...]) -> list[str]:
+    """The names that are one edit away."""
+    return [n for n in names if distance(word, n, 1) == 1]
+
+
 def _plain(text: str) -> str:
     """Words without accents and signs."""
     return " ".join(re.findall(r"\w+", "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))))
@@ -88,7 +103,7 @@ def _other(s: str) -> tuple[str, str, str, str] | None:
 def parts(text: str | None, regions: dict[str, str]) -> dict | None:
     """The parts of an address, or None if it has neither a number, nor a unit with a name, nor the name of a building. ``regions`` maps codes and names to one form, all in lower case."""
     s = unicodedata.normalize("NFKC", text or "").casefold()
-    s = re.sub(r"\s*[\n\r;,|]+\s*|\s+-\s+", "|", re.sub(r"[^\S\n\r]+", " ", s)).strip(" |")
+    s = _ENDS.sub("|", _BLANKS.sub(" ", s)).strip(" |")
     s = _COUNTRY.sub("", _CARE.sub("|", s))
     unit = ""
 
@@ -103,7 +118,7 @@ def parts(text: str | None, regions: dict[str, str]) -> dict | None:
     m = None if box else _STREET.search(s)
     if not m and not box:  # a kind of street with a typing error
         for w in set(re.findall("[a-z]{3,}", s)):
-            near = [k for k in KINDS if distance(w, k, 1) == 1]
+            near = _near(w, tuple(KINDS))
             if near and (m := _STREET.search(t := re.sub(rf"\b{w}\b", near[0], s))):
                 s = t
                 break
@@ -120,14 +135,14 @@ def parts(text: str | None, regions: dict[str, str]) -> dict | None:
     codes = _CODE.findall(rest)
     rest = _CODE.sub("\x03", rest)
     region, city = "", ""
-    for piece in re.split(r"[|\x01\x02\x03]", rest):
-        words = re.findall(r"[a-z']+", piece.replace(".", ""))
+    for piece in _PIECES.split(rest):
+        words = _GIVEN.findall(piece.replace(".", ""))
         if not words:
             continue
         own = ""
         if words[-1] in regions and not (len(words) > 1 and words[-2] in PLACE.values()):
             own = region = regions[words.pop()]
-        elif len(words) > 1 and words[-2] not in PLACE and words[-2] not in PLACE.values() and any(len(r) > 3 and distance(words[-1], r, 1) == 1 for r in regions):
+        elif len(words) > 1 and words[-2] not in PLACE and words[-2] not in PLACE.values() and any(len(r) > 3 for r in _near(words[-1], tuple(regions))):
             words.pop()  # a region's name with a typing error: not known which
         if words and not (_HOUSE.search(" ".join(words)) and not own):
             city = " ".join(words)
@@ -137,19 +152,21 @@ def parts(text: str | None, regions: dict[str, str]) -> dict | None:
     return out | {"city": " ".join(words), "region": region, "code": codes[-1] if codes else ""}
 
 
-FIELDS = ("number", "direction", "name", "kind", "unit", "city", "region", "code")
+#: A row of the sorted table: what equal addresses share, and so the places (number, kind, number of the unit), and the rest of the parts.
+REST = ("direction", "name", "unit", "city", "region", "code")
 
 
 def _parse(regions: dict[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(i, *(p[f] for f in FIELDS)) for i, a in zip(b["id"].to_pylist(), b["address"].to_pylist()) if (p := parts(a, regions))]
-            columns = list(zip(*rows)) or [()] * 9
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), *(pa.array(c, pa.string()) for c in columns[1:])], ["id", *FIELDS])
+            known = [(i, p) for i, a in zip(b["id"].to_pylist(), b["address"].to_pylist()) if (p := parts(a, regions))]  # no part holds a "|"
+            places = ["|".join((p["number"], p["kind"], p["unit"].partition(":")[2])) for _, p in known]
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in known], pa.int64()), pa.array(places, pa.string()), pa.array(["|".join([p[f] for f in REST]) for _, p in known], pa.string())], ["id", "place", "rest"])
 
     return run
 
 
+@functools.lru_cache(1 << 16)
 def _typo(a: str, b: str) -> bool:
     """The same word up to typing errors: numbers are not, and short words only if equal."""
     if a == b:
@@ -179,63 +196,172 @@ def compatible(a: dict, b: dict) -> bool:
     return False
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def located(offices: DataFrame, regions: dict[str, str]) -> DataFrame:
+    """(id, place, rest): the addresses taken apart, those of a place together and in order, kept as they are read more than once. Rows with a null id or without an address (null, blank, without a number, unit or building) are left out."""
+    rows = spread(offices.where("id is not null and trim(address) <> ''").select("id", "address"))
+    parsed = rows.mapInArrow(_parse(regions), "id bigint, place string, rest string")
+    return parsed.repartition("place").sortWithinPartitions("place", "rest", "id").persist()
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sorted rows in batches that end where a place ends."""
+    held, n, enough = [], 0, ROWS
     for b in batches:
-        keep = [compatible(x, y) for x, y in zip(b["p"].to_pylist(), b["q"].to_pylist())]
-        yield b.filter(pa.array(keep, pa.bool_())).select(["rep_1", "rep_2"])
+        held.append(b)
+        n += b.num_rows
+        if n >= enough:
+            t = pa.Table.from_batches(held)
+            if cut := pc.index(t["place"], t["place"][-1]).as_py():
+                yield t.slice(0, cut).combine_chunks().to_batches()[0]
+            held, n = t.slice(cut).to_batches(), n - cut
+            enough = max(ROWS, 2 * n)
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def _starts(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(where a row begins a place, where it begins a class: rows with equal parts)."""
+    place, part = (np.concatenate([[True], pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)]) for c in (b["place"], b["rest"]))
+    return place, place | part
+
+
+def _fields(b: pa.RecordBatch, rows: np.ndarray) -> list[dict]:
+    out = []
+    for place, rest in zip(b["place"].take(pa.array(rows)).to_pylist(), b["rest"].take(pa.array(rows)).to_pylist()):
+        number, kind, _ = place.split("|")
+        out.append({"number": number, "kind": kind} | dict(zip(REST, rest.split("|"))))
+    return out
+
+
+def _grams(known: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows, grams, codes): the different trigrams of each address, every part within its own signs, by row; a gram is the index of its code."""
+    texts = ["\n".join([f"^^{p['direction']} {p['name']} {p['kind']}$", *(sign + p[c] + sign for sign, c in (("<", "city"), ("=", "region"), ("@", "code")) if p[c])]) + "\n" for p in known]
+    signs = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
+    row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    inside = np.flatnonzero((signs[:-2] != 10) & (signs[1:-1] != 10) & (signs[2:] != 10)) if len(signs) else np.empty(0, np.int64)
+    codes, gram = np.unique(signs[inside] << 42 | signs[inside + 1] << 21 | signs[inside + 2], return_inverse=True)
+    both = np.unique(row[inside] * max(len(codes), 1) + gram)
+    return *np.divmod(both, max(len(codes), 1)), codes
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, n): in how many classes a trigram is; -1 counts the classes."""
+    for b in _whole(batches):
+        first = np.flatnonzero(_starts(b)[1])
+        _, gram, codes = _grams(_fields(b, first))
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(codes, -1)), pa.array(np.append(np.bincount(gram, minlength=len(codes)), len(first)))], ["gram", "n"])
+
+
+def rarity(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """(grams in order, classes that hold each, number of classes): a line per trigram that occurs."""
+    t = rows.mapInArrow(_count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
+    grams, n = (t[c].to_numpy().astype(np.int64) for c in ("gram", "n"))
+    order = np.argsort(grams)
+    grams, n = grams[order], n[order]
+    return (grams[1:], n[1:], int(n[0])) if len(grams) else (grams, n, 0)
+
+
+def _spans(sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(entry, k) for k in range(sizes[entry]) and every entry, about PAIRS at a time."""
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < len(sizes):
+        done = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + PAIRS, "right")))
+        entry = np.repeat(np.arange(at, to), sizes[at:to])
+        yield entry, np.arange(len(entry)) + done - (ends - sizes)[entry]
+        at = to
+
+
+def _alike(known: list[dict], place: np.ndarray, weights: tuple[np.ndarray, np.ndarray, int], cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j), i < j: addresses of one place that have the cosine and whose parts are compatible. ``place`` numbers the place of each."""
+    grams, counts, total = weights
+    row, gram, codes = _grams(known)
+    squares = np.log1p(total / counts[np.searchsorted(grams, codes)])[gram]
+    squares = squares / np.bincount(row, squares)[row]
+    _, group, sizes = np.unique(place[row] * len(codes) + gram, return_inverse=True, return_counts=True)
+    order = np.lexsort((gram, sizes[group], row))  # rarest first, in one order for all addresses of a place
+    before = np.cumsum(squares[order]) - squares[order]
+    before -= before[np.searchsorted(row, row)]
+    prefix = order[1 - before >= cosine * cosine - 1e-9]
+    prefix = prefix[np.lexsort((row[prefix], group[prefix]))]
+    listed, member = group[prefix], row[prefix]
+    follow = np.searchsorted(listed, listed, "right") - np.arange(len(listed)) - 1
+    region, code = (np.unique([""] + [p[c] for p in known], return_inverse=True)[1][1:] for c in ("region", "code"))  # 0 is none
+    n, met = len(known), [np.empty(0, np.int64)]
+    for entry, k in _spans(follow):
+        i, j = member[entry], member[entry + 1 + k]
+        fit = np.flatnonzero(((region[i] == region[j]) | (region[i] == 0) | (region[j] == 0)) & ((code[i] == code[j]) | (code[i] == 0) | (code[j] == 0)))
+        met.append(np.unique(i[fit] * n + j[fit]))
+    i, j = np.divmod(np.unique(np.concatenate(met)), n)
+    fit = [k for k, (x, y) in enumerate(zip(i.tolist(), j.tolist())) if compatible(known[x], known[y])]
+    i, j = i[fit], j[fit]
+    bags, weight, start = row * len(codes) + gram, np.sqrt(squares), np.searchsorted(row, np.arange(n + 1))
+    dot = np.zeros(len(i))
+    for entry, k in _spans((start[1:] - start[:-1])[i]):
+        own = start[i[entry]] + k
+        other = np.minimum(np.searchsorted(bags, want := j[entry] * len(codes) + gram[own]), len(bags) - 1)
+        dot += np.bincount(entry, np.where(bags[other] == want, weight[own] * weight[other], 0), len(i))
+    near = dot >= cosine - 1e-9
+    return i[near], j[near]
+
+
+def _matched(weights: Broadcast, cosine: float, of_classes: bool):
+    """(id_1, id_2), smaller first, of the records of one location, or of the least ids of their classes."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _whole(batches):
+            new_place, new = _starts(b)
+            first = np.flatnonzero(new)
+            place = np.cumsum(new_place)[first]
+            several = np.flatnonzero(np.bincount(place)[place] > 1)  # an address alone at its place has no partner
+            i, j = _alike(_fields(b, first[several]), place[several], weights.value, cosine) if len(several) else (several, several)
+            i, j = several[i], several[j]
+            ids = b["id"].to_numpy()
+            if of_classes:
+                yield _ordered(ids[first[i]], ids[first[j]])
+                continue
+            once = np.flatnonzero(new | np.append(True, ids[1:] != ids[:-1]))  # repeated rows count once
+            ids, start = ids[once], np.append(np.searchsorted(once, first), len(once))
+            ends = np.repeat(start[1:], np.diff(start))
+            for entry, k in _spans(ends - np.arange(len(ids)) - 1):
+                yield _ordered(ids[entry], ids[entry + 1 + k])
+            for pair, k in _spans(np.diff(start)[i]):
+                x, to = start[i[pair]] + k, j[pair]
+                for entry, m in _spans(np.diff(start)[to]):
+                    yield _ordered(ids[x[entry]], ids[start[to[entry]] + m])
 
-def classes(offices: DataFrame, regions: dict[str, str]) -> DataFrame:
-    """(id, rep, parts...): addresses with equal parts are one class, named by its least id. Rows with a null id or without an address (null, blank, without a number, unit or building) are left out."""
-    rows = spread(offices.where("id is not null and trim(address) <> ''").select("id", "address"))
-    parsed = rows.mapInArrow(_parse(regions), "id bigint, " + ", ".join(f"{f} string" for f in FIELDS)).distinct()
-    reps = parsed.groupBy(*FIELDS).agg(F.min("id").alias("rep"))
-    return parsed.join(reps, list(FIELDS)).select("id", F.col("rep"), *FIELDS)
-
-
-def _grams(reps: DataFrame) -> DataFrame:
-    """(rep, tag, gram): the trigrams of each address, every part within its own signs."""
-    marked = lambda sign, c: F.when(F.col(c) != "", F.concat(F.lit(sign), c, F.lit(sign)))
-    texts = F.array_compact(F.array(F.concat(F.lit("^^"), "direction", F.lit(" "), "name", F.lit(" "), "kind", F.lit("$")), marked("<", "city"), marked("=", "region"), marked("@", "code")))
-    cut = lambda text: F.transform(F.sequence(F.lit(1), F.length(text) - 2), lambda i: F.substring(text, i, F.lit(3)))
-    return reps.select("rep", F.concat_ws("|", "number", "unit_no").alias("tag"), F.explode(F.array_distinct(F.flatten(F.transform(texts, cut)))).alias("gram"))
-
-
-def matching_classes(reps: DataFrame, cosine: float = COSINE) -> DataFrame:
-    """(rep_1, rep_2), rep_1 < rep_2: classes whose addresses have the cosine and whose parts are compatible."""
-    total = reps.agg(F.count(F.lit(1))).scalar()
-    rarity = _grams(reps).groupBy("gram").agg(F.count(F.lit(1)).alias("df"))  # over all, a line per trigram
-    several = reps.groupBy("number", "unit_no").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    reps = reps.join(several, ["number", "unit_no"], "left_semi")  # an address alone with its number and unit has no partner
-    grams = _grams(reps)
-    tagged = grams.groupBy("tag", "gram").agg(F.count(F.lit(1)).alias("listed"))
-    weights = tagged.join(rarity, "gram").select("tag", "gram", "listed", F.sqrt(F.log(1 + total / F.col("df"))).alias("w"))
-    by = W.partitionBy("rep")
-    ranked = grams.join(weights, ["tag", "gram"]).withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(by)))
-    before = by.orderBy("listed", "gram").rowsBetween(W.unboundedPreceding, -1)  # one order for all records of a tag
-    ranked = ranked.withColumn("w", F.col("w") / F.col("norm")).drop("norm").withColumn("left", 1 - F.coalesce(F.sum(F.col("w") * F.col("w")).over(before), F.lit(0.0)))
-    prefix = ranked.where(F.col("left") >= cosine * cosine - 1e-9).select("rep", "tag", "gram")
-    met = prefix.alias("a").join(prefix.alias("b"), F.expr("a.tag = b.tag and a.gram = b.gram and a.rep < b.rep")).select(F.col("a.rep").alias("rep_1"), F.col("b.rep").alias("rep_2")).distinct()
-    bags = ranked.groupBy("rep").agg(F.map_from_entries(F.collect_list(F.struct("gram", "w"))).alias("bag"))  # an address's grams
-    whole = reps.select("rep", F.struct(*FIELDS).alias("p")).join(bags, "rep")
-    both = met.join(whole.toDF("rep_1", "p", "x"), "rep_1").join(whole.toDF("rep_2", "q", "y"), "rep_2")
-    dot = F.aggregate(F.map_keys("x"), F.lit(0.0), lambda s, g: s + F.coalesce(F.try_element_at("x", g) * F.try_element_at("y", g), F.lit(0.0)))
-    return both.where(dot >= cosine - 1e-9).select("rep_1", "rep_2", "p", "q").mapInArrow(_verify, "rep_1 bigint, rep_2 bigint")
-
-
-def _reps(members: DataFrame) -> DataFrame:
-    return members.where("id = rep").select("rep", *FIELDS).dropDuplicates(["rep", *FIELDS]).withColumn("unit_no", F.regexp_extract("unit", ":(.*)", 1))
+    return run
+
+
+def _ordered(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+    x, y = x[x != y], y[x != y]
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["id_1", "id_2"])
+
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, rep): each record and the least id of its class."""
+    for b in _whole(batches):
+        new, ids = _starts(b)[1], b["id"].to_numpy()
+        once = np.flatnonzero(new | np.append(True, ids[1:] != ids[:-1]))
+        yield pa.RecordBatch.from_arrays([pa.array(ids[once]), pa.array(ids[np.flatnonzero(new)][np.cumsum(new)[once] - 1])], ["id", "rep"])
+
+
+def _pairs(rows: DataFrame, of_classes: bool, cosine: float = COSINE) -> DataFrame:
+    weights = rows.sparkSession.sparkContext.broadcast(rarity(rows))
+    return rows.mapInArrow(_matched(weights, cosine, of_classes), "id_1 bigint, id_2 bigint").distinct()
 
 
 def location_groups(offices: DataFrame, regions: dict[str, str]) -> DataFrame:
     """(id, rep, n_links) of every record with an address: its class of equal addresses, named by the least id, and how many other records denote the same location. Otherwise as same_location()."""
-    members = checkpoint(classes(offices, regions))
-    pairs = matching_classes(_reps(members))
+    rows = located(offices, regions)
+    members = rows.mapInArrow(_members, "id bigint, rep bigint")
+    pairs = _pairs(rows, of_classes=True).toDF("rep_1", "rep_2")
     sizes = members.groupBy("rep").agg(F.count(F.lit(1)).alias("n"))
     either = pairs.unionByName(pairs.select(F.col("rep_2").alias("rep_1"), F.col("rep_1").alias("rep_2")))
     near = either.join(sizes.withColumnRenamed("rep", "rep_2"), "rep_2").groupBy(F.col("rep_1").alias("rep")).agg(F.sum("n").alias("others"))
     links = sizes.join(near, "rep", "left").select("rep", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
-    return members.select("id", "rep").join(links, "rep").select("id", "rep", "n_links")
+    return members.join(links, "rep").select("id", "rep", "n_links")
 
 
 def same_location(offices: DataFrame, regions: dict[str, str]) -> DataFrame:
@@ -244,9 +370,4 @@ def same_location(offices: DataFrame, regions: dict[str, str]) -> DataFrame:
     ``regions`` (codes and names of regions to one form) is as large as the number of regions. An empty table gives no
     pair; addresses of any length are taken whole; further columns are not looked at.
     """
-    members = checkpoint(classes(offices, regions))  # a short row per address, read by several branches below
-    pairs = matching_classes(_reps(members))
-    ids = members.select("id", "rep")
-    across = pairs.join(ids.toDF("x", "rep_1"), "rep_1").join(ids.toDF("y", "rep_2"), "rep_2").select("x", "y")
-    same = ids.alias("a").join(ids.alias("b"), F.expr("a.rep = b.rep and a.id < b.id")).select(F.col("a.id").alias("x"), F.col("b.id").alias("y"))
-    return across.unionByName(same).where("x <> y").select(F.least("x", "y").alias("id_1"), F.greatest("x", "y").alias("id_2")).distinct()
+    return _pairs(located(offices, regions), of_classes=False)

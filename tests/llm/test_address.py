@@ -1,5 +1,9 @@
 import itertools
 import random
+from types import SimpleNamespace
+
+import numpy as np
+import pyarrow as pa
 
 from billforge.llm import address
 from billforge.llm.address import compatible, distance, parts
@@ -61,3 +65,34 @@ def test_operator_against_brute_force(spark):
     got = [tuple(r) for r in address.same_location(df, REGIONS).collect()]
     assert len(got) == len(set(got)) and set(got) == want
     assert address.same_location(df.limit(0), REGIONS).count() == 0
+
+
+def test_plan_is_a_few_shuffles(spark):
+    """The driver holds the plan: it must not grow with the steps of the search."""
+    rows = [(i, f"{11 + i % 3} Harvest St, Holridge") for i in range(30)]
+    plan = address.same_location(spark.createDataFrame(rows, "id bigint, address string"), REGIONS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") <= 5 and "Join" not in plan
+
+
+def test_one_record_at_two_locations(spark):
+    """The least id of two classes that share no letter: each is searched by its own grams."""
+    rows = [(1, "11 Harvest St, Holridge, ZZ"), (1, "11 Quincy St, Fenmoor, YY"), (2, "11 Hravest St, Holridge, ZZ"), (3, "11 Quincy St, Fenmor, YY"), (4, "11 Quincy St, Fenmoor, YY")]
+    df = spark.createDataFrame(rows, "id bigint, address string")
+    assert {tuple(r) for r in address.same_location(df, REGIONS).collect()} == {(1, 2), (1, 3), (1, 4), (3, 4)}
+
+
+def test_blocks_do_not_matter(monkeypatch):
+    rng = random.Random(7)
+    texts = sorted(f"{rng.choice([11, 77])} {rng.choice(['Harvest', 'Hravest', 'Foundry', 'Foundri'])} St, {rng.choice(['Holridge', 'Hollridge', 'Fenmoor'])}" for _ in range(90))
+    known = [(i, parts(t, REGIONS)) for i, t in enumerate(texts)]
+    rows = sorted(("|".join((p["number"], p["kind"], "")), "|".join(p[f] for f in address.REST), i) for i, p in known)
+    want = {(a, b) for (a, p), (b, q) in itertools.combinations(known, 2) if compatible(p, q)}
+    for size, most in ((20_000, 1_000_000), (4, 3), (50, 1)):
+        monkeypatch.setattr(address, "ROWS", size)
+        monkeypatch.setattr(address, "PAIRS", most)
+        batches = lambda: (pa.RecordBatch.from_pydict({"id": [i], "place": [p], "rest": [r]}) for p, r, i in rows)
+        counts = [(g, n) for b in address._count(batches()) for g, n in zip(b["gram"].to_pylist(), b["n"].to_pylist())]
+        grams = sorted({g for g, _ in counts} - {-1})
+        held = SimpleNamespace(value=(np.array(grams), np.array([sum(n for g, n in counts if g == x) for x in grams]), sum(n for g, n in counts if g == -1)))
+        got = [pair for b in address._matched(held, address.COSINE, False)(batches()) for pair in zip(b["id_1"].to_pylist(), b["id_2"].to_pylist())]
+        assert len(got) == len(set(got)) and set(got) == want
