@@ -203,15 +203,15 @@ def located(offices: DataFrame, regions: dict[str, str]) -> DataFrame:
     return parsed.repartition("place").sortWithinPartitions("place", "rest", "id").persist()
 
 
-def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sorted rows in batches that end where a place ends."""
+def whole(batches: Iterator[pa.RecordBatch], by: str = "place") -> Iterator[pa.RecordBatch]:
+    """Sorted rows in batches that end where a value of ``by`` ends."""
     held, n, enough = [], 0, ROWS
     for b in batches:
         held.append(b)
         n += b.num_rows
         if n >= enough:
             t = pa.Table.from_batches(held)
-            if cut := pc.index(t["place"], t["place"][-1]).as_py():
+            if cut := pc.index(t[by], t[by][-1]).as_py():
                 yield t.slice(0, cut).combine_chunks().to_batches()[0]
             held, n = t.slice(cut).to_batches(), n - cut
             enough = max(ROWS, 2 * n)
@@ -246,7 +246,7 @@ def _grams(known: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(gram, n): in how many classes a trigram is; -1 counts the classes."""
-    for b in _whole(batches):
+    for b in whole(batches):
         first = np.flatnonzero(_starts(b)[1])
         _, gram, codes = _grams(_fields(b, first))
         yield pa.RecordBatch.from_arrays([pa.array(np.append(codes, -1)), pa.array(np.append(np.bincount(gram, minlength=len(codes)), len(first)))], ["gram", "n"])
@@ -261,7 +261,7 @@ def rarity(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
     return (grams[1:], n[1:], int(n[0])) if len(grams) else (grams, n, 0)
 
 
-def _spans(sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def spans(sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(entry, k) for k in range(sizes[entry]) and every entry, about PAIRS at a time."""
     ends = np.cumsum(sizes)
     at = 0
@@ -289,7 +289,7 @@ def _alike(known: list[dict], place: np.ndarray, weights: tuple[np.ndarray, np.n
     follow = np.searchsorted(listed, listed, "right") - np.arange(len(listed)) - 1
     region, code = (np.unique([""] + [p[c] for p in known], return_inverse=True)[1][1:] for c in ("region", "code"))  # 0 is none
     n, met = len(known), [np.empty(0, np.int64)]
-    for entry, k in _spans(follow):
+    for entry, k in spans(follow):
         i, j = member[entry], member[entry + 1 + k]
         fit = np.flatnonzero(((region[i] == region[j]) | (region[i] == 0) | (region[j] == 0)) & ((code[i] == code[j]) | (code[i] == 0) | (code[j] == 0)))
         met.append(np.unique(i[fit] * n + j[fit]))
@@ -298,7 +298,7 @@ def _alike(known: list[dict], place: np.ndarray, weights: tuple[np.ndarray, np.n
     i, j = i[fit], j[fit]
     bags, weight, start = row * len(codes) + gram, np.sqrt(squares), np.searchsorted(row, np.arange(n + 1))
     dot = np.zeros(len(i))
-    for entry, k in _spans((start[1:] - start[:-1])[i]):
+    for entry, k in spans((start[1:] - start[:-1])[i]):
         own = start[i[entry]] + k
         other = np.minimum(np.searchsorted(bags, want := j[entry] * len(codes) + gram[own]), len(bags) - 1)
         dot += np.bincount(entry, np.where(bags[other] == want, weight[own] * weight[other], 0), len(i))
@@ -310,7 +310,7 @@ def _matched(weights: Broadcast, cosine: float, of_classes: bool):
     """(id_1, id_2), smaller first, of the records of one location, or of the least ids of their classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _whole(batches):
+        for b in whole(batches):
             new_place, new = _starts(b)
             first = np.flatnonzero(new)
             place = np.cumsum(new_place)[first]
@@ -324,11 +324,11 @@ def _matched(weights: Broadcast, cosine: float, of_classes: bool):
             once = np.flatnonzero(new | np.append(True, ids[1:] != ids[:-1]))  # repeated rows count once
             ids, start = ids[once], np.append(np.searchsorted(once, first), len(once))
             ends = np.repeat(start[1:], np.diff(start))
-            for entry, k in _spans(ends - np.arange(len(ids)) - 1):
+            for entry, k in spans(ends - np.arange(len(ids)) - 1):
                 yield _ordered(ids[entry], ids[entry + 1 + k])
-            for pair, k in _spans(np.diff(start)[i]):
+            for pair, k in spans(np.diff(start)[i]):
                 x, to = start[i[pair]] + k, j[pair]
-                for entry, m in _spans(np.diff(start)[to]):
+                for entry, m in spans(np.diff(start)[to]):
                     yield _ordered(ids[x[entry]], ids[start[to[entry]] + m])
 
     return run
@@ -341,7 +341,7 @@ def _ordered(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, rep): each record and the least id of its class."""
-    for b in _whole(batches):
+    for b in whole(batches):
         new, ids = _starts(b)[1], b["id"].to_numpy()
         once = np.flatnonzero(new | np.append(True, ids[1:] != ids[:-1]))
         yield pa.RecordBatch.from_arrays([pa.array(ids[once]), pa.array(ids[np.flatnonzero(new)][np.cumsum(new)[once] - 1])], ["id", "rep"])

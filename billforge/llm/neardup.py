@@ -9,23 +9,32 @@ sets of word sequences.
 
 Exact copies are one class throughout: they are searched once and joined back at the end. The number and length of the
 fingerprints follow from the threshold (Plan): at 0.7 they are 16 of 6 symbols, and a pair of likeness 0.7 is missed with
-probability 1.7e-4, one of 0.75 with 1e-5, one of 0.8 with 3e-7. Scale: the shuffle on variants carries two longs a variant, the text is shuffled once (deduplication of copies)
-plus once for records that have a candidate. Hot variants are split by AQE's skew join, never gathered into one task.
+probability 1.7e-4, one of 0.75 with 1e-5, one of 0.8 with 3e-7. Scale: no text is shuffled. One reading
+gives digests and sketches, a short row each, which is kept; another the variants, of which two longs each are shuffled and sorted, so copies and pairs are told along a run of
+equal variants (a run is one task's work, its pairs made a block at a time). A third reading makes the sets of those records only
+that have a candidate: a bitmap of them, 32 to 64 bits each, goes to the driver and to the workers, and the join drops what it lets through wrongly.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from billforge.llm.address import spans, whole
 from billforge.session import checkpoint, spread
 
 SKETCH, SEED, MISSED, DEVIATIONS = 128, 20240229, 2e-4, 5.7
+_WORD_SIGNS = bytes(c if chr(c).isascii() and chr(c).isalnum() and not chr(c).isupper() else 32 for c in range(256))
+_VALUES = np.random.default_rng(SEED + 1).integers(0, 1 << 63, 256, dtype=np.uint64)
+_BASE = np.uint64(0xD1342543DE82EF95)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
 @dataclass(frozen=True)
@@ -53,26 +62,28 @@ class Plan:
         raise ValueError(f"a likeness of {threshold} is below what {SKETCH} min-hashes find")
 
 
-def normal_words(text: Column) -> Column:
-    """Lower case, every run of characters other than a-z and 0-9 as one blank."""
-    return F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))
-
-
-def word_hashes(words: Column) -> Column:
-    return F.when(words == "", F.array().cast("array<bigint>")).otherwise(F.transform(F.split(words, " "), lambda w: F.xxhash64(w)))
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
     return x ^ (x >> np.uint64(33))
 
 
-def _ragged(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """Flat values and offsets of a list column."""
-    array = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    offsets = array.offsets.to_numpy().astype(np.int64)
-    return array.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]].view(np.uint64), offsets - offsets[0]
+def normal(text: str) -> bytes:
+    """Lower case, every run of characters other than a-z and 0-9 as one blank."""
+    return b" ".join(text.lower().encode("utf-8", "replace").translate(_WORD_SIGNS).split())
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of normal texts, and their offsets by text: a polynomial over the signs of a word, modulo 2^64, taken from sums along all texts."""
+    joined = b" ".join(t for t in texts if t) + b" "
+    signs = np.frombuffer(joined, np.uint8)
+    ends = np.flatnonzero(signs == 32)
+    starts = np.append(0, ends[:-1] + 1)
+    with np.errstate(over="ignore"):
+        sums = np.append(np.uint64(0), np.cumsum(_VALUES[signs] * np.cumprod(np.full(len(signs), _BASE))))
+        h = _mix((sums[ends] - sums[starts]) * np.cumprod(np.full(len(signs), _INVERSE))[starts])
+    sizes = [t.count(b" ") + 1 if t else 0 for t in texts]
+    return h[: sum(sizes)], np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
 
 
 def shingle_hashes(words: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -111,60 +122,103 @@ def fingerprint(words: np.ndarray, offsets: np.ndarray, width: int, plan: Plan)
     return variants.reshape(len(some), -1).view(np.int64), bits, some
 
 
-def _emit(width: int, plan: Plan):
+def _keys(digests: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(d[:8] for d in digests), np.int64)
+
+
+def _prints(width: int, plan: Plan, variants: bool):
+    """(key, variants) of each record, or its (id, made, d, key, s1, s2, some)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 b = batch.slice(at, 512)
-                words, offsets = _ragged(b["words"])
-                variants, bits, some = fingerprint(words, offsets, width, plan)
-                lists = pa.ListArray.from_arrays(np.arange(0, variants.size + 1, plan.symbols * plan.fingerprints, dtype=np.int32), pa.array(variants.ravel()))
-                yield pa.RecordBatch.from_arrays([b["rep"].take(pa.array(some)), lists, pa.array(bits[:, 0].copy()), pa.array(bits[:, 1].copy())], ["rep", "variants", "s1", "s2"])
+                texts = [normal(t) for t in b["text"].to_pylist()]
+                digests = [hashlib.md5(t).digest() for t in texts]
+                keys = _keys(digests)
+                found, bits, some = fingerprint(*word_hashes(texts), width, plan)
+                if variants:
+                    lists = pa.ListArray.from_arrays(np.arange(0, found.size + 1, plan.symbols * plan.fingerprints, dtype=np.int32), pa.array(found.ravel()))
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[some]), lists], ["key", "variants"])
+                    continue
+                sketch = np.zeros((len(texts), 2), np.int64)
+                sketch[some] = bits
+                yield pa.RecordBatch.from_arrays([b["id"], b["made"], pa.array(digests, pa.binary()), pa.array(keys), pa.array(sketch[:, 0].copy()), pa.array(sketch[:, 1].copy()), pa.array(np.isin(np.arange(len(texts)), some))], ["id", "made", "d", "key", "s1", "s2", "some"])
 
     return run
 
 
-def _sets(width: int):
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key_1, key_2), key_1 < key_2, of what shares a variant; the rows (variant, key) are sorted."""
+    for b in whole(batches, "variant"):
+        variant, key = b["variant"].to_numpy(), b["key"].to_numpy()
+        once = np.flatnonzero(np.append(True, (variant[1:] != variant[:-1]) | (key[1:] != key[:-1])))  # copies count once
+        variant, key = variant[once], key[once]
+        for entry, k in spans(np.searchsorted(variant, variant, "right") - np.arange(len(variant)) - 1):
+            yield pa.RecordBatch.from_arrays([pa.array(key[entry]), pa.array(key[entry + 1 + k])], ["key_1", "key_2"])
+
+
+def _sets(width: int, wanted: Broadcast):
+    """(rep, key, shingles) of the records whose bit is set: the wanted ones and a few others."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = wanted.value
         for batch in batches:
-            words, offsets = _ragged(batch["words"])
-            h, at = shingle_hashes(words, offsets, width)
-            sets = [np.unique(h[a:b]).view(np.int64) for a, b in zip(at[:-1], at[1:])]
-            lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32), pa.array(np.concatenate([*sets, np.empty(0, np.int64)])))
-            yield pa.RecordBatch.from_arrays([batch["rep"], lists], ["rep", "shingles"])
+            for at in range(0, batch.num_rows, 512):
+                b = batch.slice(at, 512)
+                texts = [normal(t) for t in b["text"].to_pylist()]
+                keys, ids = _keys([hashlib.md5(t).digest() for t in texts]), b["id"].to_numpy()
+                place = (keys ^ ids) & (8 * len(bits) - 1)
+                hits = np.flatnonzero(bits[place >> 3] >> (place & 7).astype(np.uint8) & 1)
+                h, cut = shingle_hashes(*word_hashes([texts[k] for k in hits]), width)
+                sets = [np.unique(h[a:b]).view(np.int64) for a, b in zip(cut[:-1], cut[1:])]
+                lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32), pa.array(np.concatenate([*sets, np.empty(0, np.int64)])))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[hits]), pa.array(keys[hits]), lists], ["rep", "key", "shingles"])
 
     return run
 
 
-def classes(records: DataFrame, key: Column, made: Column, text: Column) -> tuple[DataFrame, DataFrame]:
-    """(members: id, rep) and (texts: rep, words): records with equal words are one class, named by its least id.
+def _bitmap(needed: DataFrame) -> np.ndarray:
+    """A bit for each (rep, key), at key xor rep: 32 to 64 bits a row, put together by the executors."""
+    size = max(1 << 15, 1 << (32 * needed.count()).bit_length())
+    at = needed.select((F.col("key").bitwiseXOR(F.col("rep")).bitwiseAND(F.lit(size - 1)) + 1).alias("at"))
+    parts = at.groupBy(F.bitmap_bucket_number("at").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).collect()
+    out = np.zeros((size >> 15, 4096), np.uint8)
+    for k, bits in parts:
+        out[k - 1] = np.frombuffer(bits, np.uint8)
+    return out.ravel()
+
+
+def _scan(records: DataFrame, key: Column, made: Column, text: Column) -> DataFrame:
+    return spread(records.select(key.cast("bigint").alias("id"), made.alias("made"), text.alias("text")).where("id is not null and text is not null"))
+
+
+def classes(scan: DataFrame, width: int, plan: Plan) -> tuple[DataFrame, DataFrame]:
+    """(members: id, rep, some; reps: rep, d, key, s1, s2, some): records with equal words are one class, named by its least id.
 
     Of several rows of an id the one with the greatest ``made`` counts (null the least, ties to the greatest digest). Rows
     with a null id or text are left out.
     """
-    scan = spread(records.select(key.alias("id"), made.alias("made"), text.alias("text")).where("id is not null and text is not null"))
-    rows = scan.select("id", "made", normal_words(F.col("text")).alias("words")).withColumn("d", F.unhex(F.md5("words")))
-    current = rows.groupBy("id").agg(F.max(F.struct("made", "d")).alias("m")).select("id", "m.d")
-    reps = current.groupBy("d").agg(F.min("id").alias("rep"))
-    texts = rows.groupBy("d").agg(F.max("words").alias("words"))
-    return current.join(reps, "d").select("id", "rep"), texts.join(reps, "d").select("rep", "words")
+    kind = T.StructType(scan.select("id", "made").schema.fields + T._parse_datatype_string("d binary, key bigint, s1 bigint, s2 bigint, some boolean").fields)
+    prints = scan.mapInArrow(_prints(width, plan, False), kind).persist()  # a short row per record
+    current = prints.groupBy("id").agg(F.max(F.struct("made", "d", "key", "s1", "s2", "some")).alias("m")).select("id", "m.*")
+    reps = current.groupBy("d").agg(F.min("id").alias("rep"), *(F.first(c).alias(c) for c in ("key", "s1", "s2", "some")))
+    return current.select("id", "d", "some").join(reps.select("d", "rep"), "d").select("id", "rep", "some").persist(), reps
 
 
-def similar_classes(texts: DataFrame, width: int, threshold: float) -> DataFrame:
+def similar_classes(scan: DataFrame, reps: DataFrame, width: int, threshold: float, plan: Plan) -> DataFrame:
     """(rep_1, rep_2, common, total) of classes whose sets of word sequences have common / total >= threshold, rep_1 < rep_2."""
-    plan = Plan.of(threshold)
-    hashed = texts.select("rep", word_hashes(F.col("words")).alias("words"))
-    prints = hashed.mapInArrow(_emit(width, plan), "rep bigint, variants array<bigint>, s1 bigint, s2 bigint")
-    emitted = prints.select("rep", F.explode("variants").alias("variant"))
-    met = emitted.alias("a").join(emitted.alias("b"), F.expr("a.variant = b.variant and a.rep < b.rep")).select(F.col("a.rep").alias("rep_1"), F.col("b.rep").alias("rep_2")).distinct()
-    sketch = prints.select("rep", "s1", "s2")
-    near = met.join(sketch.toDF("rep_1", "a1", "a2"), "rep_1").join(sketch.toDF("rep_2", "b1", "b2"), "rep_2")
-    near = near.where(F.expr(f"bit_count(a1 ^ b1) + bit_count(a2 ^ b2) <= {plan.bits}")).select("rep_1", "rep_2")
-    near = checkpoint(near)  # pairs of ids; read three times below
-    needed = near.select(F.explode(F.array("rep_1", "rep_2")).alias("rep")).distinct()
-    sets = hashed.join(needed, "rep", "left_semi").mapInArrow(_sets(width), "rep bigint, shingles array<bigint>")
-    both = near.join(sets.toDF("rep_1", "x"), "rep_1").join(sets.toDF("rep_2", "y"), "rep_2")
-    counted = both.select("rep_1", "rep_2", F.size(F.array_intersect("x", "y")).alias("common"), (F.size("x") + F.size("y")).alias("both")).withColumn("total", F.col("both") - F.col("common"))
+    emitted = scan.mapInArrow(_prints(width, plan, True), "key bigint, variants array<bigint>").select(F.explode("variants").alias("variant"), "key").repartition("variant").sortWithinPartitions("variant", "key")
+    met = emitted.mapInArrow(_met, "key_1 bigint, key_2 bigint").distinct()
+    sketch = reps.where("some").select("key", "rep", "s1", "s2")
+    near = met.join(sketch.toDF("key_1", "rep_1", "a1", "a2"), "key_1").join(sketch.toDF("key_2", "rep_2", "b1", "b2"), "key_2")
+    near = near.where(F.expr(f"bit_count(a1 ^ b1) + bit_count(a2 ^ b2) <= {plan.bits}")).select("rep_1", "key_1", "rep_2", "key_2")
+    near = checkpoint(near)  # pairs of ids; read several times below
+    needed = near.select("rep_1", "key_1").union(near.select("rep_2", "key_2")).toDF("rep", "key").distinct()
+    wanted = scan.sparkSession.sparkContext.broadcast(_bitmap(needed))
+    sets = scan.mapInArrow(_sets(width, wanted), "rep bigint, key bigint, shingles array<bigint>").repartition("rep", "key").dropDuplicates(["rep", "key"])  # one exchange for both sides
+    both = near.join(sets.toDF("rep_1", "key_1", "x"), ["rep_1", "key_1"]).join(sets.toDF("rep_2", "key_2", "y"), ["rep_2", "key_2"])
+    counted = both.select(F.least("rep_1", "rep_2").alias("rep_1"), F.greatest("rep_1", "rep_2").alias("rep_2"), F.size(F.array_intersect("x", "y")).alias("common"), (F.size("x") + F.size("y")).alias("both")).withColumn("total", F.col("both") - F.col("common"))
     return counted.where(F.col("common") >= F.ceil(F.col("total") * threshold - 1e-9)).select("rep_1", "rep_2", "common", "total")
 
 
@@ -175,11 +229,11 @@ def similar_pairs(records: DataFrame, key: Column, made: Column, text: Column, w
     least one has; records with fewer words have none and form no pair. Rows with null id or text are left out, an empty
     table gives no pair, further columns are not looked at. Copies are paired too (the result is then as large as asked).
     """
-    members, texts = classes(records, key, made, text)
-    pairs = similar_classes(texts, width, threshold)
+    scan, plan = _scan(records, key, made, text), Plan.of(threshold)
+    members, reps = classes(scan, width, plan)
+    pairs = similar_classes(scan, reps, width, threshold, plan)
     across = pairs.join(members.select(F.col("id").alias("x"), F.col("rep").alias("rep_1")), "rep_1").join(members.select(F.col("id").alias("y"), F.col("rep").alias("rep_2")), "rep_2").select("x", "y")
-    long = texts.where(F.size(F.split("words", " ")) >= width).select("rep")
-    copies = members.join(long, "rep", "left_semi")
+    copies = members.where("some").select("id", "rep")
     same = copies.alias("a").join(copies.alias("b"), F.expr("a.rep = b.rep and a.id < b.id")).select(F.col("a.id").alias("x"), F.col("b.id").alias("y"))
     return across.unionByName(same).select(F.least("x", "y").alias("id_1"), F.greatest("x", "y").alias("id_2"))
 
@@ -188,8 +242,9 @@ def similar_groups(records: DataFrame, key: Column, made: Column, text: Column,
     """One row per record: (id, class_id, group_id, n_links). Its class of exact copies, the connected group of classes it
     is in (the least id), and to how many other classes it is linked directly. Records without words are their own class.
     """
-    members, texts = classes(records, key, made, text)
-    links = checkpoint(similar_classes(texts, width, threshold).select("rep_1", "rep_2"))
+    scan, plan = _scan(records, key, made, text), Plan.of(threshold)
+    members, reps = classes(scan, width, plan)
+    links = checkpoint(similar_classes(scan, reps, width, threshold, plan).select("rep_1", "rep_2"))
     ends = links.select(F.explode(F.array("rep_1", "rep_2")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
     groups = connected(links)
     out = members.join(ends, "rep", "left").join(groups, "rep", "left")

@@ -3,10 +3,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from billforge.llm import neardup
+from billforge.llm import address, neardup
 
 
 def shingles(text, width):
@@ -107,3 +108,30 @@ def test_plan_follows_the_threshold():
         assert (1 - meet) ** p.fingerprints <= 2e-4 and p.symbols * p.fingerprints <= neardup.SKETCH
     with pytest.raises(ValueError):
         neardup.Plan.of(0.1)
+
+
+def test_texts_are_not_shuffled(spark):
+    """Only digests, variants and the sets of candidates go through an exchange, and each text is taken apart in Python once a reading."""
+    plan = _pairs(spark, _corpus(), 3, 0.7)[1]._jdf.queryExecution().executedPlan().toString()
+    assert "words" not in plan and "md5" not in plan and "split(" not in plan
+
+
+def test_word_hashes():
+    texts = ["The  Act, of 1999", "", "act", "...", "ﬁ é İ the ACT\n", "of"]
+    normal = [neardup.normal(t) for t in texts]
+    assert normal == [b"the act of 1999", b"", b"act", b"", b"i the act", b"of"]
+    h, at = neardup.word_hashes(normal)
+    words = [h[a:b].tolist() for a, b in zip(at[:-1], at[1:])]
+    assert [len(w) for w in words] == [4, 0, 1, 0, 3, 1] and len(set(h.tolist())) == 5
+    assert words[0][1:2] == words[2] == words[4][2:] and words[0][0] == words[4][1] and words[0][2:3] == words[5]
+    assert [len(x) for x in neardup.word_hashes([b"", b""])] == [0, 3]
+
+
+def test_copies_meet_once(monkeypatch):
+    rows = sorted((v, k) for v in range(5) for k in ([1] * 30 + [2, 3, 3] if v % 2 else [v])) + [(9, 1), (9, 2)]
+    want = sorted([(1, 2), (1, 3), (2, 3)] * 2 + [(1, 2)])
+    for size, most in ((20_000, 1_000_000), (7, 1)):
+        monkeypatch.setattr(address, "ROWS", size)
+        monkeypatch.setattr(address, "PAIRS", most)
+        batches = (pa.RecordBatch.from_pydict({"variant": [v], "key": [k]}) for v, k in rows)
+        assert sorted(pair for b in neardup._met(batches) for pair in zip(b["key_1"].to_pylist(), b["key_2"].to_pylist())) == want
